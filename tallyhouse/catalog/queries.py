@@ -593,14 +593,14 @@ def mark_new(spark, folder):
 @query
 def dedup_records(spark, folder):
     documents = parquet_table(spark, folder, "documents")
-    return D.first_per_fingerprint(documents, _text_print(), ["doc_id"]).drop("text")
+    return D.first_per_fingerprint(documents, _text_print(), "doc_id").drop("text")
 
 
 @query
 def dedup_new_records(spark, folder):
     seen = D.fingerprint_table(_labelled(spark, folder, quality=1), _text_print())
     documents = parquet_table(spark, folder, "documents")
-    return D.new_records(documents, _text_print(), ["doc_id"], seen).drop("text")
+    return D.new_records(documents, _text_print(), "doc_id", seen).drop("text")
 
 
 @query

@@ -11,7 +11,7 @@ import hashlib
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.text import digits_only, folded, has_text
+from tallyhouse.functions.text import digits_only, folded
 
 # Block size and pad bytes of HMAC-SHA256.
 _BLOCK = 64
@@ -41,14 +41,15 @@ def hmac_pads(salt: str | bytes) -> tuple[bytes, bytes]:
 def hmac_sha256(value: Column, salt: str | bytes) -> Column:
     """Hex HMAC-SHA256 of the UTF-8 text."""
     inner, outer = hmac_pads(salt)
-    first = F.unhex(F.sha2(F.concat(F.lit(inner), F.encode(value, "UTF-8")), 256))
+    first = F.unhex(F.sha2(F.concat(F.lit(inner), value.cast("binary")), 256))
     return F.sha2(F.concat(F.lit(outer), first), 256)
 
 
 def token(value: Column, prefix: str, salt: str | bytes) -> Column:
     """``prefix_`` and the first hex digits of the HMAC; empty or NULL gives ''."""
-    digest = F.substring(hmac_sha256(value, salt), 1, TOKEN_DIGITS)
-    return F.when(has_text(value), F.concat(F.lit(prefix + "_"), digest)).otherwise(F.lit(""))
+    made = F.concat(F.lit(prefix + "_"), F.substring(hmac_sha256(value, salt), 1, TOKEN_DIGITS))
+    # In this form the result is known not to be NULL, so a NULL check on it costs no second HMAC.
+    return F.when(value == "", F.lit("")).otherwise(F.coalesce(made, F.lit("")))
 
 
 def email_token(value: Column, salt: str | bytes) -> Column:
@@ -68,7 +69,7 @@ def user_token(user_id: Column, salt: str | bytes) -> Column:
 
 
 def salted_sha256(value: Column, salt: str | bytes) -> Column:
-    return F.sha2(F.concat(F.lit(_salt_bytes(salt)), F.encode(value, "UTF-8")), 256)
+    return F.sha2(F.concat(F.lit(_salt_bytes(salt)), value.cast("binary")), 256)
 
 
 def mask_email(value: Column) -> Column:

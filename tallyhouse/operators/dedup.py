@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.staging import settled
+
 FINGERPRINT = "fingerprint"
 
 
@@ -35,9 +37,30 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return found.select(*[F.col(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns])
 
 
-def first_per_fingerprint(df: DataFrame, fingerprint: Column, order: Sequence[str]) -> DataFrame:
-    """First occurrence per fingerprint, with the fingerprint as a column."""
-    return first_per_key(df.withColumn(FINGERPRINT, fingerprint), [FINGERPRINT], order)
+def stamped(df: DataFrame, fingerprint: Column) -> DataFrame:
+    """Add the fingerprint. It is never NULL, so rows without one count as equal, and the NULL
+    checks of later joins are dropped instead of computing the digest twice."""
+    return df.withColumn(FINGERPRINT, F.coalesce(fingerprint, F.lit("")))
+
+
+def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
+    """First occurrence per fingerprint, with the fingerprint as a column.
+
+    ``row_id`` orders the rows and must differ between them (else use ``first_per_key``).
+    Only fingerprint and id are aggregated. The table of repeated fingerprints is settled
+    first: while it is small, whole rows are not shuffled at all; when it is not, nothing
+    follows the join, so AQE can cut the partition of a hot fingerprint.
+    """
+    marked = stamped(df, fingerprint)
+    repeated = (
+        marked.groupBy(FINGERPRINT)
+        .agg(F.min(row_id).alias("_first"), F.count("*").alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select(FINGERPRINT, "_first")
+    )
+    joined = marked.join(settled(repeated, "repeated"), FINGERPRINT, "left")
+    first = F.col("_first").isNull() | (F.col(row_id) == F.col("_first"))
+    return joined.filter(first).select(*df.columns, FINGERPRINT)
 
 
 def _winners(marked: DataFrame, order: str, seen: DataFrame | None) -> DataFrame:
@@ -52,17 +75,15 @@ def mark_new(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame |
     ``row_id`` must order the rows and differ between them. The flag comes back by a join on
     (row id, fingerprint); joining on the fingerprint alone would send a hot one to one task.
     """
-    marked = df.withColumn(FINGERPRINT, fingerprint)
+    marked = stamped(df, fingerprint)
     winners = _winners(marked, row_id, seen).withColumn("_new", F.lit(True))
     joined = marked.join(winners, [row_id, FINGERPRINT], "left")
     return joined.select(*df.columns, FINGERPRINT, F.coalesce("_new", F.lit(False)).alias("is_new"))
 
 
-def new_records(
-    df: DataFrame, fingerprint: Column, order: Sequence[str], seen: DataFrame | None = None
-) -> DataFrame:
+def new_records(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:
     """First occurrences that are not in the table of known fingerprints."""
-    first = first_per_fingerprint(df, fingerprint, order)
+    first = first_per_fingerprint(df, fingerprint, row_id)
     return first if seen is None else first.join(seen.select(FINGERPRINT), FINGERPRINT, "left_anti")
 
 
@@ -71,48 +92,45 @@ def known_records(df: DataFrame, fingerprint: Column, seen: DataFrame) -> DataFr
 
     Nothing is grouped after this semi join, so AQE can cut a hot fingerprint's partition.
     """
-    return df.withColumn(FINGERPRINT, fingerprint).join(seen.select(FINGERPRINT), FINGERPRINT, "left_semi")
+    return stamped(df, fingerprint).join(seen.select(FINGERPRINT), FINGERPRINT, "left_semi")
 
 
 def fingerprint_table(df: DataFrame, fingerprint: Column) -> DataFrame:
     """The distinct fingerprints of a frame: what a later batch checks against."""
-    return df.select(fingerprint.alias(FINGERPRINT)).distinct()
+    return stamped(df, fingerprint).select(FINGERPRINT).distinct()
 
 
 def _part(member: Column, parts: Column) -> Column:
     """Which of ``parts`` pieces a member falls in: 32 bits of its MD5, so any id type spreads evenly."""
-    bits = F.conv(F.substring(F.md5(F.encode(member.cast("string"), "UTF-8")), 1, 8), 16, 10).cast("long")
+    bits = F.conv(F.substring(F.md5(member.cast("string")), 1, 8), 16, 10).cast("long")
     return F.pmod(bits, parts)
 
 
 def duplicate_groups(
     df: DataFrame, key: Column, member: str, name: str, rows_per_list: int = 100_000, joined_by: str | None = None
 ) -> DataFrame:
-    """Keys held by more than one row: count and sorted member ids.
+    """Keys held by more than one row: count and sorted member ids. Rows with a NULL key are left out.
 
     A group of up to ``rows_per_list`` members is one row with ``part`` 0. A larger one is
     spread over several rows of about that many members, numbered by ``part``, each with the
     count of the whole group: no list grows with the group and no member is left out.
 
-    Large groups come from a counting pass that combines on the map side; there are at most
-    rows / rows_per_list of them. Spark broadcasts them if their measured size allows, else
-    the join is shuffled, and the explicit repartition lets AQE cut a hot key there as well.
+    The sizes of repeated keys are settled first, so only members of such groups are
+    shuffled when that table can be broadcast. Otherwise the join is shuffled as well; the
+    repartition after it keeps the join free of later needs, so AQE can cut a hot key.
     """
     keyed = df.select(key.alias(name), F.col(member).alias("_member")).filter(F.col(name).isNotNull())
-    large = keyed.groupBy(name).agg(F.count("*").alias("_size")).filter(F.col("_size") > rows_per_list)
-    pieces = F.ceil(F.col("_size") / F.lit(rows_per_list)).cast("long")
-    part = F.when(F.col("_size").isNull(), F.lit(0).cast("long")).otherwise(_part(F.col("_member"), pieces))
-    spread = keyed.join(large, name, "left").select(name, "_member", "_size", part.alias("part"))
+    sizes = keyed.groupBy(name).agg(F.count("*").alias("duplicate_count")).filter(F.col("duplicate_count") > 1)
+    pieces = F.ceil(F.col("duplicate_count") / F.lit(rows_per_list)).cast("long")
+    part = F.when(pieces == 1, F.lit(0).cast("long")).otherwise(_part(F.col("_member"), pieces))
     members = F.array_sort(F.collect_list("_member"))
     if joined_by is not None:
         members = F.array_join(F.transform(members, lambda m: m.cast("string")), joined_by)
     return (
-        spread.repartition(name, "part")
+        keyed.join(settled(sizes, "sizes"), name)
+        .select(name, "duplicate_count", "_member", part.alias("part"))
+        .repartition(name, "part")
         .groupBy(name, "part")
-        .agg(
-            F.coalesce(F.max("_size"), F.count("*")).alias("duplicate_count"),
-            members.alias("duplicate_ids"),
-        )
-        .filter(F.col("duplicate_count") > 1)
+        .agg(F.max("duplicate_count").alias("duplicate_count"), members.alias("duplicate_ids"))
         .select(name, "duplicate_count", "part", "duplicate_ids")
     )

@@ -18,9 +18,11 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None when nothing has been loaded yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    # A finished write leaves its marker, so a folder of a broken first load counts as empty.
-    done = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    return spark.read.parquet(path) if files.exists(done) else None
+    if not files.exists(folder):
+        return None
+    # Names with these marks belong to unfinished writes and to Spark itself.
+    loaded = any(entry.getPath().getName()[0] not in "_." for entry in files.listStatus(folder))
+    return spark.read.parquet(path) if loaded else None
 
 
 def absent_rows(

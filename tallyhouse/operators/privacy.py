@@ -83,7 +83,7 @@ def hash_columns(df: DataFrame, columns: Collection[str]) -> DataFrame:
     """Add unsalted MD5 and SHA-1 of columns; kept for joins with older data sets."""
     out = {}
     for c in columns:
-        out[f"{c}_md5"], out[f"{c}_sha1"] = F.md5(F.encode(c, "UTF-8")), F.sha1(F.encode(c, "UTF-8"))
+        out[f"{c}_md5"], out[f"{c}_sha1"] = F.md5(c), F.sha1(c)
     return df.withColumns(out)
 
 
@@ -94,7 +94,7 @@ def anonymize_users(df: DataFrame, drop_originals: bool = True) -> DataFrame:
         if c in df.columns:
             if mask is not None:
                 out[f"{c}_masked"] = mask(F.col(c))
-            out[f"{c}_hash"] = F.md5(F.encode(c, "UTF-8"))
+            out[f"{c}_hash"] = F.md5(c)
     done = df.withColumns(out)
     return done.drop("email", "phone", "name") if drop_originals else done
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.numbers import per_second
 from tallyhouse.functions.time import Span, chunk_number, moment
 from tallyhouse.operators.load import append_if_absent
+from tallyhouse.operators.staging import settled
 from tallyhouse.plans import notifications as N
 from tallyhouse.plans import orders as O
 from tallyhouse.plans import payments as P
@@ -84,7 +85,7 @@ def _days(span: Span, column: str) -> Column:
 def order_job(orders: DataFrame, span: Span, statuses: Sequence[str] | None = None, version: int = 2) -> Job:
     return Job(
         "order_analytics",
-        O.daily_orders(orders, span, statuses),
+        O.daily_orders(orders, span, statuses, ordered=False),
         O.order_metrics_v1 if version == 1 else O.order_metrics,
         Target("order_analytics", ("order_date", "status"), _days(span, "order_date")),
     )
@@ -93,7 +94,7 @@ def order_job(orders: DataFrame, span: Span, statuses: Sequence[str] | None = No
 def payment_job(payments: DataFrame, span: Span, pii_mode: str = "token", salt: str | None = None) -> Job:
     return Job(
         "payment_analytics",
-        P.daily_payments(P.protect_payments(payments, pii_mode, salt), span),
+        P.daily_payments(P.protect_payments(payments, pii_mode, salt), span, ordered=False),
         P.payment_metrics,
         Target("payment_analytics", ("payment_date", "payment_method"), _days(span, "payment_date")),
     )
@@ -110,7 +111,7 @@ def notification_job(
 
     return Job(
         "notification_analytics",
-        N.daily_notifications(notifications, span, channels),
+        N.daily_notifications(notifications, span, channels, ordered=False),
         lambda rows: N.notification_metrics(rows, version),
         Target("notification_analytics", ("notification_date", "channel", "notification_type"),
                _days(span, "notification_date")),
@@ -127,27 +128,21 @@ def run_job(job: Job, warehouse: str, dry_run: bool = False) -> RunSummary:
     read, made = Observation(), Observation()
     metrics = job.transform(job.extract.observe(read, F.count("*").alias("rows")))
     metrics = metrics.observe(made, F.count("*").alias("rows"))
-    if job.rollup is not None and not dry_run:
-        # Both tables come from these few rows; lost blocks are computed again from the source.
-        metrics = metrics.persist()
-    try:
-        if dry_run:
-            summary.records_loaded = metrics.count()
-        else:
-            summary.records_loaded = append_if_absent(
-                metrics, f"{warehouse}/{job.target.table}", job.target.key, reach=job.target.reach
-            )
-            if job.rollup is not None and job.rollup_target is not None:
-                second = job.rollup_target
-                append_if_absent(
-                    job.rollup(metrics), f"{warehouse}/{second.table}", second.key, reach=second.reach
-                )
-        summary.records_extracted = int(read.get["rows"])
-        summary.records_transformed = int(made.get["rows"])
-        summary.records_skipped = summary.records_transformed - summary.records_loaded
-    finally:
-        if metrics.is_cached:
-            metrics.unpersist()
+    if dry_run:
+        summary.records_loaded = metrics.count()
+    else:
+        if job.rollup is not None:
+            # Both tables come from the same stored rows, whatever happens between the two writes.
+            metrics = settled(metrics, job.name)
+        target, second = job.target, job.rollup_target
+        summary.records_loaded = append_if_absent(
+            metrics, f"{warehouse}/{target.table}", target.key, reach=target.reach
+        )
+        if job.rollup is not None and second is not None:
+            append_if_absent(job.rollup(metrics), f"{warehouse}/{second.table}", second.key, reach=second.reach)
+    summary.records_extracted = int(read.get["rows"])
+    summary.records_transformed = int(made.get["rows"])
+    summary.records_skipped = summary.records_transformed - summary.records_loaded
     summary.end_time = datetime.now(timezone.utc)
     summary.duration_seconds = time.monotonic() - started
     return summary

@@ -20,19 +20,21 @@ ENGAGED = ("opened", "clicked")
 STEPS = ("total_sent", "delivered", "opened", "clicked")
 
 
-def daily_notifications(notifications: DataFrame, span: Span, channels: Sequence[str] | None = None) -> DataFrame:
+def daily_notifications(
+    notifications: DataFrame, span: Span, channels: Sequence[str] | None = None, ordered: bool = True
+) -> DataFrame:
     """The funnel per day, channel and type, with bounces and failures where the source tells them."""
     wanted = span.holds(F.col("sent_at")) & F.col("channel").isin(*(channels or DAILY_CHANNELS))
     counts = [F.count("*").alias("total_sent")]
     counts += [F.count(f"{step}_at").alias(step) for step in STEPS[1:]]
     if "status" in notifications.columns:
         counts += [F.count_if(F.col("status") == s).alias(s) for s in ("bounced", "failed")]
-    return (
+    daily = (
         notifications.filter(wanted)
         .groupBy(day(F.col("sent_at")).alias("notification_date"), "channel", "notification_type")
         .agg(*counts)
-        .orderBy("notification_date", "channel")
     )
+    return daily.orderBy("notification_date", "channel") if ordered else daily
 
 
 def _rates(sent: Column, delivered: Column, opened: Column, clicked: Column) -> dict[str, Column]:

@@ -18,10 +18,12 @@ COMPLETED = ("delivered",)
 IN_PROGRESS = ("pending", "confirmed", "processing", "shipped")
 
 
-def daily_orders(orders: DataFrame, span: Span, statuses: Sequence[str] | None = None) -> DataFrame:
+def daily_orders(
+    orders: DataFrame, span: Span, statuses: Sequence[str] | None = None, ordered: bool = True
+) -> DataFrame:
     """Orders per day and status: count, revenue and mean value."""
     wanted = span.holds(F.col("created_at")) & F.col("status").isin(*(statuses or DAILY_STATUSES))
-    return (
+    daily = (
         orders.filter(wanted)
         .groupBy(day(F.col("created_at")).alias("order_date"), "status")
         .agg(
@@ -29,8 +31,8 @@ def daily_orders(orders: DataFrame, span: Span, statuses: Sequence[str] | None =
             F.sum(money(F.col("total_amount"))).cast(MONEY_TOTAL).alias("total_revenue"),
             mean_of_money(F.col("total_amount")).alias("avg_order_value"),
         )
-        .orderBy("order_date", "status")
     )
+    return daily.orderBy("order_date", "status") if ordered else daily
 
 
 def _figures(daily: DataFrame, revenue: Column, mean: Column) -> DataFrame:

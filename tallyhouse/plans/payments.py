@@ -15,10 +15,10 @@ from tallyhouse.operators.privacy import mask_payments, tokenize_payments
 SETTLED = ("success", "captured")
 
 
-def daily_payments(payments: DataFrame, span: Span) -> DataFrame:
+def daily_payments(payments: DataFrame, span: Span, ordered: bool = True) -> DataFrame:
     """Payments per day and method; the mean processing time covers successes only."""
     ok = F.col("status") == "success"
-    return (
+    daily = (
         payments.filter(span.holds(F.col("created_at")))
         .groupBy(day(F.col("created_at")).alias("payment_date"), "payment_method")
         .agg(
@@ -28,8 +28,8 @@ def daily_payments(payments: DataFrame, span: Span) -> DataFrame:
             F.sum(F.when(F.col("status") == "failed", 1).otherwise(0)).alias("failed"),
             F.avg(F.when(ok, F.col("processing_time_ms"))).alias("avg_processing_time"),
         )
-        .orderBy("payment_date", "payment_method")
     )
+    return daily.orderBy("payment_date", "payment_method") if ordered else daily
 
 
 def protect_payments(payments: DataFrame, mode: str, salt: str | bytes | None = None) -> DataFrame:

@@ -197,7 +197,7 @@ def duplicate_identities(users: DataFrame, rows_per_list: int = 100_000) -> Data
 
 def duplicate_identities_v1(users: DataFrame, rows_per_list: int = 100_000) -> DataFrame:
     """As above by MD5 of the plain, unseparated contact data, ids as comma-separated text."""
-    key = F.md5(F.encode(F.concat_ws("", "email", "phone", "name"), "UTF-8"))
+    key = F.md5(F.concat_ws("", "email", "phone", "name"))
     return duplicate_groups(users, key, "id", "user_hash", rows_per_list, joined_by=",")
 
 
@@ -205,14 +205,20 @@ def _user_months(activity: DataFrame) -> DataFrame:
     return activity.select("user_id", month(F.col("created_at")).alias("activity_month")).distinct()
 
 
+def _cohorts(users: DataFrame, cohort_start: datetime) -> DataFrame:
+    """(user, registration month), shuffled by user."""
+    return _since(users, cohort_start).select(
+        F.col("id").alias("user_id"), month(F.col("created_at")).alias("cohort_month")
+    ).repartition("user_id")
+
+
 def retention(users: DataFrame, activity: DataFrame, cohort_start: datetime) -> DataFrame:
     """Active users and their share of the cohort, per registration month and activity month.
 
     As in a plain join on the user, activity before the cohort's own month counts too.
     """
-    cohort = _since(users, cohort_start).groupBy(
-        F.col("id").alias("user_id"), month(F.col("created_at")).alias("cohort_month")
-    ).agg(F.count("*").alias("copies"))
+    # Ids hardly repeat, so one shuffle by user serves the count, the join and the cohort sizes.
+    cohort = _cohorts(users, cohort_start).groupBy("user_id", "cohort_month").agg(F.count("*").alias("copies"))
     size = cohort.groupBy("cohort_month").agg(F.sum("copies").alias("size"))
     # (user, cohort month) and (user, activity month) are unique, so counting rows counts users.
     active = (
@@ -230,9 +236,7 @@ def retention(users: DataFrame, activity: DataFrame, cohort_start: datetime) ->
 
 def cohort_activity(users: DataFrame, activity: DataFrame, cohort_start: datetime) -> DataFrame:
     """Active users per registration month and activity month; only registration is limited in time."""
-    cohort = _since(users, cohort_start).select(
-        F.col("id").alias("user_id"), month(F.col("created_at")).alias("cohort_month")
-    ).distinct()
+    cohort = _cohorts(users, cohort_start).distinct()
     return (
         cohort.join(_user_months(activity), "user_id")
         .groupBy("cohort_month", "activity_month")
