@@ -587,6 +587,10 @@ WHERE doc_id IN (SELECT min(doc_id) FROM prints GROUP BY fingerprint)"""
 define("dedup_records", _FIRST, _PRINTS)
 define("dedup_new_records", _FIRST + " AND fingerprint NOT IN (SELECT fingerprint FROM known)",
        _PRINTS, _KNOWN.format(where=" WHERE quality = 1"))
+define("dedup_batches", """
+SELECT min(doc_id) AS doc_id, fingerprint FROM prints
+WHERE fingerprint NOT IN (SELECT fingerprint FROM known) GROUP BY fingerprint""",
+       _PRINTS, _KNOWN.format(where=""))
 define("dedup_repeated_batch", "SELECT DISTINCT * FROM events")
 
 # --- windows, loading, jobs ----------------------------------------------------------------

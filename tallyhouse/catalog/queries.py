@@ -603,6 +603,15 @@ def dedup_new_records(spark, folder):
     return D.new_records(documents, _text_print(), "doc_id", seen).drop("text")
 
 
+@query
+def dedup_batches(spark, folder):
+    """Labelled documents come first, then all; new ones of the second batch, with the fingerprints stored between."""
+    path = shared_folder(spark, "seen")
+    D.remember(_labelled(spark, folder), _text_print(), path)
+    documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
+    return D.new_records(documents, _text_print(), "doc_id", D.recall(spark, path)).select("doc_id", D.FINGERPRINT)
+
+
 @query
 def dedup_repeated_batch(spark, folder):
     events = parquet_table(spark, folder, "events")

@@ -1,4 +1,7 @@
-"""Windows, date parts and distances between timestamps (all without time zone)."""
+"""Windows, date parts and distances between timestamps.
+
+All of it is arithmetic on timestamps without zone, so results do not depend on the session's zone.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +11,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DAY_MICROS = 86_400_000_000
-
 
 def moment(value: datetime | str) -> Column:
     """A TIMESTAMP_NTZ literal, so that comparisons reach the parquet reader as pushed filters."""
@@ -75,22 +76,27 @@ def calendar_days(end: Column, start: Column) -> Column:
     return F.date_diff(F.to_date(end), F.to_date(start))
 
 
-def _floor_units(micros: Column, unit: int) -> Column:
-    """Floor division in whole numbers: the dividend is made a multiple of the unit first."""
-    return ((micros - F.pmod(micros, F.lit(unit))) / F.lit(unit)).cast("long")
+def _floor_days(interval: Column) -> Column:
+    """Whole days of an interval, rounded down."""
+    days = F.extract(F.lit("DAY"), interval)
+    return F.when(F.make_dt_interval(days=days) > interval, days - 1).otherwise(days)
 
 
 def days_since(column: Column, as_of: datetime) -> Column:
     """Whole days up to ``as_of``, rounded down also for later timestamps."""
-    return _floor_units(F.timestamp_diff("MICROSECOND", column, moment(as_of)), _DAY_MICROS)
+    return _floor_days(moment(as_of) - column).cast("long")
 
 
 def millis_between(start: Column, end: Column) -> Column:
     """Milliseconds from start to end, cut to an integer; NULL when either end is missing."""
-    return F.timestamp_diff("MILLISECOND", start, end)
+    def part(name: str) -> Column:
+        return F.extract(F.lit(name), end - start)
+
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000 + (part("SECOND") * 1000).cast("long")
 
 
 def chunk_number(column: Column, start: datetime, days: int) -> Column:
     """Index of the ``days``-long piece a timestamp falls in, counted from ``start``."""
-    micros = F.timestamp_diff("MICROSECOND", moment(start), column)
-    return _floor_units(micros, _DAY_MICROS * days).cast("int")
+    passed = _floor_days(column - moment(start))
+    return ((passed - F.pmod(passed, F.lit(days))) / days).cast("int")

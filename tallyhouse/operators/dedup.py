@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.load import append_if_absent, existing
 from tallyhouse.operators.staging import settled
 
 FINGERPRINT = "fingerprint"
@@ -26,17 +27,6 @@ def distinct_records(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the smallest ``order`` per key; ties fall to the smallest remaining columns.
-
-    The minimum of a struct is kept per map task, so a hot key sends one row per task.
-    """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    best = F.min(F.struct(*order, *rest)).alias("_best")
-    found = df.groupBy(*keys).agg(best)
-    return found.select(*[F.col(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns])
-
-
 def stamped(df: DataFrame, fingerprint: Column) -> DataFrame:
     """Add the fingerprint. It is never NULL, so rows without one count as equal, and the NULL
     checks of later joins are dropped instead of computing the digest twice."""
@@ -46,7 +36,7 @@ def stamped(df: DataFrame, fingerprint: Column) -> DataFrame:
 def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
     """First occurrence per fingerprint, with the fingerprint as a column.
 
-    ``row_id`` orders the rows and must differ between them (else use ``first_per_key``).
+    ``row_id`` orders the rows and must differ between them (else use ``firsts.first_per_key``).
     Only fingerprint and id are aggregated. The table of repeated fingerprints is settled
     first: while it is small, whole rows are not shuffled at all; when it is not, nothing
     follows the join, so AQE can cut the partition of a hot fingerprint.
@@ -100,6 +90,25 @@ def fingerprint_table(df: DataFrame, fingerprint: Column) -> DataFrame:
     return stamped(df, fingerprint).select(FINGERPRINT).distinct()
 
 
+def remember(df: DataFrame, fingerprint: Column, path: str) -> int:
+    """Add a batch's fingerprints to the stored table of known ones; gives the number of new ones.
+
+    Call it after the batch itself has been loaded: if a run breaks in between, the batch is
+    taken as new again, and insert-if-absent loading leaves out what is already there.
+    """
+    return append_if_absent(fingerprint_table(df, fingerprint), path, [FINGERPRINT])
+
+
+def recall(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table of known fingerprints, or None before the first batch; its count is the number seen."""
+    return existing(spark, path)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Empty the stored table."""
+    spark.createDataFrame([], f"{FINGERPRINT} string").write.mode("overwrite").parquet(path)
+
+
 def _part(member: Column, parts: Column) -> Column:
     """Which of ``parts`` pieces a member falls in: 32 bits of its MD5, so any id type spreads evenly."""
     bits = F.conv(F.substring(F.md5(member.cast("string")), 1, 8), 16, 10).cast("long")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dedup import first_per_key
+from tallyhouse.operators.firsts import first_per_key
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:

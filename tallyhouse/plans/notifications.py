@@ -34,7 +34,7 @@ def daily_notifications(
         .groupBy(day(F.col("sent_at")).alias("notification_date"), "channel", "notification_type")
         .agg(*counts)
     )
-    return daily.orderBy("notification_date", "channel") if ordered else daily
+    return daily.orderBy("notification_date", "channel", "notification_type") if ordered else daily
 
 
 def _rates(sent: Column, delivered: Column, opened: Column, clicked: Column) -> dict[str, Column]:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+CLUSTER_PARTITIONS = "8192"
+
 
 def build_session(app: str = "tallyhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on.
 
-    Shuffle width is left to AQE: the initial number is high on a cluster and small
-    partitions are merged at run time, so one setting serves a day and a backfill.
+    Shuffle width is left to AQE: on a cluster shuffles start wide and small partitions are
+    merged at run time, so one setting serves a day and a backfill over years. Streams keep
+    spark.sql.shuffle.partitions, which is fixed for the life of a checkpoint.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -30,7 +32,11 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    wide = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(wide, None) is None:
+        spark.conf.set(wide, CLUSTER_PARTITIONS)
+    return spark
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -39,10 +45,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     Only a local session may fall back to a temporary folder: on a cluster other
     executors could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip(os.sep)}/{name}-{uuid.uuid4().hex[:12]}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

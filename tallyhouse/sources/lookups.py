@@ -14,11 +14,14 @@ ACTIVITY_LIMIT = 1000
 
 
 def users_between(users: DataFrame, span: Span) -> DataFrame:
-    """Users registered in the span, oldest first."""
+    """Users registered in the span, oldest first.
+
+    The id as second key lets the sort cut through a moment many users share.
+    """
     return (
         users.filter(span.holds(F.col("created_at")))
         .select("id", "email", "name", "created_at", "last_login_at", "status")
-        .orderBy("created_at")
+        .orderBy("created_at", "id")
     )
 
 
@@ -27,7 +30,7 @@ def orders_of_user(orders: DataFrame, user_id: int) -> DataFrame:
     return (
         orders.filter(F.col("user_id") == user_id)
         .select("id", "user_id", "total_amount", "status", "created_at")
-        .orderBy(F.desc("created_at"))
+        .orderBy(F.desc("created_at"), F.desc("id"))
     )
 
 

@@ -23,7 +23,7 @@ def parquet_stream(spark: SparkSession, folder: str, name: str, files_per_batch:
 
 
 def _zoned(stream: DataFrame, event_time: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; the session zone is UTC, so the clock reading stays."""
+    """Watermarks need a zoned timestamp. In a UTC session, which streams need, the clock reading stays."""
     return stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
 
 

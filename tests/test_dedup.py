@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import dedup as D
 from tallyhouse.operators import fingerprints as FP
+from tallyhouse.operators.firsts import first_per_key
 
 # A third of all rows share one value; the others repeat a little or not at all.
 HOT = [(i, "hot" if i % 3 == 0 else f"v{i % 701}") for i in range(3000)]
@@ -88,7 +89,7 @@ def test_first_per_fingerprint_when_joins_are_shuffled(spark, rows):
 
 def test_first_per_key_breaks_ties(spark):
     df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 2, "0"), (None, 9, "n")], "k string, o long, v string")
-    got = D.first_per_key(df, ["k"], ["o"])
+    got = first_per_key(df, ["k"], ["o"])
     assert got.columns == ["k", "o", "v"]
     assert {tuple(r) for r in got.collect()} == {("k", 1, "a"), (None, 9, "n")}
 
@@ -146,3 +147,15 @@ def test_groups_as_text(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id long, value string")
     got = D.duplicate_groups(df, F.col("value"), "id", "key", joined_by=",").collect()
     assert [(r.key, r.duplicate_ids) for r in got] == [("a", "1,3")]
+
+
+def test_known_fingerprints_over_batches(spark, tmp_path):
+    path, loaded = str(tmp_path / "seen"), []
+    for batch in ([(1, "a"), (2, "b"), (3, "a")], [(4, "b"), (5, "c")], [(6, "c"), (7, "a")]):
+        df = spark.createDataFrame(batch, "id long, value string")
+        new = D.new_records(df, F.md5("value"), "id", D.recall(spark, path)).collect()
+        loaded += [r.id for r in new]
+        assert D.remember(df, F.md5("value"), path) == len(new)
+    assert loaded == [1, 2, 5] and D.recall(spark, path).count() == 3
+    D.forget(spark, path)
+    assert D.recall(spark, path).count() == 0

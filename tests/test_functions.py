@@ -165,3 +165,26 @@ def test_chunk_numbers(spark):
     start = datetime(2024, 1, 1)
     rows = [(datetime(2024, 1, 1),), (datetime(2024, 1, 7, 23, 59, 59, 999999),), (datetime(2024, 1, 8),), (datetime(2023, 12, 31),)]
     assert one(spark, "t timestamp_ntz", rows, time.chunk_number(F.col("t"), start, 7)) == [0, 0, 1, -1]
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    # Clocks in this zone skip an hour on 10 March 2024.
+    rows = [(datetime(2024, 3, 9, 12), datetime(2024, 3, 10, 12))]
+    columns = [
+        time.days_since(F.col("a"), datetime(2024, 3, 10, 12)), time.millis_between(F.col("a"), F.col("b")),
+        time.whole_days(F.col("b"), F.col("a")), time.chunk_number(F.col("b"), datetime(2024, 3, 9, 12), 1),
+        time.month(F.col("a")).cast("string"),
+    ]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = values(spark, "a timestamp_ntz, b timestamp_ntz", rows, *columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(1, 86_400_000, 1, 1, "2024-03-01")]
+
+
+def test_milliseconds_are_cut_towards_zero(spark):
+    start = datetime(2024, 1, 1)
+    ends = [datetime(2024, 1, 3, 4, 5, 6, 789_999), datetime(2023, 12, 31, 23, 59, 59, 999_500)]
+    got = one(spark, "a timestamp_ntz, b timestamp_ntz", [(start, e) for e in ends], time.millis_between(F.col("a"), F.col("b")))
+    assert got == [int((e - start).total_seconds() * 1000) for e in ends]
