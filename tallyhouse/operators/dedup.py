@@ -1,8 +1,9 @@
 """Duplicates: removing, marking, and listing them.
 
 A fingerprint may be shared by a large part of all rows. So nothing here sorts or gathers
-the rows of one fingerprint in one task: survivors come from aggregates that combine on the
-map side, and joins back to the rows use the row's own id next to the fingerprint.
+the rows of one fingerprint in one task: what is known about fingerprints comes from
+aggregates that combine on the map side, and meets the rows in a join that is broadcast or
+that AQE can cut.
 """
 
 from __future__ import annotations
@@ -33,56 +34,55 @@ def stamped(df: DataFrame, fingerprint: Column) -> DataFrame:
     return df.withColumn(FINGERPRINT, F.coalesce(fingerprint, F.lit("")))
 
 
-def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
-    """First occurrence per fingerprint, with the fingerprint as a column.
+def _verdicts(marked: DataFrame, row_id: str, seen: DataFrame | None) -> DataFrame:
+    """The fingerprints that decide anything: repeated ones with their first row, and known ones.
 
-    ``row_id`` orders the rows and must differ between them (else use ``firsts.first_per_key``).
-    Only fingerprint and id are aggregated. The table of repeated fingerprints is settled
-    first: while it is small, whole rows are not shuffled at all; when it is not, nothing
-    follows the join, so AQE can cut the partition of a hot fingerprint.
+    Only fingerprint and id are aggregated, one row per fingerprint meets the known ones, and
+    what is left is settled, since it is usually far smaller than the records.
     """
-    marked = stamped(df, fingerprint)
-    repeated = (
-        marked.groupBy(FINGERPRINT)
-        .agg(F.min(row_id).alias("_first"), F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select(FINGERPRINT, "_first")
-    )
-    joined = marked.join(settled(repeated, "repeated"), FINGERPRINT, "left")
-    first = F.col("_first").isNull() | (F.col(row_id) == F.col("_first"))
-    return joined.filter(first).select(*df.columns, FINGERPRINT)
-
-
-def _winners(marked: DataFrame, order: str, seen: DataFrame | None) -> DataFrame:
-    """First row id of every fingerprint that is not in the table of known ones."""
-    first = marked.groupBy(FINGERPRINT).agg(F.min(order).alias(order))
-    return first if seen is None else first.join(seen.select(FINGERPRINT), FINGERPRINT, "left_anti")
+    found = marked.groupBy(FINGERPRINT).agg(F.min(row_id).alias("_first"), F.count("*").alias("_n"))
+    if seen is None:
+        found = found.withColumn("_known", F.lit(False))
+    else:
+        known = seen.select(FINGERPRINT).distinct().withColumn("_known", F.lit(True))
+        found = found.join(known, FINGERPRINT, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    deciding = found.filter((F.col("_n") > 1) | F.col("_known"))
+    return settled(deciding.select(FINGERPRINT, "_first", "_known"), "verdicts")
 
 
 def mark_new(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:
     """Every row with its fingerprint and ``is_new``: first of its kind and not known before.
 
-    ``row_id`` must order the rows and differ between them. The flag comes back by a join on
-    (row id, fingerprint); joining on the fingerprint alone would send a hot one to one task.
+    ``row_id`` is a stored column that orders the rows and differs between them (without one,
+    use ``firsts.first_per_key``); the rows are read twice and must be the same both times.
+    While the table of verdicts is small enough to broadcast, the records are not shuffled at
+    all. When it is not, both sides of the join come straight from their shuffles and nothing
+    here needs its partitioning, which is what lets AQE cut the partition of a hot fingerprint.
     """
     marked = stamped(df, fingerprint)
-    winners = _winners(marked, row_id, seen).withColumn("_new", F.lit(True))
-    joined = marked.join(winners, [row_id, FINGERPRINT], "left")
-    return joined.select(*df.columns, FINGERPRINT, F.coalesce("_new", F.lit(False)).alias("is_new"))
+    joined = marked.join(_verdicts(marked, row_id, seen), FINGERPRINT, "left")
+    new = F.col("_known").isNull() | (~F.col("_known") & (F.col(row_id) == F.col("_first")))
+    return joined.select(*df.columns, FINGERPRINT, new.alias("is_new"))
 
 
 def new_records(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:
     """First occurrences that are not in the table of known fingerprints."""
-    first = first_per_fingerprint(df, fingerprint, row_id)
-    return first if seen is None else first.join(seen.select(FINGERPRINT), FINGERPRINT, "left_anti")
+    return mark_new(df, fingerprint, row_id, seen).filter("is_new").drop("is_new")
+
+
+def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
+    """First occurrence per fingerprint, with the fingerprint as a column."""
+    return new_records(df, fingerprint, row_id)
 
 
 def known_records(df: DataFrame, fingerprint: Column, seen: DataFrame) -> DataFrame:
     """Rows whose fingerprint is in the table of known ones.
 
-    Nothing is grouped after this semi join, so AQE can cut a hot fingerprint's partition.
+    The known ones are narrowed to those the rows really have, and settled, before they meet the rows.
     """
-    return stamped(df, fingerprint).join(seen.select(FINGERPRINT), FINGERPRINT, "left_semi")
+    marked = stamped(df, fingerprint)
+    present = marked.select(FINGERPRINT).distinct().join(seen.select(FINGERPRINT), FINGERPRINT, "left_semi")
+    return marked.join(settled(present, "known"), FINGERPRINT, "left_semi")
 
 
 def fingerprint_table(df: DataFrame, fingerprint: Column) -> DataFrame:
