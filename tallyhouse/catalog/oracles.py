@@ -153,7 +153,9 @@ shop_contacts AS (
 )"""
 
 
-def define(name: str, body: str, *tables: str) -> None:
+def define(name: str, body: str, *tables: str, dates: tuple[str, ...] = ()) -> None:
+    if dates:
+        body = f"SELECT * REPLACE ({', '.join(f'{d}::VARCHAR AS {d}' for d in dates)}) FROM ({body})"
     ORACLES[name] = (f"WITH {', '.join(tables)}\n" if tables else "") + body
 
 
@@ -319,7 +321,7 @@ define("retry_queue", """
 SELECT id, user_id, channel, retry_count FROM shop_notes WHERE status = 'failed' AND retry_count < 3""", NOTES)
 
 define("delivery_latency", """
-SELECT id, CASE WHEN delivered_at IS NOT NULL THEN (epoch_us(delivered_at) - epoch_us(sent_at)) // 1000 END
+SELECT id, CASE WHEN delivered_at IS NOT NULL THEN (epoch_us(delivered_at) - epoch_us(sent_at)) // 1000 END::DOUBLE
     AS delivery_time_ms FROM shop_notes""", NOTES)
 
 define("email_validity", f"""
@@ -346,9 +348,9 @@ SELECT created_at::DATE AS registration_date, count(*) AS total_registrations,
 FROM shop_users WHERE created_at IS NOT NULL GROUP BY 1 ORDER BY 1"""
 
 define("registration_daily", _REGISTERED.format(
-    more=", count(*) FILTER (tier = 'enterprise') AS enterprise_signups"), USERS)
-define("registration_daily_inline", _REGISTERED.format(more=""), USERS)
-define("registration_daily_v1", _REGISTERED.format(more=""), USERS)
+    more=", count(*) FILTER (tier = 'enterprise') AS enterprise_signups"), USERS, dates=("registration_date",))
+define("registration_daily_inline", _REGISTERED.format(more=""), USERS, dates=("registration_date",))
+define("registration_daily_v1", _REGISTERED.format(more=""), USERS, dates=("registration_date",))
 
 _ACTIVE = """
 FROM shop_users u LEFT JOIN events a ON u.id = a.user_id WHERE u.created_at IS NOT NULL"""
@@ -416,17 +418,17 @@ SELECT c.cohort_month, m.activity_month, count(DISTINCT c.user_id) AS active_use
     count(DISTINCT c.user_id)::DOUBLE / max(s.size) * 100 AS retention_rate
 FROM cohort c JOIN months m ON c.user_id = m.user_id
 JOIN (SELECT cohort_month, count(*) AS size FROM cohort GROUP BY 1) s ON s.cohort_month = c.cohort_month
-GROUP BY 1, 2 ORDER BY 1, 2""", USERS, _COHORT)
+GROUP BY 1, 2 ORDER BY 1, 2""", USERS, _COHORT, dates=("cohort_month", "activity_month"))
 
 define("cohort_activity", """
 SELECT c.cohort_month, m.activity_month, count(DISTINCT c.user_id) AS active_users
-FROM cohort c JOIN months m ON c.user_id = m.user_id GROUP BY 1, 2 ORDER BY 1, 2""", USERS, _COHORT)
+FROM cohort c JOIN months m ON c.user_id = m.user_id GROUP BY 1, 2 ORDER BY 1, 2""", USERS, _COHORT, dates=("cohort_month", "activity_month"))
 
 define("daily_active_users", """
 SELECT a.ts::DATE AS activity_date, count(DISTINCT a.user_id) AS dau,
     count(DISTINCT CASE WHEN u.tier = 'premium' THEN a.user_id END) AS premium_dau,
     count(DISTINCT CASE WHEN u.tier = 'enterprise' THEN a.user_id END) AS enterprise_dau
-FROM events a JOIN shop_users u ON a.user_id = u.id GROUP BY 1 ORDER BY 1""", USERS)
+FROM events a JOIN shop_users u ON a.user_id = u.id GROUP BY 1 ORDER BY 1""", USERS, dates=("activity_date",))
 
 _SINCE = f"CAST(floor(epoch(TIMESTAMP '{AS_OF}' - last_activity_at) / 86400.0) AS BIGINT)"
 
@@ -454,14 +456,14 @@ order_days AS (
 _ORDER_NUMBERS = """
 SELECT order_date, status, order_count, total_revenue::DOUBLE AS total_revenue, avg_order_value
 FROM order_days ORDER BY 1, 2"""
-define("order_daily", _ORDER_NUMBERS, ORDERS, _ORDER_DAY)
-define("order_metrics_v1", _ORDER_NUMBERS, ORDERS, _ORDER_DAY)
+define("order_daily", _ORDER_NUMBERS, ORDERS, _ORDER_DAY, dates=("order_date",))
+define("order_metrics_v1", _ORDER_NUMBERS, ORDERS, _ORDER_DAY, dates=("order_date",))
 
 _ORDER_TEXT = """
 SELECT order_date, status, order_count, total_revenue::VARCHAR AS total_revenue,
     avg_order_value::DECIMAL(22,6)::VARCHAR AS avg_order_value FROM order_days"""
 for _name in ("order_metrics_v2", "append_if_absent_rows", "load_order_analytics"):
-    define(_name, _ORDER_TEXT, ORDERS, _ORDER_DAY)
+    define(_name, _ORDER_TEXT, ORDERS, _ORDER_DAY, dates=("order_date",))
 
 _PAYMENT_DAY = """
 payment_days AS (
@@ -473,14 +475,14 @@ payment_days AS (
 
 define("payment_daily", """
 SELECT payment_date, payment_method, transaction_count, total_amount::DOUBLE AS total_amount, successful, failed,
-    avg_processing_time FROM payment_days ORDER BY 1, 2""", PAYMENTS, _PAYMENT_DAY)
+    avg_processing_time FROM payment_days ORDER BY 1, 2""", PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 
 _PAYMENT_METRICS = f"""
 SELECT payment_date, payment_method, transaction_count, total_amount::VARCHAR AS total_amount,
     successful AS successful_count, failed AS failed_count, {percent("successful", "transaction_count")} AS success_rate,
     avg_processing_time AS avg_processing_time_ms FROM payment_days"""
-define("payment_metrics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY)
-define("load_payment_analytics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY)
+define("payment_metrics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
+define("load_payment_analytics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 
 _NOTE_DAY = """
 note_days AS (
@@ -490,16 +492,16 @@ note_days AS (
     FROM shop_notes WHERE channel IN ('email', 'sms', 'push') GROUP BY 1, 2, 3
 )"""
 
-define("notification_daily", "SELECT * FROM note_days ORDER BY 1, 2", NOTES, _NOTE_DAY)
+define("notification_daily", "SELECT * FROM note_days ORDER BY 1, 2", NOTES, _NOTE_DAY, dates=("notification_date",))
 
 _RATES = f"""{percent("delivered", "total_sent")} AS delivery_rate, {percent("opened", "delivered")} AS open_rate,
     {percent("clicked", "opened")} AS click_rate"""
 _NOTE_METRICS = f"""
 SELECT notification_date, channel, notification_type, total_sent, delivered, opened, clicked, {_RATES},
     {percent("clicked", "total_sent")} AS click_through_rate{{more}} FROM note_days"""
-define("notification_metrics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY)
-define("load_notification_analytics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY)
-define("notification_metrics_v1", _NOTE_METRICS.format(more=""), NOTES, _NOTE_DAY)
+define("notification_metrics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
+define("load_notification_analytics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
+define("notification_metrics_v1", _NOTE_METRICS.format(more=""), NOTES, _NOTE_DAY, dates=("notification_date",))
 
 _CHANNEL = f"""
 SELECT *, {_RATES}{{more}} FROM (

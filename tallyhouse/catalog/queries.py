@@ -1,16 +1,18 @@
 """Every operator as a query over the test tables: ``name -> (spark, folder) -> DataFrame``.
 
-Queries run over whole tables. Money leaves as double or text and arrays as text, so that
-results compare the same way in any engine.
+Queries run over whole tables. Money leaves as double or text, dates and arrays as text, so
+that results compare the same way in any engine and client.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions import secrets as S
 from tallyhouse.functions.numbers import currency_text, divide_or
@@ -44,7 +46,15 @@ STATUSES = ["active", "inactive", "churned"]
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query under its name, with dates as text."""
+
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        df = function(spark, folder)
+        dates = [f.name for f in df.schema if isinstance(f.dataType, T.DateType)]
+        return df.withColumns({c: F.col(c).cast("string") for c in dates}) if dates else df
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -295,7 +305,8 @@ def retry_queue(spark, folder):
 
 @query
 def delivery_latency(spark, folder):
-    return N.delivery_latency(E.notifications(spark, folder)).select("id", "delivery_time_ms")
+    latency = N.delivery_latency(E.notifications(spark, folder)).select("id", "delivery_time_ms")
+    return _doubles(latency, "delivery_time_ms")
 
 
 @query

@@ -21,22 +21,18 @@ def money(amount: Column) -> Column:
 def round_cents(value: Column) -> Column:
     """Round a double to two places the way an IEEE-exact, half-to-even rounding does.
 
-    ``round`` and ``bround`` work on the printed decimal, so 0.025 counts as a tie
-    although the stored double lies above it. Here the fraction is scaled by 2^60,
-    which is exact, and the rest is integer arithmetic.
+    ``round`` and ``bround`` work on the printed decimal, so 0.025 counts as a tie although
+    the stored double lies above it. Here the fraction is scaled by 2^60, which is exact, and
+    rounded as a decimal. The quotient has 17 places; anything but a true tie is at least
+    100 / 2^60, about 9e-17, away from one.
     """
     size = F.abs(value)
     whole = F.floor(size)
     # Through long: a double cast straight to decimal goes by its printed, inexact digits.
-    fraction = ((size - whole) * F.lit(float(_TWO_60))).cast("long").cast("decimal(20,0)")
-    scaled = fraction * F.lit(100).cast("decimal(3,0)")
-    unit = F.lit(_TWO_60).cast("decimal(20,0)")
-    half = F.lit(_TWO_60 // 2).cast("decimal(20,0)")
-    rest = scaled % unit
-    cents = ((scaled - rest) / unit).cast("long")
-    up = (rest > half) | ((rest == half) & (cents % 2 == 1))
-    rounded = (whole * 100 + cents + F.when(up, 1).otherwise(0)).cast("double") / F.lit(100.0)
-    return F.when(value < 0, -rounded).otherwise(rounded)
+    fraction = ((size - whole) * F.lit(float(_TWO_60))).cast("long").cast("decimal(19,0)")
+    hundredths = (fraction * F.lit(100).cast("decimal(3,0)")).cast("decimal(21,0)") / F.lit(_TWO_60).cast("decimal(19,0)")
+    cents = F.bround(hundredths, 0).cast("long")
+    return F.signum(value) * ((whole * 100 + cents).cast("double") / F.lit(100.0))
 
 
 def percent(part: Column, total: Column) -> Column:

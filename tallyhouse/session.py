@@ -25,6 +25,8 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Not recording where each column was written halves the time to build wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
