@@ -15,6 +15,11 @@ from pyspark.sql import types as T
 LONG, INT, STRING, BOOLEAN = "long", "int", "string", "boolean"
 DOUBLE, DECIMAL, TIME = "double", "decimal(18,2)", "timestamp_ntz"
 
+TYPES: dict[str, T.DataType] = {
+    LONG: T.LongType(), INT: T.IntegerType(), STRING: T.StringType(), BOOLEAN: T.BooleanType(),
+    DOUBLE: T.DoubleType(), DECIMAL: T.DecimalType(18, 2), TIME: T.TimestampNTZType(),
+}
+
 # The closed value lists of version 2.
 USER_STATUS = ("active", "inactive", "suspended", "churned", "pending_verification")
 USER_TIER = ("free", "basic", "premium", "enterprise")
@@ -177,5 +182,4 @@ def fields_of(entity: str, version: int) -> Sequence[Field]:
 
 def struct_of(entity: str, version: int) -> T.StructType:
     """The entity as a Spark schema."""
-    ddl = ", ".join(f"{f.name} {f.kind}" for f in fields_of(entity, version))
-    return T.StructType.fromDDL(ddl)
+    return T.StructType([T.StructField(f.name, TYPES[f.kind]) for f in fields_of(entity, version)])
