@@ -663,12 +663,11 @@ def append_if_absent_rows(spark, folder):
 
 
 def _jobs(spark, folder):
-    return {
-        "user_analytics": lambda: J.user_job(E.users(spark, folder), EVER, AS_OF),
-        "order_analytics": lambda: J.order_job(E.orders(spark, folder), EVER),
-        "payment_analytics": lambda: J.payment_job(E.payments(spark, folder), EVER, salt=SALT),
-        "notification_analytics": lambda: J.notification_job(E.notifications(spark, folder), EVER),
+    sources = {
+        "users": E.users(spark, folder), "orders": E.orders(spark, folder), "payments": E.payments(spark, folder),
+        "notifications": E.notifications(spark, folder),
     }
+    return J.all_jobs(sources, EVER, AS_OF, SALT)
 
 
 def _loaded(spark, folder, job, table):

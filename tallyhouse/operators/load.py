@@ -7,6 +7,7 @@ out, so running a load again, or after a failure, adds nothing twice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,23 @@ def absent_rows(
     return first.join(held, match, "left_anti")
 
 
+def range_of(df: DataFrame, column: str) -> Column:
+    """A filter for the range a column spans in a frame: one aggregated row comes to the driver.
+
+    As ``reach`` it is right when rows with equal keys have equal values in the column, for
+    example because it belongs to the key.
+    """
+    low, high, empty = df.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull()) > 0).first()
+    kind = df.schema[column].dataType
+
+    def bound(value: object) -> Column:
+        # As text, since a plain datetime would become a timestamp with zone.
+        return F.lit(None if value is None else str(value)).cast(kind)
+
+    inside = F.col(column).between(bound(low), bound(high))
+    return inside | F.col(column).isNull() if empty else inside
+
+
 def append_if_absent(
     new: DataFrame,
     path: str,
@@ -60,3 +78,20 @@ def append_if_absent(
     writer = rows.observe(counted, F.count("*").alias("rows")).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return int(counted.get["rows"])
+
+
+def database_sink_options(url: str, table: str, rows_per_insert: int = 1000, connections: int = 8) -> dict[str, str]:
+    """Options of a parallel database write with a bounded number of connections."""
+    return {
+        "url": url, "dbtable": table, "batchsize": str(rows_per_insert), "numPartitions": str(connections),
+    }
+
+
+def append_to_database(
+    new: DataFrame, target: DataFrame, key: Sequence[str], reach: Column | None = None, **sink: Any
+) -> int:
+    """As ``append_if_absent``, for a database table: ``target`` is its split read, ``sink`` its write options."""
+    counted = Observation()
+    rows = absent_rows(new, target, key, reach).observe(counted, F.count("*").alias("rows"))
+    rows.write.format("jdbc").options(**database_sink_options(**sink)).mode("append").save()
+    return int(counted.get["rows"])

@@ -121,6 +121,22 @@ def notification_job(
     )
 
 
+def all_jobs(
+    sources: Mapping[str, DataFrame], span: Span, as_of: datetime, salt: str | None = None, version: int = 2,
+    pii_mode: str = "token",
+) -> dict[str, Callable[[], Job]]:
+    """The four jobs over ``users``, ``orders``, ``payments`` and ``notifications``.
+
+    Each is built only when it is run, so a source that cannot be read fails its own job alone.
+    """
+    return {
+        "user_analytics": lambda: user_job(sources["users"], span, as_of, version),
+        "order_analytics": lambda: order_job(sources["orders"], span, version=version),
+        "payment_analytics": lambda: payment_job(sources["payments"], span, pii_mode, salt),
+        "notification_analytics": lambda: notification_job(sources["notifications"], span, version=version),
+    }
+
+
 def run_job(job: Job, warehouse: str, dry_run: bool = False) -> RunSummary:
     """Run one job; a failed write fails the run."""
     summary = RunSummary(job.name, start_time=datetime.now(timezone.utc))

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tallyhouse.functions.numbers import MONEY_TOTAL, money
 from tallyhouse.operators.dedup import FINGERPRINT
-from tallyhouse.operators.load import append_if_absent
+from tallyhouse.operators.load import append_if_absent, range_of
 
 
 def parquet_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -83,11 +83,17 @@ def notification_windows(notifications: DataFrame, width: str = "1 hour", delay:
     ])
 
 
-def sink_if_absent(stream: DataFrame, path: str, key: Sequence[str], checkpoint: str) -> DataStreamWriter:
-    """Append only absent keys. A batch that is replayed after a failure finds its rows already there."""
+def sink_if_absent(
+    stream: DataFrame, path: str, key: Sequence[str], checkpoint: str, reach_by: str | None = None
+) -> DataStreamWriter:
+    """Append only absent keys. A batch that is replayed after a failure finds its rows already there.
+
+    ``reach_by`` names a column of the key, usually its date: a batch then reads only the part
+    of the table in its own range of that column, so batches do not slow down as the table grows.
+    """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        append_if_absent(batch, path, key)
+        append_if_absent(batch, path, key, reach=range_of(batch, reach_by) if reach_by else None)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
 

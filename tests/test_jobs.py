@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.time import Span
-from tallyhouse.operators.load import absent_rows, append_if_absent, existing
+from tallyhouse.operators.load import absent_rows, append_if_absent, database_sink_options, existing, range_of
 from tallyhouse.plans import jobs as J
 from tallyhouse.plans import orders as O
 from tallyhouse.sources import entities as E
@@ -64,15 +64,27 @@ def test_reach_prunes_the_target(spark, tmp_path):
     assert plan.count() == 4
 
 
+def test_range_of_a_batch(spark):
+    days = [datetime(2024, 1, d, 1, 2, 3, 456789) for d in (1, 3, 2)]
+    df = spark.createDataFrame([(d,) for d in days], "at timestamp_ntz")
+    wide = spark.createDataFrame([(d,) for d in days + [datetime(2023, 1, 1), None]], "at timestamp_ntz")
+    assert sorted(r.at for r in wide.filter(range_of(df, "at")).collect()) == sorted(days)
+    assert wide.filter(range_of(wide, "at")).count() == 5
+    assert wide.filter(range_of(wide.limit(0), "at")).count() == 0
+
+
+def test_database_writes_are_bounded():
+    assert database_sink_options("jdbc:x", "t", connections=4) == {
+        "url": "jdbc:x", "dbtable": "t", "batchsize": "1000", "numPartitions": "4"
+    }
+
+
 def make_jobs(spark):
-    return {
-        "user_analytics": lambda: J.user_job(E.users(spark, FOLDER), YEARS, datetime(2001, 8, 1)),
-        "order_analytics": lambda: J.order_job(E.orders(spark, FOLDER), YEARS),
-        "payment_analytics": lambda: J.payment_job(E.payments(spark, FOLDER), YEARS, salt="s"),
-        "notification_analytics": lambda: J.notification_job(
-            E.notifications(spark, FOLDER), Span(datetime(2024, 1, 1), datetime(2024, 2, 1))
-        ),
+    sources = {
+        "users": E.users(spark, FOLDER), "orders": E.orders(spark, FOLDER), "payments": E.payments(spark, FOLDER),
+        "notifications": E.notifications(spark, FOLDER),
     }
+    return J.all_jobs(sources, Span(datetime(1995, 1, 1), datetime(2025, 1, 1)), datetime(2001, 8, 1), "s")
 
 
 def test_jobs_load_once(spark, tmp_path):

@@ -61,11 +61,14 @@ def test_windows_over_batches_with_late_rows(spark, tmp_path):
     ]
 
 
-def test_sink_skips_what_is_there(spark, tmp_path):
+@pytest.mark.parametrize("reach_by", [None, "id"])
+def test_sink_skips_what_is_there(spark, tmp_path, reach_by):
     write_batches(spark, tmp_path, [[order(1, 0), order(2, 0)], [order(2, 5), order(3, 5), order(3, 6)]])
     for attempt in range(2):
         stream = ST.parquet_stream(spark, str(tmp_path), "orders", files_per_batch=1)
-        ST.run_available(ST.sink_if_absent(stream, f"{tmp_path}/out", ["id"], f"{tmp_path}/checkpoint{attempt}"))
+        ST.run_available(
+            ST.sink_if_absent(stream, f"{tmp_path}/out", ["id"], f"{tmp_path}/checkpoint{attempt}", reach_by)
+        )
     got = {r.id: r.created_at for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {1: START, 2: START, 3: START + timedelta(minutes=5)}
 
