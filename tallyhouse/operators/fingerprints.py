@@ -39,10 +39,21 @@ def record_fingerprint(df: DataFrame, algorithm: str = "sha256", columns: Collec
     return digest(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), algorithm)
 
 
+def _plain(kind: T.DataType, value: Column) -> Column:
+    """A value as text: True and False with capitals, times with all six decimals or none."""
+    if isinstance(kind, T.BooleanType):
+        return F.when(value, "True").when(~value, "False")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        decimals = F.date_format(value, ".SSSSSS")
+        return F.when(decimals == ".000000", whole).otherwise(F.concat(whole, decimals))
+    return value.cast("string")
+
+
 def field_fingerprint(df: DataFrame, fields: Collection[str], algorithm: str = "sha256") -> Column:
     """Digest of some fields, sorted by name; absent ones count as '', NULL has its own mark."""
     parts = [
-        F.coalesce(F.col(f).cast("string"), F.lit(NULL_TEXT)) if f in df.columns else F.lit("")
+        F.coalesce(_plain(df.schema[f].dataType, F.col(f)), F.lit(NULL_TEXT)) if f in df.columns else F.lit("")
         for f in sorted(fields)
     ]
     return digest(F.concat_ws(SEPARATOR, *parts), algorithm)

@@ -41,6 +41,8 @@ def jdbc_options(
         "fetchsize": str(fetch_rows),
         "pushDownPredicate": "true",
         "pushDownAggregate": "true",
+        # Columns without zone stay without zone, as all time arithmetic here expects.
+        "preferTimestampNTZ": "true",
     }
 
 

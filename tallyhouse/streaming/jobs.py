@@ -33,11 +33,12 @@ def dedup_stream(
     """First record per fingerprint within the watermark delay.
 
     State is bounded by the delay: a copy later than that passes. A hot fingerprint is first
-    thinned out in ``spread`` separate partitions and only the survivors meet in one.
+    thinned out in ``spread`` separate partitions and only the survivors meet in one. The input
+    split is part of the lane, so that even rows equal in all columns spread out.
     """
     marked = _zoned(stream, event_time).withColumn(FINGERPRINT, fingerprint).withWatermark(event_time, delay)
     if spread > 1:
-        lane = F.pmod(F.xxhash64(*stream.columns), F.lit(spread)).cast("int")
+        lane = F.pmod(F.xxhash64(F.spark_partition_id(), *stream.columns), F.lit(spread)).cast("int")
         marked = marked.withColumn("_lane", lane).dropDuplicatesWithinWatermark([FINGERPRINT, "_lane"]).drop("_lane")
     return marked.dropDuplicatesWithinWatermark([FINGERPRINT])
 

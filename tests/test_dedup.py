@@ -1,6 +1,9 @@
 """Fingerprints and duplicates, with hot groups checked against brute force."""
 
+import hashlib
 from collections import defaultdict
+from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +58,19 @@ def test_field_fingerprint(spark):
         FP.field_fingerprint(df, ["id"], "crc")
 
 
+def test_field_fingerprint_of_typed_values(spark):
+    """The digest is that of the values' plain text, sorted by name, with | between them."""
+    rows = [
+        (1, True, datetime(2024, 1, 2, 3, 4, 5), Decimal("1.50"), "é"),
+        (-2, False, datetime(2024, 1, 2, 3, 4, 5, 600), Decimal("0.00"), ""),
+        (3, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "n long, flag boolean, at timestamp_ntz, cost decimal(9,2), word string")
+    got = [r[0] for r in df.select(FP.field_fingerprint(df, df.columns)).collect()]
+    texts = [[str(v) for _, v in sorted(zip(df.columns, row))] for row in rows]
+    assert got == [hashlib.sha256("|".join(t).encode()).hexdigest() for t in texts]
+
+
 def test_identity_hash_normalises(spark):
     df = spark.createDataFrame(
         [("TEST@Test.Com ", " 1", "JOHN DOE"), ("test@test.com", "1", "john doe"), (None, None, None), ("", "", "")],
