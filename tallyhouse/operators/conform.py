@@ -63,7 +63,7 @@ def _rules(df: DataFrame, field: Field) -> list[tuple[Column, str]]:
     if df.schema[field.name].dataType.simpleString() != field.kind:
         rules.append((given.isNull() | _typed(df, field).isNotNull(), f"{field.name}: not a {field.kind}"))
     if field.allowed:
-        rules.append((given.isNull() | given.isin(*field.allowed), f"{field.name}: unknown value"))
+        rules.append((given.isNull() | _typed(df, field).isin(*field.allowed), f"{field.name}: unknown value"))
     return rules
 
 

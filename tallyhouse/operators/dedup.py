@@ -60,7 +60,7 @@ def mark_new(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame |
     marked = stamped(df, fingerprint)
     joined = marked.join(_verdicts(marked, row_id, seen), FINGERPRINT, "left")
     new = F.col("_known").isNull() | (~F.col("_known") & (F.col(row_id) == F.col("_first")))
-    return joined.select(*df.columns, FINGERPRINT, new.alias("is_new"))
+    return joined.select(*df.columns, FINGERPRINT, F.coalesce(new, F.lit(False)).alias("is_new"))
 
 
 def new_records(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:

@@ -51,15 +51,14 @@ def range_of(df: DataFrame, column: str) -> Column:
     As ``reach`` it is right when rows with equal keys have equal values in the column, for
     example because it belongs to the key.
     """
-    low, high, empty = df.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull()) > 0).first()
+    # The bounds travel as text: cast back in the same session they are the same values, while a
+    # zoned timestamp would come to Python in the zone of the driver's machine.
+    low, high, nulls = df.agg(
+        F.min(column).cast("string"), F.max(column).cast("string"), F.count_if(F.col(column).isNull())
+    ).first()
     kind = df.schema[column].dataType
-
-    def bound(value: object) -> Column:
-        # As text, since a plain datetime would become a timestamp with zone.
-        return F.lit(None if value is None else str(value)).cast(kind)
-
-    inside = F.col(column).between(bound(low), bound(high))
-    return inside | F.col(column).isNull() if empty else inside
+    inside = F.col(column).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return inside | F.col(column).isNull() if nulls else inside
 
 
 def append_if_absent(

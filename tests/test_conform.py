@@ -58,6 +58,18 @@ def test_unreadable_money_is_rejected(spark):
     assert {(r.id, r.amount) for r in C.conform(df, "refund", 1).valid.collect()} == {(1, 12.345), (3, 0.0)}
 
 
+def test_values_of_another_type(spark):
+    df = spark.createDataFrame([("1", 7, "2024-01-15 10:30:00"), ("x", None, "soon")], "id string, status int, created_at string")
+    df = df.selectExpr("*", "id AS payment_id", "id AS order_id", "id AS user_id", "'t' AS user_token", "'n' AS order_number")
+    refunds = C.conform(df, "refund", 1)
+    assert [(r.id, r.status, r.created_at) for r in refunds.valid.collect()] == [(1, "7", AT)]
+    orders = C.conform(df, "order", 2)
+    assert {tuple(r.reject_reasons) for r in orders.rejected.collect()} == {
+        ("status: unknown value",),
+        ("id: not a long", "user_id: not a long", "created_at: not a timestamp_ntz"),
+    }
+
+
 def test_missing_required_column_rejects_all(spark):
     valid, rejected = C.conform(spark.createDataFrame([(1,)], "id long"), "activity", 1)
     assert valid.count() == 0

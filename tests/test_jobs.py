@@ -71,6 +71,8 @@ def test_range_of_a_batch(spark):
     assert sorted(r.at for r in wide.filter(range_of(df, "at")).collect()) == sorted(days)
     assert wide.filter(range_of(wide, "at")).count() == 5
     assert wide.filter(range_of(wide.limit(0), "at")).count() == 0
+    zoned = wide.selectExpr("CAST(at AS TIMESTAMP) AS at")
+    assert zoned.filter(range_of(zoned.filter("at >= TIMESTAMP'2024-01-01'"), "at")).count() == 3
 
 
 def test_database_writes_are_bounded():
