@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from tallyhouse.catalog.oracles import ORACLES
+from tallyhouse.catalog.queries import QUERIES
 from tests.compare import connect, differences
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.01")
@@ -18,10 +19,10 @@ def sql():
 
 
 def test_all_queries_have_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    df = entry.queries()[name](spark, FOLDER)
-    assert differences(df, sql, entry.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, FOLDER)
+    assert differences(df, sql, ORACLES[name]) == []
