@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import jaccard, language, mixing, quality, trie_bpe
+from tallyhouse.llm import (
+    jaccard, language, mixing, quality, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,11 +29,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def word_file() -> str:
-    """Where the vocabulary lies; the same path on every machine."""
+def vocabulary(name: str) -> str:
+    """Where a vocabulary file lies; the same path on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_file() -> str:
+    return vocabulary("word_bpe_49k.json")
 
 
 def mixed(docs: DataFrame, share: tuple[int, int], epochs: int) -> DataFrame:
@@ -63,6 +69,26 @@ def op3_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.encode_digests(table(spark, folder, "documents"), word_file())
 
 
+@query
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_files.write(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+    return token_files.crc_of_ids(files)
+
+
+@query
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    bad = F.expr("quality = 0 or toxic = 1")
+    return url_rules.judged(table(spark, folder, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
+
+
+@query
+def op6_tool_links(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = tool_links.chat_calls(table(spark, folder, "conversations"))
+    found = tool_links.linked(calls, results, tool_links.CHAT_SCHEMAS)
+    return found.withColumn("problems", F.array_join("problems", "; "))
+
+
 @query
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.of_documents(table(spark, folder, "documents")).withColumnRenamed("row", "doc_id")
@@ -75,6 +101,16 @@ def language_of_pages(spark: SparkSession, folder: str) -> DataFrame:
     return language.of_pages(table(spark, folder, "pages"), labelled).withColumnRenamed("row", "page_id")
 
 
+@query
+def op8_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_groups.vector_groups(table(spark, folder, "embeddings"))
+
+
+@query
+def op9_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, folder, "pages"))
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
