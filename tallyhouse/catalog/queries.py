@@ -41,7 +41,6 @@ EVER = Span(datetime(1990, 1, 1), datetime(2030, 1, 1))
 SINCE = datetime(1990, 1, 1)
 AS_OF = datetime(2001, 8, 1, 12)
 SALT = "catalog-salt"
-LIST_ROWS = 100_000
 STATUSES = ["active", "inactive", "churned"]
 
 
@@ -311,7 +310,7 @@ def delivery_latency(spark, folder):
 
 @query
 def email_validity(spark, folder):
-    return E.contacts(spark, folder).select("id", "email", is_email(F.col("email")).alias("is_valid"))
+    return E.address_candidates(spark, folder).select("id", "email", is_email(F.col("email")).alias("is_valid"))
 
 
 @query
@@ -393,14 +392,12 @@ def _hashed_documents(spark, folder):
 
 @query
 def duplicate_identities(spark, folder):
-    groups = U.duplicate_identities(_hashed_documents(spark, folder), LIST_ROWS)
-    ids = F.transform("duplicate_ids", lambda i: i.cast("string"))
-    return groups.withColumn("duplicate_ids", F.array_join(ids, ","))
+    return U.duplicate_identities(_hashed_documents(spark, folder))
 
 
 @query
 def duplicate_identities_v1(spark, folder):
-    return U.duplicate_identities_v1(E.contacts(spark, folder), LIST_ROWS)
+    return U.duplicate_identities_v1(E.contacts(spark, folder))
 
 
 @query
@@ -482,7 +479,7 @@ def channel_metrics(spark, folder):
 
 @query
 def tokenize_column(spark, folder):
-    cards = E.contacts(spark, folder).select("id", "card_number")
+    cards = E.contacts(spark, folder).select("id", "n", "card_number")
     return PR.tokenize_columns(cards, {"card_number": S.CARD}, SALT)
 
 
@@ -525,7 +522,7 @@ def mask_contacts(spark, folder):
 
 @query
 def hash_contacts(spark, folder):
-    return PR.hash_columns(E.contacts(spark, folder).select("id", "email", "phone"), ["email", "phone"])
+    return PR.hash_columns(E.contacts(spark, folder).select("id", "n", "email", "phone"), ["email", "phone"])
 
 
 @query
@@ -535,7 +532,7 @@ def anonymize_users(spark, folder):
 
 @query
 def contact_features(spark, folder):
-    return PR.contact_features(E.contacts(spark, folder))
+    return PR.contact_features(E.contacts(spark, folder), ("id", "n"))
 
 
 @query
@@ -582,23 +579,24 @@ def _text_print():
 
 
 def _labelled(spark, folder, **equals):
-    """Documents that have a label, as the batch that came before."""
+    """Fingerprints of the documents that have a label, as the batch that came before. Only digests are joined."""
     labels = select_where(parquet_table(spark, folder, "labels"), ["doc_id"], equals)
-    return parquet_table(spark, folder, "documents").join(labels, "doc_id", "left_semi")
+    prints = parquet_table(spark, folder, "documents").select("doc_id", _text_print().alias(D.FINGERPRINT))
+    return prints.join(labels, "doc_id", "left_semi")
 
 
 @query
 def known_duplicates(spark, folder):
-    seen = D.fingerprint_table(_labelled(spark, folder), _text_print())
-    documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
-    return D.known_records(documents, _text_print(), seen).select("doc_id", D.FINGERPRINT)
+    seen = D.fingerprint_table(_labelled(spark, folder), F.col(D.FINGERPRINT))
+    prints = D.pairs(parquet_table(spark, folder, "documents"), _text_print(), "doc_id")
+    return D.known_records(prints, F.col(D.FINGERPRINT), seen)
 
 
 @query
 def mark_new(spark, folder):
-    seen = D.fingerprint_table(_labelled(spark, folder, quality=0), _text_print())
+    seen = D.fingerprint_table(_labelled(spark, folder, quality=0), F.col(D.FINGERPRINT))
     documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
-    return D.mark_new(documents, _text_print(), "doc_id", seen).select("doc_id", D.FINGERPRINT, "is_new")
+    return D.mark_new(documents, _text_print(), "doc_id", seen)
 
 
 @query
@@ -609,7 +607,7 @@ def dedup_records(spark, folder):
 
 @query
 def dedup_new_records(spark, folder):
-    seen = D.fingerprint_table(_labelled(spark, folder, quality=1), _text_print())
+    seen = D.fingerprint_table(_labelled(spark, folder, quality=1), F.col(D.FINGERPRINT))
     documents = parquet_table(spark, folder, "documents")
     return D.new_records(documents, _text_print(), "doc_id", seen).drop("text")
 
@@ -618,7 +616,7 @@ def dedup_new_records(spark, folder):
 def dedup_batches(spark, folder):
     """Labelled documents come first, then all; new ones of the second batch, with the fingerprints stored between."""
     path = shared_folder(spark, "seen")
-    D.remember(_labelled(spark, folder), _text_print(), path)
+    D.remember(_labelled(spark, folder), F.col(D.FINGERPRINT), path)
     documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
     return D.new_records(documents, _text_print(), "doc_id", D.recall(spark, path)).select("doc_id", D.FINGERPRINT)
 
@@ -705,10 +703,53 @@ def load_channel_analytics(spark, folder):
 def run_summary(spark, folder):
     done = J.run_jobs(_jobs(spark, folder), shared_folder(spark, "unused"), dry_run=True)
     return J.summary_frame(spark, done).select(
-        "job_name", "status", "records_extracted", "records_transformed", "records_loaded", "error_count"
+        "job_name", "status", "records_extracted", "records_transformed", "records_loaded", "records_processed", "records_skipped",
+        "records_failed", "window_start", "window_end", "error_count"
     )
 
 
+@query
+def backfill_load(spark, folder):
+    """A quarter loaded week by week, one week twice, and one piece that has no source at first."""
+    span, orders = Span(datetime(1996, 1, 1), datetime(1996, 3, 27)), E.orders(spark, folder)
+    warehouse, missing = shared_folder(spark, "warehouse"), [datetime(1996, 2, 5)]
+
+    def make(piece):
+        if piece.start in missing:
+            raise ValueError("no source")
+        return J.order_job(orders, piece)
+
+    J.run_backfill(make, span, warehouse, name="order_analytics")
+    missing.clear()
+    J.run_backfill(make, span, warehouse, name="order_analytics")
+    return spark.read.parquet(f"{warehouse}/order_analytics")
+
+
+def _props(spark, folder):
+    """Events with their properties as a map, and in an array of structs, with names that are personal data."""
+    words = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user_email"), F.concat(F.col("user_id").cast("string"), F.lit("@shop.test")))
+    parts = F.array(F.struct(F.col("event_type").alias("step"), F.col("user_id").cast("string").alias("phone")))
+    return parquet_table(spark, folder, "events").select("event_id", words.alias("words"), parts.alias("parts"))
+
+
+@query
+def sanitize_maps(spark, folder):
+    clean = PR.sanitize(_props(spark, folder))
+    return clean.select("event_id", F.col("words")["kind"].alias("kind"), F.col("words")["user_email"].alias("user_email"),
+                        F.col("parts")[0]["step"].alias("step"), F.col("parts")[0]["phone"].alias("phone"))
+
+
+@query
+def record_fingerprint_nested(spark, folder):
+    """Events whose fingerprint stays the same when map entries and struct fields come in another order."""
+    props = _props(spark, folder)
+    other = props.select(
+        "event_id", F.map_from_entries(F.reverse(F.map_entries("words"))).alias("words"),
+        F.transform("parts", lambda p: F.struct(p["phone"].alias("phone"), p["step"].alias("step"))).alias("parts"))
+    one, two = (d.select("event_id", FP.record_fingerprint(d, columns=["words", "parts"]).alias(n)) for d, n in ((props, "one"), (other, "two")))
+    return one.join(two, "event_id").select("event_id", (F.col("one") == F.col("two")).alias("same"), F.length("one").cast("long").alias("digits"))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
@@ -722,21 +763,35 @@ def _streamed(spark, stream):
 def stream_dedup(spark, folder):
     events = ST.parquet_stream(spark, folder, "events")
     kind = F.sha2(F.concat_ws("|", "user_id", "event_type"), 256)
-    return _streamed(spark, ST.dedup_stream(events, kind, "ts", "60 days")).select(
-        D.FINGERPRINT, "user_id", "event_type"
-    )
+    out = shared_folder(spark, "stream")
+    ST.run_available(ST.sink_new_records(events, kind, "event_id", f"{out}/table", f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/table").select("event_id", D.FINGERPRINT, "user_id", "event_type")
+
+
+@query
+def stream_dedup_within_delay(spark, folder):
+    """The variant with bounded state; here no event is later than the delay."""
+    events = ST.parquet_stream(spark, folder, "events")
+    kind = F.sha2(F.concat_ws("|", "user_id", "event_type"), 256)
+    return _streamed(spark, ST.dedup_stream(events, kind, "ts", "60 days")).select(D.FINGERPRINT, "user_id", "event_type")
 
 
 @query
 def stream_append(spark, folder):
     out = shared_folder(spark, "stream")
-    events = ST.parquet_stream(spark, folder, "events")
+    events = ST.parquet_stream(spark, folder, "events").withColumn("day", F.to_date("ts"))
     for attempt in ("first", "again"):
         # The second run sees the same events as new input and must add nothing.
         ST.run_available(
-            ST.sink_if_absent(events, f"{out}/table", ["user_id", "event_type"], f"{out}/{attempt}")
+            ST.sink_if_absent(events, f"{out}/table", ["day", "user_id", "event_type"], f"{out}/{attempt}", "day")
         )
-    return spark.read.parquet(f"{out}/table").select("user_id", "event_type")
+    return spark.read.parquet(f"{out}/table").select("day", "user_id", "event_type")
+
+
+def _all_windows(spark, windows, keys):
+    out = shared_folder(spark, "stream")
+    ST.run_available(ST.sink_windows(windows, f"{out}/table", f"{out}/checkpoint"))
+    return _plain_times(ST.latest_windows(spark, f"{out}/table", keys))
 
 
 def _plain_times(df):
@@ -746,18 +801,18 @@ def _plain_times(df):
 @query
 def stream_notification_windows(spark, folder):
     stream = E.notification_columns(ST.parquet_stream(spark, folder, "events"))
-    return _plain_times(_streamed(spark, ST.notification_windows(stream)))
+    return _all_windows(spark, ST.notification_windows(stream), ["channel", "notification_type"])
 
 
 @query
 def stream_order_windows(spark, folder):
     stream = E.order_columns(ST.parquet_stream(spark, folder, "orders"))
     windows = ST.order_windows(stream, "1 day", "1 day")
-    return _doubles(_plain_times(_streamed(spark, windows)), "total_revenue")
+    return _doubles(_all_windows(spark, windows, ["status"]), "total_revenue")
 
 
 @query
 def stream_payment_windows(spark, folder):
     stream = E.payment_columns(ST.parquet_stream(spark, folder, "lineitem"))
     windows = ST.payment_windows(stream, "1 day", "1 day")
-    return _doubles(_plain_times(_streamed(spark, windows)), "total_amount")
+    return _doubles(_all_windows(spark, windows, ["payment_method"]), "total_amount")

@@ -48,24 +48,33 @@ def _verdicts(marked: DataFrame, row_id: str, seen: DataFrame | None) -> DataFra
     return settled(deciding.select(FINGERPRINT, "_first", "_known"), "verdicts")
 
 
+def pairs(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
+    """``row_id`` and fingerprint of every row, settled: the records are read and hashed once."""
+    return settled(stamped(df, fingerprint).select(row_id, FINGERPRINT), "pairs")
+
+
 def mark_new(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:
-    """Every row with its fingerprint and ``is_new``: first of its kind and not known before.
+    """Id, fingerprint and ``is_new`` of every row: first of its kind and not known before.
 
     ``row_id`` is a stored column that orders the rows and differs between them (without one,
-    use ``firsts.first_per_key``); the rows are read twice and must be the same both times.
-    While the table of verdicts is small enough to broadcast, the records are not shuffled at
-    all. When it is not, both sides of the join come straight from their shuffles and nothing
+    use ``firsts.first_per_key``). Only the narrow pairs are aggregated and joined. While the table of verdicts
+    is small enough to broadcast they are not shuffled again. When it is not, both sides of the
+    join come straight from their shuffles and nothing
     here needs its partitioning, which is what lets AQE cut the partition of a hot fingerprint.
     """
-    marked = stamped(df, fingerprint)
+    marked = pairs(df, fingerprint, row_id)
     joined = marked.join(_verdicts(marked, row_id, seen), FINGERPRINT, "left")
     new = F.col("_known").isNull() | (~F.col("_known") & (F.col(row_id) == F.col("_first")))
-    return joined.select(*df.columns, FINGERPRINT, F.coalesce(new, F.lit(False)).alias("is_new"))
+    return joined.select(row_id, FINGERPRINT, F.coalesce(new, F.lit(False)).alias("is_new"))
 
 
 def new_records(df: DataFrame, fingerprint: Column, row_id: str, seen: DataFrame | None = None) -> DataFrame:
-    """First occurrences that are not in the table of known fingerprints."""
-    return mark_new(df, fingerprint, row_id, seen).filter("is_new").drop("is_new")
+    """First occurrences that are not in the table of known fingerprints, with all their columns.
+
+    The records come in at the end, by id; a plan that needs none of their wide columns never reads them again.
+    """
+    new = mark_new(df, fingerprint, row_id, seen).filter("is_new").select(row_id, FINGERPRINT)
+    return df.join(new, row_id).select(*df.columns, FINGERPRINT)
 
 
 def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> DataFrame:
@@ -74,7 +83,7 @@ def first_per_fingerprint(df: DataFrame, fingerprint: Column, row_id: str) -> Da
 
 
 def known_records(df: DataFrame, fingerprint: Column, seen: DataFrame) -> DataFrame:
-    """Rows whose fingerprint is in the table of known ones.
+    """Rows whose fingerprint is in the table of known ones. ``df`` should be narrow, or its pairs.
 
     The known ones are narrowed to those the rows really have, and settled, before they meet the rows.
     """
@@ -107,37 +116,20 @@ def forget(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], f"{FINGERPRINT} string").write.mode("overwrite").parquet(path)
 
 
-def _part(member: Column, parts: Column) -> Column:
-    """Which of ``parts`` pieces a member falls in: 32 bits of its MD5, so any id type spreads evenly."""
-    bits = F.conv(F.substring(F.md5(member.cast("string")), 1, 8), 16, 10).cast("long")
-    return F.pmod(bits, parts)
+def duplicate_members(df: DataFrame, key: Column, member: str, name: str) -> DataFrame:
+    """A row for each member of a key held by more than one row, with the size of its group.
 
-
-def duplicate_groups(
-    df: DataFrame, key: Column, member: str, name: str, rows_per_list: int = 100_000, joined_by: str | None = None
-) -> DataFrame:
-    """Keys held by more than one row: count and sorted member ids. Rows with a NULL key are left out.
-
-    A group of up to ``rows_per_list`` members is one row with ``part`` 0. A larger one is
-    spread over several rows of about that many members, numbered by ``part``, each with the
-    count of the whole group: no list grows with the group and no member is left out.
-
-    The sizes of repeated keys are settled first, so only members of such groups are
-    shuffled when that table can be broadcast. Otherwise the join is shuffled as well; the
-    repartition after it keeps the join free of later needs, so AQE can cut a hot key.
+    Rows with a NULL key are left out. The shape is the same for any size of a group. The sizes of repeated
+    keys are settled first, so only members of such groups are shuffled when that table can be broadcast.
     """
-    keyed = df.select(key.alias(name), F.col(member).alias("_member")).filter(F.col(name).isNotNull())
+    keyed = settled(df.select(key.alias(name), F.col(member).alias("duplicate_id")).filter(F.col(name).isNotNull()), "keys")
     sizes = keyed.groupBy(name).agg(F.count("*").alias("duplicate_count")).filter(F.col("duplicate_count") > 1)
-    pieces = F.ceil(F.col("duplicate_count") / F.lit(rows_per_list)).cast("long")
-    part = F.when(pieces == 1, F.lit(0).cast("long")).otherwise(_part(F.col("_member"), pieces))
-    members = F.array_sort(F.collect_list("_member"))
+    return keyed.join(settled(sizes, "sizes"), name).select(name, "duplicate_count", "duplicate_id")
+
+
+def listed(members: DataFrame, name: str, joined_by: str | None = None) -> DataFrame:
+    """The members of each group as one sorted list, or text: a choice of the reader who knows that groups are small."""
+    ids = F.array_sort(F.collect_list("duplicate_id"))
     if joined_by is not None:
-        members = F.array_join(F.transform(members, lambda m: m.cast("string")), joined_by)
-    return (
-        keyed.join(settled(sizes, "sizes"), name)
-        .select(name, "duplicate_count", "_member", part.alias("part"))
-        .repartition(name, "part")
-        .groupBy(name, "part")
-        .agg(F.max("duplicate_count").alias("duplicate_count"), members.alias("duplicate_ids"))
-        .select(name, "duplicate_count", "part", "duplicate_ids")
-    )
+        ids = F.array_join(F.transform(ids, lambda m: m.cast("string")), joined_by)
+    return members.groupBy(name, "duplicate_count").agg(ids.alias("duplicate_ids"))

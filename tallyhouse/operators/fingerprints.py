@@ -23,10 +23,16 @@ def digest(value: Column, algorithm: str = "sha256") -> Column:
 
 
 def _canonical(kind: T.DataType, value: Column) -> Column:
-    """Structs with sorted field names; times, dates and decimals in their plain text form."""
+    """Structs with sorted field names, maps as sorted entries, at any depth; times, dates and decimals in their plain text form."""
     if isinstance(kind, T.StructType):
         inner = [_canonical(f.dataType, value.getField(f.name)).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
         return F.when(value.isNotNull(), F.struct(*inner))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _canonical(kind.elementType, x))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(
+            _canonical(kind.keyType, e.getField("key")).alias("key"), _canonical(kind.valueType, e.getField("value")).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(value), entry))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.DecimalType)):
         return value.cast("string")
     return value
@@ -43,6 +49,12 @@ def _plain(kind: T.DataType, value: Column) -> Column:
     """A value as text: True and False with capitals, times with all six decimals or none."""
     if isinstance(kind, T.BooleanType):
         return F.when(value, "True").when(~value, "False")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _canonical(kind.elementType, x))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(
+            _canonical(kind.keyType, e.getField("key")).alias("key"), _canonical(kind.valueType, e.getField("value")).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(value), entry))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         whole = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
         decimals = F.date_format(value, ".SSSSSS")

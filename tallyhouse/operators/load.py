@@ -27,24 +27,41 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def absent_rows(
-    new: DataFrame, target: DataFrame | None, key: Sequence[str], reach: Column | None = None
+    new: DataFrame, target: DataFrame | None, key: Sequence[str], reach: Column | None = None, unique: bool = False
 ) -> DataFrame:
-    """One row per key of ``new`` whose key is not in ``target``. NULL equals NULL in a key.
+    """One row per key of ``new`` whose key is not in ``target``. Rows with a NULL in the key have no key: see ``without_key``.
 
     ``reach`` limits the part of the target that can hold these keys, as a filter on its
     partition or key columns; without it the key columns of the whole target are read.
+    ``unique`` says that ``new`` has each key once, as the result of a grouping by it has.
     """
     rest = [c for c in new.columns if c not in key]
-    first = first_per_key(new, key, rest) if rest else new.distinct()
+    new = new.filter(~_no_key(key))
+    if unique:
+        first = new
+    else:
+        first = first_per_key(new, key, rest) if rest else new.distinct()
     if target is None:
         return first
     held = target.filter(reach) if reach is not None else target
     # A partition column is read back with a guessed type, so keys are compared in the new rows' types.
     held = held.select(*[F.col(c).cast(new.schema[c].dataType).alias(f"_held_{c}") for c in key])
-    match = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in key]
+    match = [F.col(c) == F.col(f"_held_{c}") for c in key]
     return first.join(held, match, "left_anti")
 
 
+def _no_key(key: Sequence[str]) -> Column:
+    found = F.lit(False)
+    for c in key:
+        found = found | F.col(c).isNull()
+    return found
+
+
+def without_key(new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows that cannot be loaded, as a part of their key is NULL: nothing tells them from each other or from what is there."""
+    return new.filter(_no_key(key))
+
+
 def range_of(df: DataFrame, column: str) -> Column:
     """A filter for the range a column spans in a frame: one aggregated row comes to the driver.
 
@@ -67,13 +84,14 @@ def append_if_absent(
     key: Sequence[str],
     partition_by: Sequence[str] = (),
     reach: Column | None = None,
+    unique: bool = False,
 ) -> int:
     """Append the absent rows and return their number.
 
     The count is taken in the writing stage itself, so no second pass over the data is made.
     """
     counted = Observation()
-    rows = absent_rows(new, existing(new.sparkSession, path), key, reach)
+    rows = absent_rows(new, existing(new.sparkSession, path), key, reach, unique)
     writer = rows.observe(counted, F.count("*").alias("rows")).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return int(counted.get["rows"])

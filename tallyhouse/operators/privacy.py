@@ -139,7 +139,26 @@ def contact_features(df: DataFrame, keep: Collection[str] = ("id",)) -> DataFram
 
 
 def sanitize(df: DataFrame, parts: Collection[str] = SENSITIVE_PARTS) -> DataFrame:
-    """Redact every field, at any depth of nesting, whose name contains a sensitive part."""
+    """Redact every field and map key, at any depth of structs, maps and arrays, whose name contains a sensitive part.
+
+    A map has values of one type: where that is not text, a redacted value is NULL.
+    """
+
+    def sensitive(name: Column) -> Column:
+        found = F.lit(False)
+        for part in parts:
+            found = found | F.lower(name.cast("string")).contains(part)
+        return found
+
+    def inside(kind: T.DataType, value: Column) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.when(value.isNotNull(), F.struct(*clean(kind, value)))
+        if isinstance(kind, T.ArrayType) and _nested(kind.elementType):
+            return F.transform(value, lambda x: inside(kind.elementType, x))
+        if isinstance(kind, T.MapType):
+            mark = F.lit(REDACTED) if isinstance(kind.valueType, T.StringType) else F.lit(None)
+            return F.transform_values(value, lambda k, v: F.when(sensitive(k), mark).otherwise(inside(kind.valueType, v)))
+        return value
 
     def clean(schema: T.StructType, at: Column | None) -> list[Column]:
         out = []
@@ -147,9 +166,14 @@ def sanitize(df: DataFrame, parts: Collection[str] = SENSITIVE_PARTS) -> DataFra
             value = F.col(f"`{field.name}`") if at is None else at.getField(field.name)
             if any(part in field.name.lower() for part in parts):
                 value = F.lit(REDACTED)
-            elif isinstance(field.dataType, T.StructType):
-                value = F.when(value.isNotNull(), F.struct(*clean(field.dataType, value)))
+            else:
+                value = inside(field.dataType, value)
             out.append(value.alias(field.name))
         return out
 
     return df.select(*clean(df.schema, None))
+
+
+def _nested(kind: T.DataType) -> bool:
+    """Whether values of a type can hold names."""
+    return isinstance(kind, (T.StructType, T.MapType)) or isinstance(kind, T.ArrayType) and _nested(kind.elementType)

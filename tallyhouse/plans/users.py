@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.numbers import MONEY_TOTAL, money
 from tallyhouse.functions.secrets import email_token, name_token, phone_token
 from tallyhouse.functions.time import Span, calendar_days, day, days_since, moment, month, whole_days
-from tallyhouse.operators.dedup import distinct_records, duplicate_groups
+from tallyhouse.operators.dedup import distinct_records, duplicate_members
 
 # Tiers with their own counts, user states and segment limits.
 PREMIUM, ENTERPRISE = "premium", "enterprise"
@@ -190,15 +190,15 @@ def segment_members(users: DataFrame, orders: DataFrame, registered_from: dateti
     )
 
 
-def duplicate_identities(users: DataFrame, rows_per_list: int = 100_000) -> DataFrame:
-    """Identity hashes shared by several users, with the users' ids."""
-    return duplicate_groups(users, F.col("identity_hash"), "id", "identity_hash", rows_per_list)
+def duplicate_identities(users: DataFrame) -> DataFrame:
+    """Identity hashes shared by several users: a row for each of these users."""
+    return duplicate_members(users, F.col("identity_hash"), "id", "identity_hash")
 
 
-def duplicate_identities_v1(users: DataFrame, rows_per_list: int = 100_000) -> DataFrame:
-    """As above by MD5 of the plain, unseparated contact data, ids as comma-separated text."""
+def duplicate_identities_v1(users: DataFrame) -> DataFrame:
+    """As above by MD5 of the plain, unseparated contact data."""
     key = F.md5(F.concat_ws("", "email", "phone", "name"))
-    return duplicate_groups(users, key, "id", "user_hash", rows_per_list, joined_by=",")
+    return duplicate_members(users, key, "id", "user_hash")
 
 
 def _user_months(activity: DataFrame) -> DataFrame:

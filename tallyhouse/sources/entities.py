@@ -215,14 +215,30 @@ CARD_IN_TEXT = r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}"
 
 
 def contacts(spark: SparkSession, folder: str) -> DataFrame:
-    """First email, phone and card number found in each whole document text; '' when absent."""
-    text = F.col("text")
-    return parquet_table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"),
+    """Every email, phone and card number of the whole document texts: the first of each in one row, then the second ones.
+
+    A text without any gives one row; '' stands where there is none.
+    """
+    text = F.coalesce("text", F.lit(""))
+    found = {
         # Looking for the sign first is much cheaper than the pattern, and most texts have none.
-        F.when(text.contains("@"), F.regexp_extract(text, EMAIL_IN_TEXT, 0)).otherwise("").alias("email"),
-        F.regexp_extract(text, PHONE_IN_TEXT, 0).alias("phone"),
-        F.regexp_extract(text, CARD_IN_TEXT, 0).alias("card_number"),
-        F.col("source").alias("name"),
-        "lang",
-    )
+        "email": F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(EMAIL_IN_TEXT), 0)),
+        "phone": F.regexp_extract_all(text, F.lit(PHONE_IN_TEXT), 0),
+        "card_number": F.regexp_extract_all(text, F.lit(CARD_IN_TEXT), 0),
+    }
+    lists = [F.coalesce(c, F.array().cast("array<string>")).alias(n) for n, c in found.items()]
+    rows = parquet_table(spark, folder, "documents").select(F.col("doc_id").alias("id"), *lists, F.col("source").alias("name"), "lang")
+    last = F.greatest(F.lit(1), *(F.size(n) for n in found))
+    rows = rows.withColumn("n", F.explode(F.sequence(F.lit(1), last)))
+    each = [F.coalesce(F.try_element_at(n, F.col("n")), F.lit("")).alias(n) for n in found]
+    return rows.select("id", F.col("n").cast("long").alias("n"), *each, "name", "lang")
+
+
+# Fixed value: anything that may be meant as an address.
+ADDRESS_LIKE = r"[^ \t\n\r]*@[^ \t\n\r]*"
+
+
+def address_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of the texts with an at sign in it, well formed or not."""
+    rows = parquet_table(spark, folder, "documents").filter(F.col("text").contains("@"))
+    return rows.select(F.col("doc_id").alias("id"), F.explode(F.regexp_extract_all("text", F.lit(ADDRESS_LIKE), 0)).alias("email"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyhouse.functions.numbers import MONEY_TOTAL, money
-from tallyhouse.operators.dedup import FINGERPRINT
-from tallyhouse.operators.load import append_if_absent, range_of
+from tallyhouse.operators.dedup import FINGERPRINT, new_records
+from tallyhouse.operators.load import append_if_absent, existing, range_of
+from tallyhouse.operators.staging import settled
 
 
 def parquet_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -32,7 +33,8 @@ def dedup_stream(
 ) -> DataFrame:
     """First record per fingerprint within the watermark delay.
 
-    State is bounded by the delay: a copy later than that passes. A hot fingerprint is first
+    State is bounded by the delay. Spark drops a record that comes later than the watermark, also if it is the first of
+    its kind, and counts it in numRowsDroppedByWatermark; where none may be lost, use ``sink_new_records``. A hot fingerprint is first
     thinned out in ``spread`` separate partitions and only the survivors meet in one. The input
     split is part of the lane, so that even rows equal in all columns spread out.
     """
@@ -46,7 +48,10 @@ def dedup_stream(
 def windowed(
     stream: DataFrame, event_time: str, width: str, delay: str, keys: Sequence[str], figures: Sequence[Column]
 ) -> DataFrame:
-    """Figures per tumbling window and key. Windows come out once the watermark has passed them."""
+    """Figures per tumbling window and key.
+
+    In append mode a window comes out once the watermark has passed it; ``sink_windows`` also stores those still open.
+    """
     grouped = (
         _zoned(stream, event_time)
         .withWatermark(event_time, delay)
@@ -84,17 +89,58 @@ def notification_windows(notifications: DataFrame, width: str = "1 hour", delay:
     ])
 
 
+def sink_new_records(stream: DataFrame, fingerprint: Column, row_id: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append the first record of each fingerprint, however late it comes.
+
+    What is known lies in a table beside the target, with the batch that brought it. A batch that is replayed sees
+    only earlier ones and writes its own part again, so nothing is lost or doubled.
+    """
+    known = f"{path}_known"
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        held = existing(batch.sparkSession, known)
+        before = None if held is None else held.filter(F.col("batch") < batch_id)
+        new = settled(new_records(batch, fingerprint, row_id, before), "stream-new")
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        new.select(FINGERPRINT).write.mode("overwrite").parquet(f"{known}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+
+
+def sink_windows(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Store every window as it changes, also while it is open: one part for each batch, read with ``latest_windows``."""
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return windows.writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", checkpoint)
+
+
+def latest_windows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last state of each window and key that ``sink_windows`` has stored."""
+    rows = spark.read.parquet(path)
+    by = ["window_start", "window_end", *keys]
+    rest = [c for c in rows.columns if c not in by and c != "batch"]
+    last = rows.groupBy(*by).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select(*by, *(F.col("last").getField(c).alias(c) for c in rest))
+
+
 def sink_if_absent(
-    stream: DataFrame, path: str, key: Sequence[str], checkpoint: str, reach_by: str | None = None
+    stream: DataFrame, path: str, key: Sequence[str], checkpoint: str, reach_by: str | None
 ) -> DataStreamWriter:
     """Append only absent keys. A batch that is replayed after a failure finds its rows already there.
 
     ``reach_by`` names a column of the key, usually its date: a batch then reads only the part
-    of the table in its own range of that column, so batches do not slow down as the table grows.
+    of the table in its own range of that column, so batches do not slow down as the table grows. None has to be
+    chosen: each batch then reads all keys of the table.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        append_if_absent(batch, path, key, reach=range_of(batch, reach_by) if reach_by else None)
+        if reach_by is None:
+            append_if_absent(batch, path, key)
+            return
+        held = settled(batch, "stream-batch")  # computed once for its range and its rows
+        append_if_absent(held, path, key, reach=range_of(held, reach_by))
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
 

@@ -98,7 +98,7 @@ def test_first_per_fingerprint_when_joins_are_shuffled(spark, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         test_first_per_fingerprint(spark, rows)
-        test_large_groups_are_spread(spark, rows)
+        test_a_row_for_each_member_whatever_the_size(spark, rows)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -141,30 +141,26 @@ def test_known_and_new_records(spark, rows):
     assert {r.id for r in new} == {ids[0] for value, ids in groups().items() if value not in ("hot", "v2")}
 
 
-def test_small_groups_are_one_row(spark, rows):
-    got = D.duplicate_groups(rows, F.col("value"), "id", "key").collect()
-    assert {r.key: (r.duplicate_count, r.part, r.duplicate_ids) for r in got} == {
-        value: (len(ids), 0, ids) for value, ids in groups().items() if len(ids) > 1
-    }
-
-
-def test_large_groups_are_spread(spark, rows):
-    got = [r for r in D.duplicate_groups(rows, F.col("value"), "id", "key", rows_per_list=50).collect()]
-    hot = [r for r in got if r.key == "hot"]
-    assert 15 <= len(hot) <= 20 and max(len(r.duplicate_ids) for r in hot) < 100
-    assert sorted(i for r in hot for i in r.duplicate_ids) == groups()["hot"]
-    assert {r.duplicate_count for r in hot} == {1000}
-    assert {r.key: r.duplicate_ids for r in got if r.key != "hot"} == {
-        value: ids for value, ids in groups().items() if value != "hot" and len(ids) > 1
-    }
+def test_a_row_for_each_member_whatever_the_size(spark, rows):
+    members = D.duplicate_members(rows, F.col("value"), "id", "key")
+    wanted = {value: ids for value, ids in groups().items() if len(ids) > 1}
+    assert sorted((r.key, r.duplicate_id, r.duplicate_count) for r in members.collect()) == sorted(
+        (value, i, len(ids)) for value, ids in wanted.items() for i in ids)
+    assert {r.key: r.duplicate_ids for r in D.listed(members, "key").collect()} == wanted
 
 
 def test_groups_as_text(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (4, None), (5, None)], "id long, value string")
-    got = D.duplicate_groups(df, F.col("value"), "id", "key", joined_by=",").collect()
+    got = D.listed(D.duplicate_members(df, F.col("value"), "id", "key"), "key", ",").collect()
     assert [(r.key, r.duplicate_ids) for r in got] == [("a", "1,3")]
 
 
+def test_records_are_hashed_once_and_texts_not_shuffled(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = D.mark_new(documents, F.sha2("text", 256), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan.replace("context", "") and "sha2" not in plan
+
+
 def test_known_fingerprints_over_batches(spark, tmp_path):
     path, loaded = str(tmp_path / "seen"), []
     for batch in ([(1, "a"), (2, "b"), (3, "a")], [(4, "b"), (5, "c")], [(6, "c"), (7, "a")]):
@@ -175,3 +171,11 @@ def test_known_fingerprints_over_batches(spark, tmp_path):
     assert loaded == [1, 2, 5] and D.recall(spark, path).count() == 3
     D.forget(spark, path)
     assert D.recall(spark, path).count() == 0
+
+
+def test_fingerprints_of_maps_and_arrays_do_not_depend_on_order(spark):
+    one = spark.sql("SELECT map('a', 1, 'b', 2) AS m, array(named_struct('x', 1, 'y', map('p', 1, 'q', 2))) AS s")
+    two = spark.sql("SELECT array(named_struct('y', map('q', 2, 'p', 1), 'x', 1)) AS s, map('b', 2, 'a', 1) AS m")
+    other = spark.sql("SELECT array(named_struct('y', map('q', 2, 'p', 3), 'x', 1)) AS s, map('b', 2, 'a', 1) AS m")
+    prints = [d.select(FP.record_fingerprint(d)).first()[0] for d in (one, two, other)]
+    assert prints[0] == prints[1] != prints[2]

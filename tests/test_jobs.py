@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.time import Span
-from tallyhouse.operators.load import absent_rows, append_if_absent, database_sink_options, existing, range_of
+from tallyhouse.operators.load import absent_rows, append_if_absent, database_sink_options, existing, range_of, without_key
 from tallyhouse.plans import jobs as J
 from tallyhouse.plans import orders as O
 from tallyhouse.sources import entities as E
@@ -34,9 +34,38 @@ def test_only_absent_keys_are_added(spark, tmp_path):
 def test_empty_input_and_null_keys(spark, tmp_path):
     path = str(tmp_path / "t")
     assert append_if_absent(spark.createDataFrame([], SCHEMA), path, ["day"]) == 0
-    rows = spark.createDataFrame([(None, "a", 1), (None, "b", 2)], SCHEMA)
+    rows = spark.createDataFrame([(None, "a", 1), (None, "b", 2), ("d", "c", 3)], SCHEMA)
     assert append_if_absent(rows, path, ["day"]) == 1
     assert append_if_absent(rows, path, ["day"]) == 0
+    assert sorted(r.kind for r in without_key(rows, ["day"]).collect()) == ["a", "b"]
+
+
+def test_users_without_a_key_are_counted_and_kept_aside(spark, tmp_path):
+    at, later = datetime(1996, 1, 1), datetime(1997, 1, 1)
+    users = E.users(spark, FOLDER).limit(3).withColumn("created_at", F.lit(at).cast("timestamp_ntz")).withColumn(
+        "user_token", F.when(F.col("id") % 2 == 0, F.col("user_token")))
+    users = spark.createDataFrame(users.collect(), users.schema)
+    keyless = users.filter("user_token IS NULL").count()
+    done = J.run_job(J.user_job(users, YEARS, later), str(tmp_path))
+    assert (done.records_loaded, done.records_failed) == (3 - keyless, keyless)
+    assert spark.read.parquet(f"{tmp_path}/user_analytics_rejects").count() == keyless
+    # The same tokens with another registration date are there already.
+    moved = users.withColumn("created_at", F.lit(later).cast("timestamp_ntz"))
+    again = J.run_job(J.user_job(moved, Span(later, datetime(1998, 1, 1)), later), str(tmp_path))
+    assert again.records_loaded == 0
+    assert spark.read.parquet(f"{tmp_path}/user_analytics").groupBy("user_token").count().filter("count > 1").count() == 0
+
+
+def test_a_span_that_cuts_a_day_is_refused(spark, tmp_path):
+    half = Span(datetime(1995, 1, 1, 12), datetime(1995, 1, 20))
+    for make in (lambda s: J.order_job(E.orders(spark, FOLDER), s), lambda s: J.payment_job(E.payments(spark, FOLDER), s, salt="x"),
+                 lambda s: J.notification_job(E.notifications(spark, FOLDER), s)):
+        with pytest.raises(ValueError, match="whole days"):
+            make(half)
+    done = J.run_backfill(lambda s: J.order_job(E.orders(spark, FOLDER), s), half, str(tmp_path), name="order_analytics")
+    assert {s.status for s in done} == {"failed"} and {s.job_name for s in done} == {"order_analytics"}
+    assert done[0].window_start == half.start and done[0].start_time is not None
+    assert list(tmp_path.iterdir()) == []
 
 
 def test_leftovers_of_a_broken_write_do_not_count(spark, tmp_path):

@@ -94,3 +94,14 @@ def test_nested_fields_are_sanitised(spark):
 def test_features_hold_nothing_else(spark):
     out = P.contact_features(spark.createDataFrame(USER, USER_SCHEMA))
     assert row(out) == {"id": 1, "email_domain": "example.com", "phone_country_code": "1"}
+
+
+def test_maps_and_arrays_are_redacted_at_depth(spark):
+    rows = spark.sql("""SELECT map('password', 'hunter2', 'city', 'Ulm') AS m, array(named_struct('email', 'a@b.c', 'n', 1)) AS a,
+        map('k', named_struct('phone', '1', 'ok', 'x')) AS d, map('user_email', 5, 'n', 6) AS i, array(map('token', 'z')) AS am""")
+    got = P.sanitize(rows).first()
+    assert got.m == {"password": "[REDACTED]", "city": "Ulm"}
+    assert [tuple(x) for x in got.a] == [("[REDACTED]", 1)]
+    assert tuple(got.d["k"]) == ("[REDACTED]", "x")
+    assert got.i == {"user_email": None, "n": 6}
+    assert got.am == [{"token": "[REDACTED]"}]

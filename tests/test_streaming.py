@@ -83,3 +83,21 @@ def test_a_restarted_stream_goes_on(spark, tmp_path):
     assert load() == [1, 2]
     write_batches(spark, tmp_path, [[order(2, 5), order(3, 6)]])
     assert load() == [1, 2, 3]
+
+
+def test_late_first_records_are_kept(spark, tmp_path):
+    write_batches(spark, tmp_path, [[order(1, 0), order(1, 1)], [order(2, 60_000)], [order(3, 2), order(1, 3)], [order(5, 90_000), order(3, 4)]])
+    for attempt in range(2):  # the second run goes on from the checkpoint, with nothing new
+        stream = ST.parquet_stream(spark, str(tmp_path), "orders", files_per_batch=1)
+        ST.run_available(ST.sink_new_records(stream, F.md5(F.col("id").cast("string")), "created_at", f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+        got = spark.read.parquet(f"{tmp_path}/out").collect()
+        assert sorted((r.id, r.created_at) for r in got) == [
+            (1, START), (2, START + timedelta(minutes=60_000)), (3, START + timedelta(minutes=2)), (5, START + timedelta(minutes=90_000))]
+
+
+def test_open_windows_are_stored_too(spark, tmp_path):
+    write_batches(spark, tmp_path, [[order(1, 5), order(2, 70)], [order(3, 50), order(4, 75, amount=2.0)]])
+    stream = ST.parquet_stream(spark, str(tmp_path), "orders", files_per_batch=1)
+    ST.run_available(ST.sink_windows(ST.order_windows(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    got = ST.latest_windows(spark, f"{tmp_path}/out", ["status"]).collect()
+    assert sorted((r.window_start.hour, r.order_count, float(r.total_revenue)) for r in got) == [(0, 2, 2.0), (1, 2, 3.0)]
