@@ -12,10 +12,11 @@ The distance ``1 - |x & y| / |x | y|`` is a metric; two texts link within ``EPS`
 3. Pivots. In each cell its smallest class is the pivot. Every other class of the cell is measured against
    it: within EPS it is linked. Cells whose classes are then all connected are done: a group of
    thousands of near copies costs one comparison for each copy, not one for each pair.
-4. Recursion. In the other cells, classes that the pivot has not connected are joined again, with the next
-   pivots: a pair is measured only if its distances from every earlier pivot of the cell differ by at most EPS (triangle
-   inequality). A cell takes twice as many pivots in each round, until none is left; connected pairs drop out
-   after each round.
+4. Recursion. In the other cells the classes are dealt anew, to the cells of their rarest shingles: a shingle counts only if
+   classes of different components have it, and a class that lacks partners for 85 % of its shingles is done. In these cells
+   classes that are not yet connected are joined with pivot after pivot: a pair is measured only if its distances from the first
+   pivot of the cell differ by at most EPS (triangle inequality), and if enough common shingles can follow. A cell takes STEP times as many pivots in
+   each round, until none is left; connected pairs drop out after each round.
 
 Nothing is estimated. Sets are compared as 64-bit fingerprints of shingles, classes by a 64-bit
 fingerprint of the set.
@@ -42,6 +43,7 @@ from tallyhouse.operators.staging import settled
 SHARE = (85, 100)
 BAND_RATIO = 1 / 0.849  # a little over 1 / 0.85: linked sets are at most one band apart
 MAX_BAND = 220  # sets of up to 4e15 shingles
+STEP = 8  # times as many pivots in each round
 CLASS_SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -113,31 +115,41 @@ def cell_keys(bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def _sets(k: int, kind: str):
-    """Rows ``key, n_shingles, class, cells`` of each text; cells only where a class is first met in a task."""
+def _sizes(k: int):
+    """Rows ``key, n_shingles, class`` of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
         for batch in batches:
             for first, texts in slices(batch.column(1)):
+                bounds, hashes = shingle_sets(texts, k)
+                size = np.diff(bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, texts.n), pa.array(size, pa.int64()), pa.array(class_ids(bounds, hashes), mask=size == 0)],
+                    names=["key", "n_shingles", "class"])
+
+    return run
+
+
+def _cells(k: int):
+    """Rows ``cell, class``, for the texts with which a class is first met in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            for _, texts in slices(batch.column(0)):
                 bounds, hashes = shingle_sets(texts, k)
                 ids, size = class_ids(bounds, hashes), np.diff(bounds)
                 if len(met) > 1_000_000:  # meeting a class again only repeats its cells
                     met.clear()
                 fresh = np.array([s > 0 and (i not in met and not met.add(i)) for i, s in zip(ids.tolist(), size.tolist())], bool)
                 of, keys = cell_keys(np.concatenate(([0], np.cumsum(np.where(fresh, size, 0)))), hashes[np.repeat(fresh, size)])
-                order = np.argsort(of, kind="stable")
-                cells = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(of[order], np.arange(texts.n + 1)), pa.int32()), pa.array(keys[order]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, texts.n), pa.array(size, pa.int64()), pa.array(ids, mask=size == 0), cells],
-                    names=["key", "n_shingles", "class", "cells"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[of])], names=["cell", "class"])
 
-    return run, f"key {kind}, n_shingles long, class long, cells array<long>"
+    return run
 
 
 def _class_sets(k: int):
-    """Rows ``class, members`` of each text, members being its sorted shingles as bytes."""
+    """Rows ``class, n, members`` of each text, members being its n sorted shingles as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +157,8 @@ def _class_sets(k: int):
                 bounds, hashes = shingle_sets(texts, k)
                 members = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(class_ids(bounds, hashes)), pa.array(members, pa.binary())], names=["class", "members"])
+                    [pa.array(class_ids(bounds, hashes)), pa.array(np.diff(bounds), pa.int64()), pa.array(members, pa.binary())],
+                    names=["class", "n", "members"])
 
     return run
 
@@ -168,6 +181,14 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LINKED = f"common * {SHARE[1]} >= total * {SHARE[0]}"
 
 
+#: What holds for a linked pair in the cell of its first common shingle: the triangle inequality, and enough shingles from there
+#: on that are common to some pair: 85 % of the union is 85 / 185 of both sizes together.
+POSSIBLE = (
+    f"abs(far - far_b) <= {1 - SHARE[0] / SHARE[1]} + 1e-9 and "
+    f"(1 + least(useful - place, useful_b - place_b)) * {SHARE[0] + SHARE[1]} >= {SHARE[0]} * (n + n_b)"
+)
+
+
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, common, total`` of each pair of classes."""
     held = pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("x")), "a")
@@ -178,25 +199,23 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, key: str = "doc_id", k: int = 4) -> DataFrame:
     """``key, n_shingles, component_id`` of every row."""
     kind = docs.schema[key].dataType.simpleString()
-    run, schema = _sets(k, kind)
-    every = settled(docs.select(F.col(f"`{key}`").alias("key"), "text").mapInArrow(run, schema), "jaccard-sets")
-    cells = every.select("class", F.explode("cells").alias("cell"))
+    named = docs.select(F.col(f"`{key}`").alias("key"), "text")
+    every = settled(named.mapInArrow(_sizes(k), f"key {kind}, n_shingles long, class long"), "jaccard-sizes")
+    cells = docs.select("text").mapInArrow(_cells(k), "cell long, class long")
     # One shuffle brings the classes of a cell together; only cells of two classes or more go on.
     cell = Window.partitionBy("cell")
     met = cells.select("cell", "class", F.min("class").over(cell).alias("pivot"), F.max("class").over(cell).alias("top"))
-    met = settled(met.where("pivot <> top and class <> pivot").select("cell", "class", "pivot").distinct(), "jaccard-cells")
-    pairs = met.select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+    met = settled(met.where("pivot <> top").select("cell", "class").distinct(), "jaccard-cells")
 
-    wanted = met.select("class").union(met.select("pivot")).distinct()
+    wanted = met.select("class").distinct()
     one = every.where("class is not null").groupBy("class").agg(F.min("key").alias("key")).join(wanted, "class", "left_semi")
-    texts = docs.select(F.col(f"`{key}`").alias("key"), "text").join(one.select("key").distinct(), "key", "left_semi")
-    sets = texts.select("text").mapInArrow(_class_sets(k), "class long, members binary").dropDuplicates(["class"])
-    sets = settled(sets.join(wanted, "class", "left_semi"), "jaccard-members")
+    texts = named.join(one.select("key").distinct(), "key", "left_semi")
+    sets = settled(texts.select("text").mapInArrow(_class_sets(k), "class long, n long, members binary"), "jaccard-members")
 
-    first = settled(measured(pairs, sets), "jaccard-measured")
-    links = first.where(LINKED).select("a", "b")
-    groups = components(links, "jaccard-components")
-    links, groups = recursion(met, first, sets, links, groups)
+    groups, _ = pivot_round(met, sets, None)
+    near = _rare_cells(_open_cells(met, groups), sets)
+    groups, member = pivot_round(_open_cells(near, groups).drop("component"), sets, groups)
+    groups = recursion(member, sets, groups)
 
     low = every.where("class is not null").groupBy("class").agg(F.min("key").alias("key"))
     low = low.join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
@@ -207,27 +226,81 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", k: int = 4) -> Data
     return found.select(F.col("key").alias(key), "n_shingles", F.coalesce("component_id", "key").alias("component_id"))
 
 
-def recursion(met: DataFrame, first: DataFrame, sets: DataFrame, links: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links and the components after the cells that one pivot did not connect are joined exactly."""
-    apart = 1 - F.col("common") / F.col("total")
-    member = met.join(first.select(F.col("a").alias("class"), F.col("b").alias("pivot"), apart.alias("far")), ["class", "pivot"])
-    member = member.select("cell", "class", "far").union(met.select("cell", F.col("pivot").alias("class"), F.lit(0.0)).distinct())
+def merged(groups: DataFrame, new: DataFrame) -> DataFrame:
+    """The components after more links: those of the graph whose nodes are the components so far."""
+    if new.isEmpty():
+        return groups
+    of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    ends = new.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    roots = components(ends, "jaccard-components")
+    root = roots.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    moved = groups.join(root, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    first_met = roots.join(groups.select("node"), "node", "left_anti").select("node", "component")
+    return settled(moved.union(first_met), "jaccard-components")
+
+
+def pivot_round(met: DataFrame, sets: DataFrame, groups: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The components so far, and ``met`` with ``far``: every class's distance from the first pivot of its cell."""
+    pivot = F.min("class").over(Window.partitionBy("cell"))
+    held = met.withColumn("pivot", pivot)
+    pairs = held.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+    found = settled(measured(pairs, sets), "jaccard-measured")
+    new = found.where(LINKED).select("a", "b")
+    groups = components(new, "jaccard-components") if groups is None else merged(groups, new)
+    apart = found.select(F.col("a").alias("class"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("far"))
+    member = held.join(apart, ["class", "pivot"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).drop("pivot")
+    return groups, member
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each class."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            members = np.frombuffer(batch.column(3)[i].as_buffer(), np.int64)
+            one = np.zeros(len(members), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one + batch.column(0)[i].as_py()), pa.array(one + batch.column(1)[i].as_py()), pa.array(one + batch.column(2)[i].as_py()), pa.array(members)],
+                names=["class", "component", "n", "shingle"])
+
+
+def _rare_cells(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cell, class, n, useful, place``: the classes of unconnected cells by their rarest shingles.
+
+    ``useful`` of a class's ``n`` shingles are in another component too, and the cell's is at ``place`` among them.
+
+    A class can only link outside its component through shingles that another component has too. It needs 85 % of its own;
+    by the order of rarity, one of the first ``n - need + 1`` is common to it and its partner, and shingles
+    that nobody outside has may come first.
+    """
+    open_ = member.select("class", "component").distinct()
+    rows = open_.join(sets, "class").select("class", "component", "n", "members").mapInArrow(_shared, "class long, component long, n long, shingle long")
+    shared = Window.partitionBy("shingle")
+    rows = rows.select(
+        "*", F.count(F.lit(1)).over(shared).alias("often"), F.min("component").over(shared).alias("lo"), F.max("component").over(shared).alias("hi")).where("lo <> hi")
+    own = Window.partitionBy("class")
+    ranked = rows.select("class", "n", "shingle", F.count(F.lit(1)).over(own).alias("useful"), F.row_number().over(own.orderBy("often", "shingle")).alias("rank"))
+    need = f"(n * {SHARE[0]} + {SHARE[1] - 1}) div {SHARE[1]}"
+    return settled(ranked.where(f"useful >= {need} and rank <= useful - {need} + 1").select(
+        F.col("shingle").alias("cell"), "class", "n", "useful", F.col("rank").alias("place")), "jaccard-rare")
+
+
+def recursion(member: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """The components after the cells that one pivot did not connect are joined exactly."""
     rank = F.row_number().over(Window.partitionBy("cell").orderBy("class"))
     member, start = _open_cells(member, groups).withColumn("rank", rank), 2
     member = settled(member, "jaccard-open")
     while not member.isEmpty():
         # The pivots of this round are the next ranks; each is paired with the classes that rank after it.
-        pivot = member.where((F.col("rank") >= start) & (F.col("rank") < 2 * start)).select(
-            "cell", F.col("class").alias("b"), F.col("rank").alias("rank_b"), F.col("far").alias("far_b"), F.col("component").alias("of_b"))
-        near = member.join(pivot, "cell").where("rank > rank_b and component <> of_b and abs(far - far_b) <= 0.15 + 1e-9")
+        pivot = member.where((F.col("rank") >= start) & (F.col("rank") < STEP * start)).select(
+            "cell", F.col("class").alias("b"), *(F.col(c).alias(f"{c}_b") for c in ("rank", "far", "component", "n", "useful", "place")))
+        near = member.join(pivot, "cell").where("rank > rank_b and component <> component_b and " + POSSIBLE)
         pairs = near.select(F.col("class").alias("a"), "b").distinct()
         more = settled(measured(pairs, sets).where(LINKED).select("a", "b"), "jaccard-links")
-        start *= 2
-        if not more.isEmpty():
-            links = links.union(more)
-            groups = components(links, "jaccard-components")
-        member = settled(_open_cells(member.select("cell", "class", "far", "rank"), groups, start), "jaccard-open")
-    return links, groups
+        start *= STEP
+        groups = merged(groups, more)
+        member = settled(_open_cells(member.drop("component"), groups, start), "jaccard-open")
+    return groups
 
 
 def _open_cells(member: DataFrame, groups: DataFrame, start: int = 1) -> DataFrame:
