@@ -32,6 +32,7 @@ from tallyhouse.operators.staging import settled
 
 REFERENCES = 6
 MIN_PAGES = 3
+NODE = 1 << 20
 DEEPEST = 100  # levels of elements that paths tell apart
 MOST_NODES = 400  # nodes of a reference tree that take part in the alignment, in page order
 
@@ -42,7 +43,8 @@ WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 RAW = frozenset("script style template noscript iframe svg canvas object".split())
 ESCAPED = frozenset("textarea title xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset(
+#: Names that don't end a block of text; raw elements have no text of their own.
+INLINE = RAW | frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
     "time tt u var wbr br img".split())
 #: A start tag of these ends an open paragraph.
@@ -62,10 +64,10 @@ MAIN = frozenset(("article", "main"))
 class Node:
     """An element: its label for matching, its own texts, its children."""
 
-    __slots__ = ("label", "texts", "children", "size")
+    __slots__ = ("label", "texts", "children")
 
     def __init__(self, label: str):
-        self.label, self.texts, self.children, self.size = label, [], [], 1
+        self.label, self.texts, self.children = label, [], []
 
 
 def is_aside(name: str, attributes: str) -> bool:
@@ -106,8 +108,12 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
             yield "end", name, ""
 
 
-def blocks(page: str) -> Iterator[tuple[str, bool, bool, str]]:
-    """``(path, aside, in main, text)`` of each block of text, in page order."""
+def blocks(page: str, numbered: bool = False) -> Iterator[tuple[str, bool, bool, str]]:
+    """``(path, aside, in main, text)`` of each block of text, in page order.
+
+    A path has names and classes only; ``numbered`` adds the number of each element, so that it tells siblings apart.
+    """
+    count = 0
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, aside, in main
     held: list[str] = []
     where = stack[0]
@@ -148,7 +154,10 @@ def blocks(page: str) -> Iterator[tuple[str, bool, bool, str]]:
                     break
             above = stack[-1]
             kind_of = ATTRIBUTE.findall(rest) if "class" in rest else ()
-            mark = "." + "".join(kind_of[0][1:]) if kind_of else ""
+            mark = "." + "".join(kind_of[0][1:]).replace("/", "_").replace("#", "_") if kind_of else ""
+            if numbered:
+                count += 1
+                mark += f"#{count}"
             main = above[3] or name in MAIN or "role=\"main\"" in rest
             deeper = name not in INLINE and len(stack) < DEEPEST
             stack.append((name, f"{above[1]}/{name}{mark}" if deeper else above[1], above[2] or is_aside(name, rest), main))
@@ -166,19 +175,16 @@ def tree(page: str) -> Node:
     """The tree of a page: one node for each element that holds or encloses text, with the texts of its blocks."""
     root = Node("")
     path: list[tuple[str, Node]] = [("", root)]
-    for n, (where, _, _, text) in enumerate(blocks(page)):
+    for n, (where, _, _, text) in enumerate(blocks(page, numbered=True)):
         if n >= MOST_NODES:
             break
         names = where.split("/")[1:]
         depth = 1
         while depth < len(path) and depth <= len(names) and path[depth][0] == names[depth - 1]:
             depth += 1
-        # A block of its own under the same path is a sibling, not more text of the last node.
-        if depth == len(path) and depth > len(names) and depth > 1:
-            depth -= 1
         del path[depth:]
         for name in names[depth - 1 :]:
-            node = Node(name)
+            node = Node(name.rpartition("#")[0])
             path[-1][1].children.append(node)
             path.append((name, node))
         path[-1][1].texts.append(text)
@@ -186,7 +192,10 @@ def tree(page: str) -> Node:
 
 
 def matched(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the size of the largest mapping, and its pairs of nodes."""
+    """Simple tree matching: the score of the largest mapping, and its pairs of nodes.
+
+    A pair scores NODE; among mappings of one size, those with more equal texts win.
+    """
     if a.label != b.label:
         return 0, []
     m, n = len(a.children), len(b.children)
@@ -208,7 +217,7 @@ def matched(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
             i -= 1
         else:
             j -= 1
-    return score[m][n] + 1, found
+    return score[m][n] + NODE + (a.texts == b.texts != []), found
 
 
 def induced(pages: list[str]) -> list[list[str]]:

@@ -91,7 +91,7 @@ def test_template_comes_from_alignment(spark):
         assert got[n] == "\n".join([f"Story {n} & more", f"end {n * n} of it"] + ["extra"] * (n % 3))
     assert got[100] == got[107] == "All about the house\ncopy\nLatest news of the day"
     assert got[200] == "in main\nAll about the house"  # an article is never cut by the template
-    assert [got[n] for n in range(300, 306)] == ["x", "", "", "", "plain <text> here", "a\nb c\nd"]
+    assert [got[n] for n in range(300, 306)] == ["x", "", "", "", "plain <text> here", "a\nbc\nd"]
 
 
 def test_largest_mapping():
