@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.llm.words import LOWER, slices
 from tallyhouse.operators.staging import settled
@@ -90,8 +91,8 @@ def text_scores(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFra
                 [batch.column(i) for i in range(batch.num_columns) if i != at] + [scores],
                 names=[n for n in batch.schema.names if n != "text"] + ["scores"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(run, f"{fields}, scores array<double>")
+    fields = [f for f in docs.schema if f.name != "text"]
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField("scores", T.ArrayType(T.DoubleType()))]))
 
 
 def scored(texts, table: np.ndarray) -> np.ndarray:

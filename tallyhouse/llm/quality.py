@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.llm.words import WHITE, slices, windows, repeated
 
@@ -113,8 +114,7 @@ def verdict(policy: str = CURRENT) -> Column:
 def apply_policy(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The documents the policy keeps, with their columns. Every row is judged in place, without a join."""
     held = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"))
-    fields = ", ".join(f"{m} long" for m in MEASURES)
-    rows = held.mapInArrow(measure, f"row {held.schema['row'].dataType.simpleString()}, {fields}")
+    rows = held.mapInArrow(measure, T.StructType([held.schema["row"]] + [T.StructField(m, T.LongType()) for m in MEASURES]))
     for rule in POLICIES[policy]:
         rows = rows.where(~F.expr(RULES[rule]))
     return rows.select("row.*")
