@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    jaccard, language, mixing, quality, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
+    jaccard, language, mixing, oracles, quality, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {}
 DOMAIN = "CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4') THEN 'web' WHEN source LIKE 'src1_' THEN 'books' ELSE 'news' END"
 WEIGHTS = {"domain": {"web": 50, "books": 30, "news": 20}, "language": {"en": 50, "de": 20, "fr": 20, "es": 10}}
 SEED = "mix-1"
+ORACLES |= oracles.ORACLES | {"op2_mixing": oracles.mixing(DOMAIN, SEED, (3, 5), 2, WEIGHTS)}
 
 
 def query(function: Query) -> Query:
