@@ -235,6 +235,17 @@ FROM shop_orders WHERE {_FIT}""", ORDERS)
 define("conform_rejects", f"""
 SELECT id, status, 'status: unknown value' AS reasons FROM shop_orders WHERE NOT ({_FIT})""", ORDERS)
 
+define("conform_rejects_payments", """
+SELECT id, concat_ws('; ', CASE WHEN id % 17 = 0 THEN 'user_token: required' END,
+    CASE WHEN id % 11 = 0 THEN 'amount: not a decimal(18,2)' END, CASE WHEN id % 13 = 0 THEN 'status: unknown value' END) AS reasons
+FROM shop_payments WHERE id % 17 = 0 OR id % 11 = 0 OR id % 13 = 0""", PAYMENTS)
+define("conform_rejects_notifications", """
+SELECT id, concat_ws('; ', CASE WHEN id % 17 = 0 THEN 'user_token: required' END,
+    CASE WHEN id % 7 = 0 THEN 'channel: unknown value' WHEN id % 19 = 0 THEN 'channel: required' END,
+    CASE WHEN id % 13 = 0 THEN 'status: unknown value' END,
+    CASE WHEN id % 11 = 0 THEN 'retry_count: not a int' END) AS reasons
+FROM shop_notes WHERE id % 17 = 0 OR id % 7 = 0 OR id % 19 = 0 OR id % 13 = 0 OR id % 11 = 0""", NOTES)
+
 _ITEM = f"""
 SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS product_id,
     'part ' || l_partkey::VARCHAR AS product_name, l_quantity::INTEGER AS quantity,
@@ -395,6 +406,14 @@ FROM (SELECT CASE WHEN coalesce(n, 0) >= 10 THEN 'high_value' WHEN coalesce(n, 0
     FROM shop_users LEFT JOIN totals ON totals.user_id = shop_users.id WHERE created_at IS NOT NULL)
 GROUP BY segment""", USERS, ORDERS, _TOTALS)
 
+define("user_segments_of_few_buyers", """
+SELECT segment, count(*) AS user_count, avg(n) AS avg_orders, sum(spend)::DOUBLE / count(*) AS avg_spend, sum(spend)::DOUBLE AS segment_revenue
+FROM (SELECT CASE WHEN n >= 10 THEN 'high_value' WHEN n >= 5 THEN 'medium_value' WHEN n >= 1 THEN 'low_value' ELSE 'no_orders' END AS segment, n, spend
+    FROM (SELECT shop_users.id, count(event_id) AS n, coalesce(sum(floor(value)), 0) AS spend
+        FROM shop_users LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase' AND extract(MINUTE FROM ts) < 30) ON user_id = shop_users.id
+        WHERE created_at IS NOT NULL GROUP BY shop_users.id))
+GROUP BY segment""", USERS)
+
 define("user_segments_detail", f"""
 SELECT CASE WHEN n >= 10 THEN 'high_value' WHEN n >= 5 THEN 'medium_value' ELSE 'low_value' END AS segment,
     {token(folded("email"), "eml")} AS email_token, {token(digits("phone"), "phn")} AS phone_token,
@@ -543,6 +562,12 @@ FROM shop_contacts""", CONTACTS)
 
 define("salted_hash", f"SELECT id, sha256({_text(SALT)} || email) AS email_hash FROM shop_users", USERS)
 
+define("payment_pii_stage", f"""
+SELECT mode, payment_method, count(*) AS payments, count(DISTINCT card) AS cards, min(card) AS first_card
+FROM (SELECT 'token' AS mode, payment_method, CASE WHEN card_number IS NOT NULL THEN {token('card_number', 'crd')} END AS card FROM shop_payments
+    UNION ALL SELECT 'mask', payment_method, {tail4("coalesce(card_number, '')", "****-****-****-")} FROM shop_payments)
+GROUP BY ALL""", PAYMENTS)
+
 define("mask_contacts", f"""
 SELECT id, n, {masked_email("email")} AS email, {tail4("phone", "***-***-")} AS phone,
     {tail4("card_number", "****-****-****-")} AS card_number, name, lang FROM shop_contacts""", CONTACTS)

@@ -155,6 +155,30 @@ def conform_rejects(spark, folder):
     return rejected.select("id", "status", F.array_join(C.REASONS, "; ").alias("reasons"))
 
 
+def _damaged(df, token):
+    """Rows with NULL keys, unreadable numbers and unknown words here and there, by their ids."""
+    every = lambda n: F.col("id") % n == 0
+    out = df.withColumn("user_token", F.when(~every(17), token)).withColumn("status", F.when(every(13), "lost").otherwise(F.col("status")))
+    if "amount" in df.columns:
+        out = out.withColumn("amount", F.when(every(11), "12,5o").otherwise(F.col("amount").cast("string")))
+    else:
+        out = out.withColumn("retry_count", F.when(every(11), "often").otherwise(F.col("retry_count").cast("string")))
+        out = out.withColumn("channel", F.when(every(7), "pigeon").when(every(19), F.lit(None)).otherwise(F.col("channel")))
+    return out
+
+
+@query
+def conform_rejects_payments(spark, folder):
+    rows = _damaged(E.payments(spark, folder), S.user_token(F.col("user_id"), SALT))
+    return C.conform(rows, "payment", 2).rejected.select("id", F.array_join(C.REASONS, "; ").alias("reasons"))
+
+
+@query
+def conform_rejects_notifications(spark, folder):
+    rows = _damaged(E.notifications(spark, folder), S.user_token(F.col("user_id"), SALT))
+    return C.conform(rows, "notification", 2).rejected.select("id", F.array_join(C.REASONS, "; ").alias("reasons"))
+
+
 @query
 def conform_order_items_v1(spark, folder):
     return C.conform(E.order_items(spark, folder), "order_item", 1).valid.select(
@@ -378,6 +402,14 @@ def user_segments(spark, folder):
     return _doubles(U.segments(E.users(spark, folder), totals, SINCE), "segment_revenue")
 
 
+@query
+def user_segments_of_few_buyers(spark, folder):
+    """Orders are the purchases of the first half hours, which only some of the users make: all four segments occur."""
+    bought = parquet_table(spark, folder, "events").filter("event_type = 'purchase' AND minute(ts) < 30")
+    bought = bought.select(F.col("event_id").alias("id"), "user_id", F.floor("value").cast("decimal(18,2)").alias("total_amount"))
+    return _doubles(U.segments(E.users(spark, folder), U.order_totals(bought), SINCE), "segment_revenue")
+
+
 @query
 def user_segments_detail(spark, folder):
     members = U.segment_members(E.users(spark, folder), E.orders(spark, folder), SINCE, SALT)
@@ -494,6 +526,16 @@ def tokenize_payments(spark, folder):
     return _doubles(PR.tokenize_payments(E.payments(spark, folder).select(*columns), SALT), "amount")
 
 
+@query
+def payment_pii_stage(spark, folder):
+    """What the payment pipeline makes of card numbers in either mode, counted by method after it."""
+    payments = E.payments(spark, folder)
+    token = P.protect_payments(payments, "token", SALT).select(F.lit("token").alias("mode"), "payment_method", F.col("card_token").alias("card"))
+    mask = P.protect_payments(payments, "mask").select(F.lit("mask").alias("mode"), "payment_method", F.col("card_display").alias("card"))
+    return token.union(mask).groupBy("mode", "payment_method").agg(
+        F.count("*").alias("payments"), F.count_distinct("card").alias("cards"), F.min("card").alias("first_card"))
+
+
 @query
 def mask_payments(spark, folder):
     columns = ("id", "card_number", "cardholder_name", "billing_address")

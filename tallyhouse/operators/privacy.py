@@ -70,7 +70,8 @@ def tokenize_payments(df: DataFrame, salt: str | bytes) -> DataFrame:
 
 def mask_payments(df: DataFrame) -> DataFrame:
     """The older treatment: a masked card for display; the raw columns go here as well."""
-    shown = S.mask_card(F.coalesce(F.col("card_number"), F.lit("")))
+    card = F.col("card_number") if "card_number" in df.columns else F.lit(None).cast("string")
+    shown = S.mask_card(F.coalesce(card, F.lit("")))
     return df.withColumn("card_display", shown).drop("card_number", "billing_address", "cardholder_name")
 
 

@@ -7,14 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-CLUSTER_PARTITIONS = "8192"
+PARTITION_BYTES = 128 << 20
 
 
-def build_session(app: str = "tallyhouse", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_width(input_bytes: int) -> int:
+    """Partitions that shuffles of this much data start with. AQE merges small ones, but never splits those of an aggregate."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "tallyhouse", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings every job here relies on.
 
-    Shuffle width is left to AQE: on a cluster shuffles start wide and small partitions are
-    merged at run time, so one setting serves a day and a backfill over years. Streams keep
+    On a cluster the width of shuffles comes from ``input_bytes``, the size of the largest input of a job, or from
+    spark.sql.adaptive.coalescePartitions.initialPartitionNum; small partitions are merged at run time. Streams keep
     spark.sql.shuffle.partitions, which is fixed for the life of a checkpoint.
     """
     builder = (
@@ -36,8 +43,10 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **conf: st
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     wide = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if not spark.sparkContext.master.startswith("local") and spark.conf.get(wide, None) is None:
-        spark.conf.set(wide, CLUSTER_PARTITIONS)
+    if input_bytes is not None:
+        spark.conf.set(wide, str(shuffle_width(input_bytes)))
+    elif not spark.sparkContext.master.startswith("local") and spark.conf.get(wide, None) is None:
+        raise ValueError(f"on a cluster give input_bytes, or set {wide}")
     return spark
 
 

@@ -2,7 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from tallyhouse.session import shared_folder
+from tallyhouse.operators.staging import released, settled
+from tallyhouse.session import shared_folder, shuffle_width
 
 
 class Context:
@@ -39,3 +40,19 @@ def test_local_sessions_fall_back_once():
 def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_shuffle_width_follows_the_input():
+    assert shuffle_width(0) == 200
+    assert shuffle_width(100 << 40) == 100 * 8192
+
+
+def test_settled_tables_are_removed_when_released(spark):
+    import os
+
+    released(spark)
+    table = settled(spark.range(5), "five")
+    folder = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert table.count() == 5 and os.path.isdir(folder)
+    assert released(spark) == 1 and not os.path.exists(folder)
+    assert released(spark) == 0
