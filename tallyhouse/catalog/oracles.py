@@ -485,7 +485,7 @@ define("order_metrics_v1", _ORDER_NUMBERS, ORDERS, _ORDER_DAY, dates=("order_dat
 _ORDER_TEXT = """
 SELECT order_date, status, order_count, total_revenue::VARCHAR AS total_revenue,
     avg_order_value::DECIMAL(22,6)::VARCHAR AS avg_order_value FROM order_days"""
-for _name in ("order_metrics_v2", "append_if_absent_rows", "load_order_analytics"):
+for _name in ("order_metrics_v2", "order_metrics_of_repeats", "append_if_absent_rows", "load_order_analytics"):
     define(_name, _ORDER_TEXT, ORDERS, _ORDER_DAY, dates=("order_date",))
 define("backfill_load", _ORDER_TEXT + " WHERE order_date >= '1996-01-01' AND order_date < '1996-03-27'", ORDERS, _ORDER_DAY, dates=("order_date",))
 
@@ -506,6 +506,7 @@ SELECT payment_date, payment_method, transaction_count, total_amount::VARCHAR AS
     successful AS successful_count, failed AS failed_count, {percent("successful", "transaction_count")} AS success_rate,
     avg_processing_time AS avg_processing_time_ms FROM payment_days"""
 define("payment_metrics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
+define("payment_metrics_of_repeats", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 define("load_payment_analytics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 
 _NOTE_DAY = """
@@ -523,7 +524,8 @@ _RATES = f"""{percent("delivered", "total_sent")} AS delivery_rate, {percent("op
 _NOTE_METRICS = f"""
 SELECT notification_date, channel, notification_type, total_sent, delivered, opened, clicked, {_RATES},
     {percent("clicked", "total_sent")} AS click_through_rate{{more}} FROM note_days"""
-define("notification_metrics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
+for _name in ("notification_metrics", "notification_metrics_of_repeats"):
+    define(_name, _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
 define("load_notification_analytics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
 define("notification_metrics_v1", _NOTE_METRICS.format(more=""), NOTES, _NOTE_DAY, dates=("notification_date",))
 
@@ -652,6 +654,7 @@ define("run_summary", " UNION ALL ".join([
     _COUNTED.format(job="order_analytics", rows="order_days"),
     _COUNTED.format(job="payment_analytics", rows="payment_days"),
     _COUNTED.format(job="notification_analytics", rows="note_days"),
+    "SELECT 'refund_analytics', 'failed', 0, 0, 0, 0, 0, 0, NULL, NULL, 1",
 ]), USERS, ORDERS, _ORDER_DAY, PAYMENTS, _PAYMENT_DAY, NOTES, _NOTE_DAY)
 
 # --- streams: all windows, also those still open when the input ends ------------------------

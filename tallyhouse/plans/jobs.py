@@ -31,7 +31,7 @@ class Target:
     table: str
     key: tuple[str, ...]
     reach: Column | None = None
-    unique: bool = True
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def user_job(users: DataFrame, span: Span, as_of: datetime, version: int = 2) ->
         U.user_records(users, span, version),
         lambda rows: transform(rows, as_of),
         # No date in the key: a user may be anywhere in the table, and may come twice in the source.
-        Target("user_analytics", (key,), unique=False),
+        Target("user_analytics", (key,)),
         span=span,
     )
 
@@ -106,7 +106,7 @@ def order_job(orders: DataFrame, span: Span, statuses: Sequence[str] | None = No
         "order_analytics",
         O.daily_orders(orders, span, statuses, ordered=False),
         O.order_metrics_v1 if version == 1 else O.order_metrics,
-        Target("order_analytics", ("order_date", "status"), _days(span, "order_date")),
+        Target("order_analytics", ("order_date", "status"), _days(span, "order_date"), unique=True),
         span=span,
     )
 
@@ -116,7 +116,7 @@ def payment_job(payments: DataFrame, span: Span, pii_mode: str = "token", salt:
         "payment_analytics",
         P.daily_payments(P.protect_payments(payments, pii_mode, salt), span, ordered=False),
         P.payment_metrics,
-        Target("payment_analytics", ("payment_date", "payment_method"), _days(span, "payment_date")),
+        Target("payment_analytics", ("payment_date", "payment_method"), _days(span, "payment_date"), unique=True),
         span=span,
     )
 
@@ -135,10 +135,10 @@ def notification_job(
         N.daily_notifications(notifications, span, channels, ordered=False),
         lambda rows: N.notification_metrics(rows, version),
         Target("notification_analytics", ("notification_date", "channel", "notification_type"),
-               _days(span, "notification_date")),
+               _days(span, "notification_date"), unique=True),
         rollup,
         Target("channel_analytics", ("window_start", "window_end", "channel"),
-               F.col("window_start") == moment(span.start)),
+               F.col("window_start") == moment(span.start), unique=True),
         span,
     )
 
