@@ -65,7 +65,7 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
     One row for each leaf; each step groups or orders the children of one node.
     """
     nodes = leaves.withColumn("cap", F.col("tokens") * epochs)
-    total = leaves.agg(F.expr(f"coalesce(sum(tokens), 0) * {share[0]} div {share[1]}").alias("budget"))
+    tokens = leaves.agg(F.sum("tokens")).first()[0] or 0
     above = None
     for depth, level in enumerate(levels):
         path = levels[: depth + 1]
@@ -73,7 +73,7 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
         listed = weights.get(level, {})
         own = own.withColumn("weight", weighted(F.col(level), listed, 0 if listed else 1))
         if above is None:
-            own = own.join(total.withColumn("one", F.lit(1)), F.lit(1) == F.col("one")).drop("one")
+            own = own.withColumn("budget", F.lit(tokens * share[0] // share[1]).cast("long"))
         else:
             own = own.join(above, levels[:depth])
         most = F.sum("cap").over(Window.partitionBy(*levels[:depth]))
