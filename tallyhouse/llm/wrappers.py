@@ -55,7 +55,7 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 ASIDE = frozenset("nav header footer aside form head script style select button dialog menu title textarea noscript template iframe svg canvas object".split())
 ASIDE_NAMES = frozenset(
     "ad ads adv advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies discussion footer form "
-    "header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promotion reader related "
+    "header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promotion related "
     "replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 MAIN = frozenset(("article", "main"))
