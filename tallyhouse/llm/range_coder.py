@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-TABLE_BITS = 11
+TABLE_BITS = 10
 STATES = 16
 PROB_BITS = np.uint64(16)
 RATE = 5  # probabilities move by a 32nd
@@ -80,13 +80,16 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
     first, often = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint16)
     for start, held in epochs(steps):
         stop = min(2 * start, steps)
+        known, begins, widths = (x.reshape(n, held) for x in frequencies(ids[:held]))
+        coming = np.ascontiguousarray(ids[start:stop].T)
+        ranks, counts = np.empty_like(coming), np.empty_like(coming)
         for lane in range(n):
-            seen, times = np.unique(ids[:held, lane], return_counts=True)
-            at = np.cumsum(times) - times
-            first[seen], often[seen] = at, times
-            own = ids[start:stop, lane]
-            rank[start:stop, lane], count[start:stop, lane] = first[own], often[own]
+            seen, own = known[lane], coming[lane]
+            first[seen], often[seen] = begins[lane], widths[lane]
+            first.take(own, out=ranks[lane])
+            often.take(own, out=counts[lane])
             often[seen] = 0
+        rank[start:stop], count[start:stop] = ranks.T, counts.T
     lanes = Lanes(n)
     low, size = np.zeros(n, U64), np.full(n, 0xFFFFFFFFFFFFFFFF, U64)
     out, used = np.zeros((n, steps + 8), np.int64), np.ones(n, np.int64)  # word 0 takes no carry: there is none

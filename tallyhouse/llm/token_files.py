@@ -36,9 +36,9 @@ MAGIC = b"TKB1"
 HEAD = "<4s6I"
 HEAD_BYTES = struct.calcsize(HEAD)
 FRAGMENT = np.dtype([("number", "<u4"), ("id", "<i8"), ("has_id", "u1"), ("n", "<u4")])
-BLOCK_IDS = 8192
-LANES = 1024
-KNOWN_PIECES = 600_000
+BLOCK_IDS = 2048
+LANES = 4096
+KNOWN_PIECES = 400_000
 
 
 class Encoder:
