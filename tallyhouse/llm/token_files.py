@@ -22,7 +22,7 @@ import struct
 import sys
 import types
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +56,12 @@ class Encoder:
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit in 16 bits")
         self.spaced: dict[str, bytes | None] = {}
+        # Which ids stand for a text that starts with a space (the byte-level sign for it).
+        self.starts = np.zeros(1 << 16, bool)
+        self.starts[[i for token, i in self.library.get_vocab().items() if token.startswith("\u0120")]] = True
 
-    def ids(self, texts: Iterable[str]) -> list[bytes]:
-        found = self.library.encode_batch(list(texts), add_special_tokens=False)
-        return [np.array(x.ids, np.uint16).tobytes() for x in found]
+    def ids(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
 
     def encode(self, text: str) -> bytes:
         pieces = text.split(" ")
@@ -67,10 +69,10 @@ class Encoder:
             body = b"".join(map(self.spaced.__getitem__, pieces[1:]))
         except KeyError:
             self.learn(pieces[1:])
-            return self.encode(text) if all(map(self.spaced.__getitem__, pieces[1:])) else self.ids([text])[0]
+            return self.encode(text) if all(map(self.spaced.__getitem__, pieces[1:])) else self.ids(text)
         except TypeError:
-            return self.ids([text])[0]
-        return self.ids([pieces[0]])[0] + body if not pieces[0] or not pieces[0][-1].isspace() else self.ids([text])[0]
+            return self.ids(text)
+        return self.ids(pieces[0]) + body if not pieces[0] or not pieces[0][-1].isspace() else self.ids(text)
 
     def learn(self, pieces: list[str]) -> None:
         if len(self.spaced) > KNOWN_PIECES:
@@ -78,7 +80,13 @@ class Encoder:
         new = list(set(pieces).difference(self.spaced))
         plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         self.spaced.update(dict.fromkeys(new))
-        self.spaced.update(zip(plain, self.ids([" " + p for p in plain])))
+        # All in one text: the ids of a piece start where an id starts with a space, and only there.
+        data = self.ids("".join([" " + p for p in plain]))
+        at = (2 * np.flatnonzero(self.starts[np.frombuffer(data, np.uint16)])).tolist()
+        if len(at) == len(plain):
+            self.spaced.update((p, data[a:b]) for p, a, b in zip(plain, at, [*at[1:], len(data)]))
+        else:
+            self.spaced.update((p, self.ids(" " + p)) for p in plain)
 
 
 def encoder(path: str) -> Encoder:
