@@ -29,7 +29,7 @@ def _zoned(stream: DataFrame, event_time: str) -> DataFrame:
 
 
 def dedup_stream(
-    stream: DataFrame, fingerprint: Column, event_time: str, delay: str, spread: int = 8
+    stream: DataFrame, fingerprint: Column, event_time: str, delay: str, spread: int | None = None
 ) -> DataFrame:
     """First record per fingerprint within the watermark delay.
 
@@ -38,6 +38,8 @@ def dedup_stream(
     thinned out in ``spread`` separate partitions and only the survivors meet in one. The input
     split is part of the lane, so that even rows equal in all columns spread out.
     """
+    if spread is None:
+        spread = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = _zoned(stream, event_time).withColumn(FINGERPRINT, fingerprint).withWatermark(event_time, delay)
     if spread > 1:
         lane = F.pmod(F.xxhash64(F.spark_partition_id(), *stream.columns), F.lit(spread)).cast("int")
