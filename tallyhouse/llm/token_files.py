@@ -239,34 +239,42 @@ def crc_of_ids(files: DataFrame) -> DataFrame:
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One checksum from those of a document's fragments."""
+    maps = zero_maps()
     for batch in batches:
         whole = []
         for pieces in batch.column(3).to_pylist():
             crc = pieces[0]["crc"]
             for piece in pieces[1:]:
-                crc = crc_joined(crc, piece["crc"], 4 * piece["n"])
+                crc = crc_joined(crc, piece["crc"], 4 * piece["n"], maps)
             whole.append(crc)
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(whole, pa.int64())], names=[*batch.schema.names[:3], "ids_crc32"])
 
 
-def crc_joined(first: int, second: int, size: int) -> int:
-    """crc32 of two byte strings one after the other, from theirs and the length of the second.
+def mapped(columns: list[int], vector: int) -> int:
+    """A linear map of 32 bits, given by its columns, applied to a vector of bits."""
+    total = 0
+    while vector:
+        low = vector & -vector
+        total ^= columns[low.bit_length() - 1]
+        vector ^= low
+    return total
 
-    Zero bytes after the first string act as a linear map on its checksum: here as 32 columns, squared for each bit of the length.
-    """
-    def times(columns: list[int], vector: int) -> int:
-        total = 0
-        for i in range(32):
-            if vector >> i & 1:
-                total ^= columns[i]
-        return total
-
-    # The map of one zero bit: shift right, and add the polynomial when a one falls out.
-    zero_bits = [0xEDB88320] + [1 << i for i in range(31)]
-    bits = 8 * size
+
+def zero_maps() -> list[list[int]]:
+    """What 1, 2, 4, ... zero bits after a string do to its checksum, up to 2**43 of them."""
+    # One zero bit: shift right, and add the polynomial when a one falls out.
+    maps = [[0xEDB88320] + [1 << i for i in range(31)]]
+    while len(maps) < 44:
+        maps.append([mapped(maps[-1], c) for c in maps[-1]])
+    return maps
+
+
+def crc_joined(first: int, second: int, size: int, maps: list[list[int]]) -> int:
+    """crc32 of two byte strings one after the other, from theirs and the length of the second."""
+    bits, power = 8 * size, 0
     while bits:
         if bits & 1:
-            first = times(zero_bits, first)
-        zero_bits = [times(zero_bits, c) for c in zero_bits]
+            first = mapped(maps[power], first)
         bits >>= 1
+        power += 1
     return first ^ second
