@@ -10,31 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import jaccard, language, quality, queries, trie_bpe
+from tallyhouse.llm.words import small_batches
 from tallyhouse.operators.staging import settled
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
+    small_batches(spark)
     return quality.apply_policy(docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language."""
+    small_batches(spark)
     return language.of_documents(docs, keep_row=True).where("kept").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by the target weights: four fifths of all tokens, each document once at most."""
+    small_batches(spark)
     return queries.mixed(docs, (4, 5), 1).select("row.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, as digests."""
+    small_batches(spark)
     return trie_bpe.encode_digests(docs, queries.word_file())
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import (
     jaccard, language, mixing, oracles, quality, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
 )
+from tallyhouse.llm.words import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

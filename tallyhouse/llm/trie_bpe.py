@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same pattern for characters in PLAIN, where these classes agree with those of Unicode.
@@ -34,7 +35,7 @@ NOT_PLAIN = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
 NEVER = 1 << 60
 LONG_WORD = 200
 PIECE_CHARS = 1 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -54,7 +55,6 @@ class Vocabulary:
     parts: dict[int, tuple[int, int, int]]  # token -> left, right, rank
     starts: dict[str, list] = field(default_factory=dict)  # trie of tokens: character -> [below, inner token, final token]
     pair_known: dict[int, bool] = field(default_factory=dict)
-    spines: dict[tuple[int, int], list[tuple[int, int]]] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -92,17 +92,12 @@ class Vocabulary:
 
     def spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """What stands at one end of a token while it is built: (token, rank of the merge that ends it)."""
-        if (token, side) not in self.spines:
-            found, until = [], NEVER
-            while True:
-                found.append((token, until))
-                if token not in self.parts:
-                    break
-                until = self.parts[token][2]
-                token = self.parts[token][side]
-            self.spines[found[0][0], side] = found[::-1]
-            token = found[0][0]
-        return self.spines[token, side]
+        found, until = [(token, NEVER)], NEVER
+        while token in self.parts:
+            until = self.parts[token][2]
+            token = self.parts[token][side]
+            found.append((token, until))
+        return found[::-1]
 
     def joined(self, a: int, b: int) -> tuple[int, int] | None:
         """The first merge across the border while a and b are built side by side, if any.
@@ -125,7 +120,7 @@ class Vocabulary:
 
     def neighbours(self, a: int, b: int) -> bool:
         """Whether the text of a and b together is encoded as a, b."""
-        if len(self.pair_known) > 1_000_000:
+        if len(self.pair_known) > 300_000:
             self.pair_known.clear()
         known = self.pair_known[a << 32 | b] = self.joined(a, b) is None
         return known
@@ -296,7 +291,6 @@ def digests(encoder: Encoder, texts: list[str | None]) -> list[tuple[int, str, s
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Every column but those made here, with ``ids`` (array of int) of the whole text."""
     others = [c for c in docs.columns if c not in ("ids", "text")]
-    fields = docs.select(*(F.col(f"`{c}`") for c in others), "text").schema.simpleString().removeprefix("struct<").removesuffix(">")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_encoder = encoder(vocabulary)
@@ -312,7 +306,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, "ids"])
 
     held = docs.select(*(F.col(f"`{c}`") for c in others), "text")
-    return held.mapInArrow(run, f"{fields}, ids array<int>")
+    return held.mapInArrow(run, T.StructType([*held.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def encode_digests(docs: DataFrame, vocabulary: str, key: str = "doc_id") -> DataFrame:

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 SHINGLE_FACTORS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
@@ -23,6 +25,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let tasks get texts in batches of BATCH_BYTES at most, or of one longer text, in place of Spark's 64 MB.
+
+    A task holds a few copies of its batch in the JVM and in Python. This is a setting of the session.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread every bit of the input over all bits of the output; one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
