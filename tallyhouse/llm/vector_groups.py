@@ -6,7 +6,7 @@
    ``x . (c_i - c_j) <= |x - y| |c_i - c_j|``, and ``|x - y|`` is at most the chord of the threshold. So every linked pair meets in
    exactly one cell, and no link is lost.
 3. Cells are cut into blocks of about BLOCK rows, and pairs of blocks are compared by matrix products in tasks
-   of bounded memory. A comparison returns the number of links of each vector and a spanning forest of the links, never the pairs.
+   of bounded memory: an upper bound from half of the components first, in single precision, then the cosines in double. A comparison returns the number of links of each vector and a spanning forest of the links, never the pairs.
 4. Connected components of the forests give the groups; the smallest id of each is kept.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, rows without an id,
@@ -29,11 +29,13 @@ from tallyhouse.operators.staging import settled
 
 THRESHOLD = 0.9
 SAMPLE_ROWS = 20_000  # vectors the centres are fitted on, in expectation
-CELL_ROWS = 4096
+CELL_ROWS = 16384
 MOST_CELLS = 2048
 ROUNDS = 8
 BLOCK = 8192
 STRIP = 512
+SLACK = 1e-4  # far above the error of single precision
+DENSE = 0.02  # share of possible pairs from which all are computed together
 
 
 def unit(values: list | None) -> np.ndarray | None:
@@ -96,6 +98,15 @@ def placed(classes: DataFrame, centres: np.ndarray) -> DataFrame:
     return classes.select("id", "n", "unit").mapInArrow(run, "cell int, home boolean, id long, n long, unit binary")
 
 
+def linked_pairs(x: np.ndarray, y: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs with a cosine of THRESHOLD or more, in double precision, among the possible ones."""
+    if possible.mean() > DENSE:
+        return np.nonzero(x @ y.T >= THRESHOLD)
+    i, j = np.nonzero(possible)
+    ok = np.concatenate([np.einsum("nd,nd->n", x[i[k : k + 50_000]], y[j[k : k + 50_000]]) >= THRESHOLD for k in range(0, len(i), 50_000)] or [np.zeros(0, bool)])
+    return i[ok], j[ok]
+
+
 def compare(rows: pa.Table) -> pa.Table:
     """``id, links, root`` of the classes with links in one pair of blocks of one cell."""
     left = rows.column("block").to_numpy() == rows.column("a")[0].as_py()
@@ -104,23 +115,27 @@ def compare(rows: pa.Table) -> pa.Table:
     ids, weight, home = (rows.column(c).to_numpy() for c in ("id", "n", "home"))
     x = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(ids), -1)
     rows_a, rows_b = np.flatnonzero(left), np.flatnonzero(right)
+    # The first half of the components, and the length of the rest as one more: their product is never below the cosine.
+    half = x.shape[1] // 2
+    short = np.hstack([x[:, :half], np.sqrt(np.maximum(0, 1 - (x[:, :half] ** 2).sum(axis=1)))[:, None]]).astype(np.float32)
+    short_b, x_b = np.ascontiguousarray(short[rows_b].T), x[rows_b]
     links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
     for first in range(0, len(rows_a), STRIP):
         strip = rows_a[first : first + STRIP]
-        near = x[strip] @ x[rows_b].T >= THRESHOLD
-        near &= home[strip][:, None] | home[rows_b][None, :]
+        i, j = linked_pairs(x[strip], x_b, short[strip] @ short_b >= np.float32(THRESHOLD - SLACK))
+        real = home[strip][i] | home[rows_b][j]
         if same:
-            near[np.arange(len(strip)), first + np.arange(len(strip))] = False
-        links[strip] += near @ weight[rows_b]
+            real &= i + first != j
+        i, j = i[real], j[real]
+        links[strip] += np.bincount(i, weights=weight[rows_b][j], minlength=len(strip)).astype(np.int64)
         if not same:
-            links[rows_b] += weight[strip] @ near
-        for i, own in enumerate(strip):
-            partners = rows_b[near[i]]
-            if len(partners):
-                labels = label[partners]
-                least = min(labels.min(), label[own])
-                if labels.max() != least or label[own] != least:
-                    label[np.isin(label, np.append(labels, label[own]))] = least
+            links[rows_b] += np.bincount(j, weights=weight[strip][i], minlength=len(rows_b)).astype(np.int64)
+        for n in np.unique(i):
+            own, partners = strip[n], rows_b[j[np.searchsorted(i, n) : np.searchsorted(i, n, side="right")]]
+            labels = label[partners]
+            least = min(labels.min(), label[own])
+            if labels.max() != least or label[own] != least:
+                label[np.isin(label, np.append(labels, label[own]))] = least
     at = np.flatnonzero(links > 0)
     return pa.table({"id": ids[at], "links": links[at], "root": ids[label[at]]})
 
