@@ -1,13 +1,15 @@
 """Main text of pages by wrapper induction: same-host trees are aligned, what stays the same is template.
 
-1. A few reference pages of each host (at most REFERENCES, those with the smallest hashes of their ids) are parsed and their
-   trees aligned by simple tree matching: the largest mapping of nodes that keeps parents, order and labels.
-   A text that at least MIN_PAGES references hold in matched nodes, alike in every match, is a constant of the host's
-   template; a matched text that varies is a slot.
-2. Every page is parsed once and its text taken block by block. Left out are the host's constants, and elements whose
-   name, class, id or role says menu, header, footer, sidebar, notice, advert, form, script, style or comment. If a page
-   has an article (or main element), its blocks are the content and the template doesn't cut it: pages of a host may
-   well repeat each other's paragraphs. Otherwise the varying slots are.
+1. Every page is parsed to a tree of elements with hashes of their texts. Pages of a host with the same containers (CONTAINERS
+   that enclose text, with their paths) are of one layout. Equal trees of a layout count once: copies of a page show nothing.
+2. Every tree of a layout with at least MIN_PAGES of them is aligned to one of them, its reference, by simple tree matching:
+   the largest mapping of nodes that keeps parents, order and labels. A text that at least SHARE of all these trees, and MIN_PAGES, hold in
+   nodes matched to one node of the reference is a constant of the layout's template. Whole trees take part.
+3. Every page is aligned to its reference again. Left out are matched constants, and elements whose
+   name, class, id or role says menu, header, footer, sidebar, notice, advert, form, script, style or comment. A constant
+   between varying siblings of its own kind lies within a slot and stays: pages may well repeat each other's paragraphs. If a page
+   has an article (or main element), its blocks are the content and the template doesn't cut it.
+   Pages of layouts with too few trees lose the texts that are constants of another layout of the host under the same path.
 
 Inside a block, white space becomes one space, character references are decoded; blocks are joined by one
 line feed. Whole pages are read, whatever their length.
@@ -19,22 +21,25 @@ are not returned.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.staging import settled
 
-REFERENCES = 6
 MIN_PAGES = 3
+SHARE = 0.8  # of the different pages of a layout, that hold a constant
 NODE = 1 << 20
 DEEPEST = 100  # levels of elements that paths tell apart
-MOST_NODES = 400  # nodes of a reference tree that take part in the alignment, in page order
+STORED = 1 << 20  # scores of a matching that are held at once; larger ones are halved
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -59,16 +64,27 @@ ASIDE_NAMES = frozenset(
     "replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 MAIN = frozenset(("article", "main"))
+#: Elements that tell layouts apart; a path counts up to its first other one.
+CONTAINERS = frozenset("html head body div section article main header footer nav aside form".split())
 
 
 class Node:
-    """An element: its label for matching, its own texts, its children."""
+    """An element: its label for matching, its own texts, its children; ``shape``, ``size`` and ``every`` (texts) are of its subtree."""
 
-    __slots__ = ("label", "texts", "children")
+    __slots__ = ("label", "texts", "children", "shape", "size", "every")
 
     def __init__(self, label: str):
         self.label, self.texts, self.children = label, [], []
 
+    def sealed(self) -> Node:
+        """This node, with what is known of subtrees filled in."""
+        for child in self.children:
+            child.sealed()
+        self.shape = hash((self.label, *(c.shape for c in self.children)))
+        self.size = 1 + sum(c.size for c in self.children)
+        self.every = frozenset(self.texts).union(*(c.every for c in self.children))
+        return self
+
 
 def is_aside(name: str, attributes: str) -> bool:
     """Whether an element is named as something beside the main text."""
@@ -171,13 +187,16 @@ def blocks(page: str, numbered: bool = False) -> Iterator[tuple[str, bool, bool,
     yield from cut()
 
 
-def tree(page: str) -> Node:
-    """The tree of a page: one node for each element that holds or encloses text, with the texts of its blocks."""
+def text_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def grown(found: list[tuple[str, bool, bool, str]]) -> tuple[Node, list[Node]]:
+    """The tree of the (numbered) blocks of a page, with hashes of texts, and the node of each block."""
     root = Node("")
     path: list[tuple[str, Node]] = [("", root)]
-    for n, (where, _, _, text) in enumerate(blocks(page, numbered=True)):
-        if n >= MOST_NODES:
-            break
+    held = []
+    for where, _, _, text in found:
         names = where.split("/")[1:]
         depth = 1
         while depth < len(path) and depth <= len(names) and path[depth][0] == names[depth - 1]:
@@ -187,86 +206,240 @@ def tree(page: str) -> Node:
             node = Node(name.rpartition("#")[0])
             path[-1][1].children.append(node)
             path.append((name, node))
-        path[-1][1].texts.append(text)
-    return root
+        path[-1][1].texts.append(text_hash(text))
+        held.append(path[-1][1])
+    return root, held
 
 
-def matched(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the score of the largest mapping, and its pairs of nodes.
+def plain_path(where: str) -> str:
+    """A numbered path without its numbers."""
+    return "/".join(n.rpartition("#")[0] for n in where.split("/"))
 
-    A pair scores NODE; among mappings of one size, those with more equal texts win.
-    """
-    if a.label != b.label:
-        return 0, []
-    m, n = len(a.children), len(b.children)
-    score = [[0] * (n + 1) for _ in range(m + 1)]
-    pairs: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            size = max(score[i - 1][j], score[i][j - 1])
-            if a.children[i - 1].label == b.children[j - 1].label:
-                pairs[i, j] = matched(a.children[i - 1], b.children[j - 1])
-                size = max(size, score[i - 1][j - 1] + pairs[i, j][0])
-            score[i][j] = size
-    found, i, j = [(a, b)], m, n
+
+def layout_of(found: list[tuple[str, bool, bool, str]]) -> int:
+    """A fingerprint of the containers that enclose the (numbered) blocks of a page."""
+    paths = set()
+    for where in {f[0] for f in found}:
+        names = plain_path(where).split("/")[1:]
+        end = next((i for i, n in enumerate(names) if n.partition(".")[0] not in CONTAINERS), len(names))
+        paths.add("/".join(names[:end]))
+    return text_hash("\n".join(sorted(paths)))
+
+
+def packed(node: Node) -> list:
+    return [node.label, node.texts, [packed(c) for c in node.children]]
+
+
+def unpacked(data: list) -> Node:
+    node = Node(data[0])
+    node.texts, node.children = data[1], [unpacked(c) for c in data[2]]
+    return node
+
+
+def heaviest(weight: Callable[[int], np.ndarray], rows: range, cols: range) -> list[tuple[int, int]]:
+    """The pairs of the heaviest mapping of rows to columns that keeps their order; halved until the scores fit into STORED."""
+    if not rows or not cols:
+        return []
+
+    def scores(some: range, step: int) -> Iterator[np.ndarray]:
+        last = np.zeros(len(cols) + 1, np.int64)
+        yield last
+        for i in some[::step]:
+            last = last.copy()
+            last[1:] = np.maximum.accumulate(np.maximum(last[1:], last[:-1] + weight(i)[cols.start : cols.stop][::step]))
+            yield last
+
+    if len(rows) > 1 and len(rows) * len(cols) > STORED:
+        half = len(rows) // 2
+        for up in scores(rows[:half], 1):
+            pass
+        for down in scores(rows[half:], -1):
+            pass
+        cut = int((up + down[::-1]).argmax())
+        return heaviest(weight, rows[:half], cols[:cut]) + heaviest(weight, rows[half:], cols[cut:])
+    score = list(scores(rows, 1))
+    found, i, j = [], len(rows), len(cols)
     while i and j:
-        if (i, j) in pairs and score[i][j] == score[i - 1][j - 1] + pairs[i, j][0]:
-            found += pairs[i, j][1]
-            i, j = i - 1, j - 1
-        elif score[i][j] == score[i - 1][j]:
+        if score[i][j] == score[i - 1][j]:
             i -= 1
-        else:
+        elif score[i][j] == score[i][j - 1]:
             j -= 1
-    return score[m][n] + NODE + (a.texts == b.texts != []), found
+        else:
+            i, j = i - 1, j - 1
+            found.append((rows[i], cols[j]))
+    return found[::-1]
 
 
-def induced(pages: list[str]) -> list[list[str]]:
-    """The template's constants, as ``[path, text]``, from the references of one host."""
-    pages = list(dict.fromkeys(p for p in pages if p))  # copies of a page show nothing
-    if len(pages) < MIN_PAGES:
-        return []
-    trees = [tree(p) for p in pages]
-    seen: dict[int, list[list[str]]] = {}
-    for other in trees[1:]:
-        for a, b in matched(trees[0], other)[1]:
-            seen.setdefault(id(a), []).append(b.texts)
-    constants: list[list[str]] = []
-
-    def walk(node: Node, path: str) -> None:
-        others = seen.get(id(node), [])
-        if node.texts and len(others) + 1 >= MIN_PAGES and all(t == node.texts for t in others):
-            constants.extend([path, t] for t in node.texts)
-        for child in node.children:
-            walk(child, f"{path}/{child.label}")
-
-    walk(trees[0], "")
-    return constants
-
-
-def main_text(page: str | None, constants: frozenset[tuple[str, str]] = frozenset()) -> str:
-    """The main text of a page of a host with these constants."""
-    found = list(blocks(page or ""))
+def _largest(a: Node, b: Node, known: dict[tuple[int, int], int]) -> int:
+    """Nodes in the largest mapping of two sealed trees; subtrees of equal shapes are measured once."""
+    if a.label != b.label:
+        return 0
+    if a.shape == b.shape:
+        return a.size
+    if (a.shape, b.shape) not in known:
+        known[a.shape, b.shape] = 1 + sum(_largest(a.children[i], b.children[j], known) for i, j in _children(a, b, known, frozenset()))
+    return known[a.shape, b.shape]
+
+
+def _children(a: Node, b: Node, known: dict[tuple[int, int], int], common: frozenset[int]) -> list[tuple[int, int]]:
+    """Which children match: the most nodes, and among such mappings the most pairs with ``common`` texts."""
+    x, y = a.children, b.children
+    first, end = 0, min(len(x), len(y))
+    own = lambda n: n.every & common if common else common
+    # No other pair can be better than two equal shapes without texts that matter.
+    while first < end and x[first].shape == y[first].shape and not own(x[first]) and not own(y[first]):
+        first += 1
+    found = [(i, i) for i in range(first)]
+    if first == end:
+        return found
+    rest = y[first:]
+    shapes: dict[int, int] = {}
+    code = np.array([shapes.setdefault(n.shape, len(shapes)) for n in rest])
+    kinds = list({n.shape: n for n in rest}.values())
+    at: dict[int, list[int]] = {}
+    for j, n in enumerate(rest):
+        for t in own(n):
+            at.setdefault(t, []).append(j)
+    tables: dict[int, np.ndarray] = {}
+
+    def weight(i: int) -> np.ndarray:
+        n = x[first + i]
+        if n.shape not in tables:
+            tables[n.shape] = np.array([NODE * _largest(n, k, known) for k in kinds], np.int64)[code]
+        w = tables[n.shape]
+        if here := own(n):
+            w = w.copy()
+            for t in here:
+                w[at.get(t, [])] += 1
+            w[tables[n.shape] == 0] = 0
+        return w
+
+    return found + [(first + i, first + j) for i, j in heaviest(weight, range(len(x) - first), range(len(rest)))]
+
+
+def matched(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+    """Simple tree matching: the score of the largest mapping, and its pairs of nodes.
+
+    A pair scores NODE; among mappings of the children of a pair that are of one size, those with more equal texts win.
+    """
+    a.sealed()
+    b.sealed()
+    if a.label != b.label:
+        return 0, []
+    common, known = a.every & b.every, {}
+    found, score = [(a, b)], 0
+    for x, y in found:
+        score += NODE + (x.texts == y.texts != [])
+        found.extend((x.children[i], y.children[j]) for i, j in _children(x, y, known, common))
+    return score, found
+
+
+def in_order(root: Node) -> list[Node]:
+    """All nodes in page order."""
+    found = [root]
+    for child in root.children:
+        found += in_order(child)
+    return found
+
+
+def held_alike(reference: Node, page: Node) -> set[tuple[int, int]]:
+    """``(node number of the reference, text)`` of every text of the matched nodes of a page."""
+    number = {id(n): i for i, n in enumerate(in_order(reference))}
+    return {(number[id(a)], t) for a, b in matched(reference, page)[1] for t in b.texts}
+
+
+def paths_of(root: Node, above: str = "") -> list[str]:
+    """The path of every node, in page order."""
+    found = [above]
+    for child in root.children:
+        found += paths_of(child, f"{above}/{child.label}")
+    return found
+
+
+def induced(pages: list[str]) -> list[list[int]]:
+    """The constants of one layout, as ``[node, text]`` of its first page, from all its pages."""
+    trees = [grown(list(blocks(p, numbered=True)))[0] for p in dict.fromkeys(p for p in pages if p)]
+    seen = Counter(x for t in trees for x in held_alike(trees[0], t))
+    return [list(x) for x, n in sorted(seen.items()) if n >= max(MIN_PAGES, SHARE * len(trees))]
+
+
+def template_blocks(root: Node, held: list[Node], found: list, reference: Node, constants: set[tuple[int, int]]) -> list[bool]:
+    """For each block of a page, whether it is template: a matched constant that doesn't lie within a varying slot."""
+    number = {id(n): i for i, n in enumerate(in_order(reference))}
+    partner = {id(b): number[id(a)] for a, b in matched(reference, root)[1]}
+    fixed = [(partner.get(id(n)), text_hash(f[3])) in constants for n, f in zip(held, found)]
+    varying: dict[tuple[str, str], list[int]] = {}  # of each kind of sibling: the first and the last block that vary
+    kind = [(f[0].rpartition("/")[0], n.label) for f, n in zip(found, held)]
+    for i, k in enumerate(kind):
+        if not fixed[i]:
+            varying.setdefault(k, [i, i])[1] = i
+    return [x and not (k in varying and varying[k][0] < i < varying[k][1]) for i, (x, k) in enumerate(zip(fixed, kind))]
+
+
+def main_text(page: str | None, template: tuple[Node, set[tuple[int, int]]] | None = None, elsewhere: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """The main text of a page whose layout has this reference and these constants, or else those by path."""
+    found = list(blocks(page or "", numbered=True))
+    cut = [False] * len(found)
+    if template and template[1]:
+        cut = template_blocks(*grown(found), found, *template)
+    elif elsewhere:
+        cut = [(text_hash(plain_path(where)), text_hash(text)) in elsewhere for where, _, _, text in found]
     if any(main and not aside for _, aside, main, _ in found):
         return "\n".join(text for _, aside, main, text in found if main and not aside)
-    return "\n".join(text for path, aside, _, text in found if not aside and (path, text) not in constants)
+    return "\n".join(text for (_, aside, _, text), c in zip(found, cut) if not aside and not c)
 
 
-def _templates(rows: pa.Table) -> pa.Table:
-    """One row with the constants of a host, from its few references."""
-    pages = [p for _, p in sorted(zip(rows.column("page_id").to_pylist(), rows.column("html").to_pylist()), key=lambda x: (str(x[0]), x[1] or ""))]
-    return pa.table({"host": [rows.column("host")[0].as_py()], "constants": [json.dumps(induced(pages))]})
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``host, layout, print, tree`` of each page ``host, html``."""
+    for batch in batches:
+        out = []
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = list(blocks(page.as_py() or "", numbered=True))
+            if found:
+                tree = json.dumps(packed(grown(found)[0]), separators=(",", ":"))
+                out.append((host, layout_of(found), text_hash(tree), tree))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["host", "layout", "print", "tree"])
+
+
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``host, layout, node, path, text, n`` of the pages ``host, layout, tree, reference`` of a task."""
+    seen: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        rows = [(*k, n) for k, n in seen.items()]
+        seen.clear()
+        types = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["host", "layout", "node", "path", "text", "n"])
+
+    for batch in batches:
+        last, reference, paths = None, None, []
+        for host, layout, tree, other in zip(*(c.to_pylist() for c in batch.columns)):
+            if other != last:
+                last, reference = other, unpacked(json.loads(other))
+                paths = [text_hash(p) for p in paths_of(reference)]
+            seen.update((host, layout, node, paths[node], text) for node, text in held_alike(reference, unpacked(json.loads(tree))))
+            if len(seen) > 50_000:
+                yield out()
+    yield out()
+
+
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages with their layouts."""
+    for batch in batches:
+        layouts = [layout_of(list(blocks(p.as_py() or "", numbered=True))) for p in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(layouts, pa.int64())], names=[*batch.schema.names, "layout"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, frozenset] = {}
     for batch in batches:
-        texts = []
-        for page, constants in zip(batch.column(2), batch.column(3).to_pylist()):
-            if constants not in known:
-                if len(known) > 1000:
-                    known.clear()
-                known[constants] = frozenset(map(tuple, json.loads(constants or "[]")))
-            texts.append(main_text(page.as_py(), known[constants]))
+        texts, last, template, elsewhere = [], None, None, frozenset()
+        for page, *known in zip(batch.column(2), *(batch.column(i).to_pylist() for i in (3, 4, 5))):
+            if known != last:
+                last, (reference, constants, others) = known, known
+                template = (unpacked(json.loads(reference)), {(c["node"], c["text"]) for c in constants}) if constants else None
+                elsewhere = frozenset((o["path"], o["text"]) for o in others or ())
+            texts.append(main_text(page.as_py(), template, elsewhere))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             names=["page_id", "url", "text", "n_chars"])
@@ -277,16 +450,29 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, "://([^/?#]*)", 1)), F.lit(""))
 
 
+def templates(held: DataFrame) -> DataFrame:
+    """``host, layout, reference, constants, others``: one row for each layout for which there is something to cut."""
+    trees = settled(held.select("host", "html").mapInArrow(_trees, "host string, layout long, print long, tree string"), "wrapper-trees")
+    one = ["host", "layout"]
+    different = settled(trees.select(*one, "print").distinct(), "wrapper-different")
+    sizes = settled(different.groupBy(*one).agg(F.count(F.lit(1)).alias("pages"), F.min("print").alias("print")), "wrapper-layouts")
+    large = sizes.where(F.col("pages") >= MIN_PAGES)
+    references = trees.join(large, [*one, "print"]).dropDuplicates(one).select(*one, "pages", F.col("tree").alias("reference"))
+    references = settled(references, "wrapper-references")
+    aligned = trees.dropDuplicates([*one, "print"]).join(references, one).select(*one, "tree", "reference")
+    counts = aligned.mapInArrow(_matches, "host string, layout long, node int, path long, text long, n long")
+    counts = counts.groupBy(*one, "node", "path", "text").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_PAGES)
+    constants = settled(counts.join(references.select(*one, "pages"), one).where(F.col("n") >= SHARE * F.col("pages")), "wrapper-constants")
+    own = constants.groupBy(*one).agg(F.collect_list(F.struct("node", "text")).alias("constants")).join(references, one)
+    others = constants.select("host", "path", "text").distinct().groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("others"))
+    few = sizes.where(F.col("pages") < MIN_PAGES).join(others, "host").select(*one, "others")
+    return settled(own.select(*one, "reference", "constants").unionByName(few, allowMissingColumns=True), "wrapper-templates")
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     held = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    # The smallest hash of each of REFERENCES lots: a map-side minimum, whatever a host's share of the pages.
-    order = F.xxhash64("page_id", "url")
-    lots = held.groupBy("host", F.pmod(order, F.lit(REFERENCES)).alias("lot")).agg(F.min(order).alias("order"))
-    lots = settled(lots.select("host", "order").distinct(), "wrapper-lots")
-    chosen = held.withColumn("order", order).join(lots, ["host", "order"]).dropDuplicates(["host", "order"])
-    templates = chosen.select("host", "page_id", "html").groupBy("host").applyInArrow(_templates, "host string, constants string")
-    templates = settled(templates, "wrapper-templates")
-    rows = held.join(templates, "host", "left").select("page_id", "url", "html", "constants")
     kind = pages.schema["page_id"].dataType.simpleString()
+    rows = held.mapInArrow(_layouts, f"page_id {kind}, url string, html string, host string, layout long")
+    rows = rows.join(templates(held), ["host", "layout"], "left").select("page_id", "url", "html", "reference", "constants", "others")
     return rows.mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars long")

@@ -94,6 +94,30 @@ def test_template_comes_from_alignment(spark):
     assert [got[n] for n in range(300, 306)] == ["x", "", "", "", "plain <text> here", "a\nbc\nd"]
 
 
+def test_template_of_every_layout_and_of_long_pages(spark):
+    long = lambda n: "".join(f"<p>story {n} {i}</p>" for i in range(450 + n))
+    rows = [(n, f"http://a.org/{n}", f"<body><section>{long(n)}</section><div><p>end of a</p></div>") for n in range(12)]
+    rows += [(100 + n, f"http://a.org/b{n}", f"<body><div><p>top of b</p></div><div class='b'><p>text {n}</p></div>") for n in range(4)]
+    rows += [(200 + n, f"http://b.org/{n}", f"<body><section><p>text {n}</p></section><div><p>end</p></div>") for n in range(3)]
+    rows += [(300, "http://a.org/c", "<body><section><p>one</p></section><div><p>end of a</p></div><section><form>mail</form></section><div class='c'><p>two</p></div>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in wrappers.main_texts(frame).collect()}
+    assert all(got[n].split("\n") == [f"story {n} {i}" for i in range(450 + n)] for n in range(12))
+    assert [got[100 + n] for n in range(4)] == [f"text {n}" for n in range(4)]
+    assert [got[200 + n] for n in range(3)] == [f"text {n}" for n in range(3)]
+    assert got[300] == "one\ntwo"  # a layout of one page takes the constants of the host's others
+
+
+def test_halved_matching(monkeypatch):
+    rng = np.random.default_rng(8)
+    w = rng.integers(0, 5, size=(30, 40))
+    total = lambda pairs: sum(int(w[i, j]) for i, j in pairs)
+    want = total(wrappers.heaviest(lambda i: w[i], range(30), range(40)))
+    monkeypatch.setattr(wrappers, "STORED", 50)
+    pairs = wrappers.heaviest(lambda i: w[i], range(30), range(40))
+    assert total(pairs) == want and all(a < c and b < d for (a, b), (c, d) in itertools.pairwise(pairs))
+
+
 def test_largest_mapping():
     def size(node):
         return 1 + sum(map(size, node.children))
