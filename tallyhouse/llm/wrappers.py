@@ -8,7 +8,7 @@
 3. Every page is aligned to its reference again. Left out are matched constants, and elements whose
    name, class, id or role says menu, header, footer, sidebar, notice, advert, form, script, style or comment. A constant
    between varying siblings of its own kind lies within a slot and stays: pages may well repeat each other's paragraphs. If a page
-   has an article (or main element), its blocks are the content and the template doesn't cut it.
+   has an article (or main element), only its blocks are tried; if the template would leave nothing of it, it stays whole.
    Pages of layouts with too few trees lose the texts that are constants of another layout of the host under the same path.
 
 Inside a block, white space becomes one space, character references are decoded; blocks are joined by one
@@ -384,8 +384,9 @@ def main_text(page: str | None, template: tuple[Node, set[tuple[int, int]]] | No
         cut = template_blocks(*grown(found), found, *template)
     elif elsewhere:
         cut = [(text_hash(plain_path(where)), text_hash(text)) in elsewhere for where, _, _, text in found]
-    if any(main and not aside for _, aside, main, _ in found):
-        return "\n".join(text for _, aside, main, text in found if main and not aside)
+    inside = [(text, c) for (_, aside, main, text), c in zip(found, cut) if main and not aside]
+    if inside:
+        return "\n".join([text for text, c in inside if not c] or [text for text, _ in inside])
     return "\n".join(text for (_, aside, _, text), c in zip(found, cut) if not aside and not c)
 
 

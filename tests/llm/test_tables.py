@@ -94,6 +94,14 @@ def test_template_comes_from_alignment(spark):
     assert [got[n] for n in range(300, 306)] == ["x", "", "", "", "plain <text> here", "a\nbc\nd"]
 
 
+def test_template_cuts_articles_but_not_their_repeated_paragraphs(spark):
+    body = "<div><p>All about the house</p></div><article><div><p>Read this in our shop</p></div><p>Story {n}</p><p>as ever</p><p>end {n}</p><p>Write to us</p></article><div><p>bye</p></div>"
+    rows = [(n, f"http://a.org/{n}", "<html><body>" + body.format(n=n)) for n in range(9)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in wrappers.main_texts(frame).collect()}
+    assert got == {n: f"Story {n}\nas ever\nend {n}" for n in range(9)}
+
+
 def test_template_of_every_layout_and_of_long_pages(spark):
     long = lambda n: "".join(f"<p>story {n} {i}</p>" for i in range(450 + n))
     rows = [(n, f"http://a.org/{n}", f"<body><section>{long(n)}</section><div><p>end of a</p></div>") for n in range(12)]
