@@ -10,6 +10,10 @@ A leaf takes whole epochs while they fit, then the longest prefix, within the re
 documents by a digest of seed, epoch and id. The prefix is found by sums per digest bucket, so a leaf with
 a third of all rows is neither sorted nor windowed as a whole: only its boundary bucket is, a 65,536th of it.
 
+A child that its level's weights don't list has the weight ``unlisted``, by default the smallest positive one listed. One listed
+with 0 gets nothing, and its tokens are no capacity of the nodes above it. ``unlisted=0`` is what op2's SQL says: such children get nothing, yet
+count in the capacity above.
+
 Defined results: null levels are a child of their own (``""``); a null or empty text has no tokens
 and goes with its neighbours in the order; rows with equal ids are ordered by their tokens; other columns are
 kept; an empty table gives none.
@@ -59,19 +63,25 @@ def shared(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     return ranked.withColumn("budget", own.cast("long")).drop("left", "among", "full", "rest", "open")
 
 
-def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: int) -> DataFrame:
+def budgets(
+    leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: int, unlisted: int | None = None,
+) -> DataFrame:
     """Leaf rows (``levels, tokens``) with ``budget``: ``share`` of all tokens, as the tree allows.
 
     One row for each leaf; each step groups or orders the children of one node.
     """
-    nodes = leaves.withColumn("cap", F.col("tokens") * epochs)
+    barred = F.lit(False)
+    for level in levels:
+        barred |= F.col(level).isin([c for c, w in weights.get(level, {}).items() if w <= 0])
+    nodes = leaves.withColumn("cap", F.when(barred, 0).otherwise(F.col("tokens") * epochs).cast("long"))
     tokens = leaves.agg(F.sum("tokens")).first()[0] or 0
     above = None
     for depth, level in enumerate(levels):
         path = levels[: depth + 1]
         own = nodes.groupBy(*path).agg(F.sum("cap").alias("cap"))
         listed = weights.get(level, {})
-        own = own.withColumn("weight", weighted(F.col(level), listed, 0 if listed else 1))
+        least = min((w for w in listed.values() if w > 0), default=1)
+        own = own.withColumn("weight", weighted(F.col(level), listed, unlisted if listed and unlisted is not None else least))
         if above is None:
             own = own.withColumn("budget", F.lit(tokens * share[0] // share[1]).cast("long"))
         else:
@@ -84,14 +94,14 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
 
 def mix(
     docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], share: tuple[int, int],
-    epochs: int, seed: str, key: str = "doc_id",
+    epochs: int, seed: str, key: str = "doc_id", unlisted: int | None = None,
 ) -> DataFrame:
     """``row`` (the document), its leaf levels and ``epoch``, for each time a document is taken."""
     names = list(levels)
     leaf = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()]
     ident = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
     rows = settled(docs.select(ident.alias("id"), count_words(F.col("text")).alias("tokens"), *leaf), "mixing-rows")
-    plan = settled(cuts(rows, names, weights, share, epochs, seed), "mixing-plan")
+    plan = settled(cuts(rows, names, weights, share, epochs, seed, unlisted), "mixing-plan")
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), ident.alias("id"), *leaf)
     placed = held.join(plan, names).withColumn("digest", _digest(seed))
     times = F.col("whole") + F.when(F.col("digest") <= F.col("cut"), 1).otherwise(0)
@@ -104,10 +114,12 @@ def _digest(seed: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), (F.col("whole") + 1).cast("string"), F.col("id")))
 
 
-def cuts(rows: DataFrame, names: list[str], weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: int, seed: str) -> DataFrame:
+def cuts(
+    rows: DataFrame, names: list[str], weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: int, seed: str, unlisted: int | None = None,
+) -> DataFrame:
     """One row for each leaf: ``whole`` epochs, and the last digest (``cut``) that the next one reaches."""
     leaves = settled(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mixing-leaves")
-    plan = budgets(leaves, names, weights, share, epochs)
+    plan = budgets(leaves, names, weights, share, epochs, unlisted)
     plan = plan.withColumn("whole", F.expr(f"cast(if(tokens > 0, least(budget div tokens, {epochs}), 0) as int)"))
     plan = settled(plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")).select(*names, "whole", "rest"), "mixing-shares")
     placed = rows.join(plan.where("rest > 0"), names).withColumn("digest", _digest(seed)).withColumn("bucket", F.substring("digest", 1, DIGITS))

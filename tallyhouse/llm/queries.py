@@ -43,9 +43,9 @@ def word_file() -> str:
     return vocabulary("word_bpe_49k.json")
 
 
-def mixed(docs: DataFrame, share: tuple[int, int], epochs: int) -> DataFrame:
+def mixed(docs: DataFrame, share: tuple[int, int], epochs: int, unlisted: int | None = None) -> DataFrame:
     levels = {"domain": F.expr(DOMAIN), "language": F.col("lang"), "source": F.col("source")}
-    return mixing.mix(docs, levels, WEIGHTS, share, epochs, SEED)
+    return mixing.mix(docs, levels, WEIGHTS, share, epochs, SEED, unlisted=unlisted)
 
 
 @query
@@ -63,7 +63,7 @@ def quality_ablation(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    found = mixed(table(spark, folder, "documents"), (3, 5), 2)
+    found = mixed(table(spark, folder, "documents"), (3, 5), 2, unlisted=0)  # as in its SQL
     return found.select("row.doc_id", "domain", "language", "source", F.col("epoch").cast("long").alias("epoch"))
 
 

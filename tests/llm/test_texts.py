@@ -238,6 +238,21 @@ def test_mixing(spark, docs, texts, share, epochs):
     assert got == plain_mix(rows, [weights["language"], {}], share, epochs, "s")
 
 
+def test_mixing_of_children_without_a_weight(spark):
+    rows = [(i, "a b c d e", [None, None, "it", "en"][i % 4], "src0") for i in range(400)] + [(400 + i, "a b", "fr", "src0") for i in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter(r.row.lang for r in queries.mixed(frame, (4, 5), 1).collect())
+    assert got["en"] == 100 and got["fr"] == 9 and got[None] > 90 and got["it"] > 90
+    assert 1614 - 10 < 5 * (got["en"] + got["it"] + got[None]) + 2 * got["fr"] <= 1614
+    # Tokens of a child that is listed with 0 take no budget from the other domains.
+    weights = {"domain": {"web": 50, "news": 50}, "language": {"de": 0, "en": 1}}
+    levels = {"domain": F.col("source"), "language": F.col("lang")}
+    rows = [(i, "a b", "de" if i < 90 else "en", "web") for i in range(100)] + [(100 + i, "a b", "en", "news") for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter(r.domain for r in mixing.mix(frame, levels, weights, (1, 2), 1, "s").collect())
+    assert got == {"web": 10, "news": 90}
+
+
 def test_languages(spark):
     rng = np.random.default_rng(2)
     parts = {"en": ["the", "tion", "ing", "wh"], "de": ["sch", "ung", "keit", "ein"], "fr": ["eau", "que", "oi", "ai"]}
