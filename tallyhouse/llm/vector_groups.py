@@ -1,7 +1,10 @@
 """Near duplicates among embedding vectors: cells of spherical k-means, exact cosines in blocks, one kept per group.
 
+Vectors of different lengths never link; each length is joined within itself.
+
 1. Equal directions are one class with a count; everything after that is about classes.
-2. Spherical k-means on a bounded sample (SAMPLE_ROWS) gives the centres. Every vector belongs to the cell of
+2. Spherical k-means on a bounded sample (SAMPLE_ROWS over all lengths) gives the centres of each length; a length of up to CELL_ROWS
+   classes is one cell. Every vector belongs to the cell of
    its nearest centre. It also visits an earlier cell ``j`` if a link could reach over the border: for a partner there,
    ``x . (c_i - c_j) <= |x - y| |c_i - c_j|``, and ``|x - y|`` is at most the chord of the threshold. So every linked pair meets in
    exactly one cell, and no link is lost.
@@ -9,9 +12,8 @@
    of bounded memory: an upper bound from half of the components first, in single precision, then the cosines in double. A comparison returns the number of links of each vector and a spanning forest of the links, never the pairs.
 4. Connected components of the forests give the groups; the smallest id of each is kept.
 
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, rows without an id,
-and vectors whose length isn't the most frequent one (the smallest of equally frequent ones) link with nothing and are
-kept. Rows with equal ids are vectors of their own. Other columns are not read.
+Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without an id link with
+nothing and are kept. Rows with equal ids are vectors of their own. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -76,26 +78,53 @@ def spherical_means(sample: np.ndarray, cells: int) -> np.ndarray:
     return centres
 
 
-def placed(classes: DataFrame, centres: np.ndarray) -> DataFrame:
-    """``cell, home, id, n, unit``: each class in its cell and in the earlier cells it visits."""
-    chord = np.sqrt(2 - 2 * THRESHOLD)
-    apart = np.sqrt(np.maximum(0, ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)))
+def visits(x: np.ndarray, centres: np.ndarray | None, apart: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, cell, home)``: the cell of each vector, and the earlier cells it visits; one cell without centres."""
+    if centres is None:
+        return np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
+    near = x @ centres.T
+    home = near.argmax(axis=1)
+    over = near[np.arange(len(x)), home][:, None] - near
+    go = (over <= np.sqrt(2 - 2 * THRESHOLD) * apart[home] + 1e-9) & (np.arange(len(centres)) <= home[:, None])
+    row, cell = np.nonzero(go)
+    return row, cell, cell == home[row]
+
+
+def placed(classes: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """``cell, home, size, id, n, unit``: each class in its cell and in the earlier cells of its length that it visits."""
+    apart = {size: np.sqrt(np.maximum(0, ((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2))) for size, c in centres.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(batch.num_rows, -1)
-            near = x @ centres.T
-            home = near.argmax(axis=1)
-            over = near[np.arange(len(x)), home][:, None] - near
-            go = (over <= chord * apart[home] + 1e-9) & (np.arange(len(centres)) <= home[:, None])
-            row, cell = np.nonzero(go)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int32()), pa.array(cell == home[row])] + [c.take(pa.array(row)) for c in batch.columns],
-                names=["cell", "home", "id", "n", "unit"])
-
-    return classes.select("id", "n", "unit").mapInArrow(run, "cell int, home boolean, id long, n long, unit binary")
+            sizes = batch.column(0).to_numpy()
+            for size in np.unique(sizes).tolist():
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                x = np.frombuffer(b"".join(own.column(3).to_pylist()), np.float64).reshape(own.num_rows, -1)
+                row, cell, home = visits(x, centres.get(size), apart.get(size))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell, pa.int32()), pa.array(home)] + [c.take(pa.array(row)) for c in own.columns],
+                    names=["cell", "home", "size", "id", "n", "unit"])
+
+    return classes.select("size", "id", "n", "unit").mapInArrow(run, "cell int, home boolean, size int, id long, n long, unit binary")
+
+
+def centres_of(classes: DataFrame) -> dict[int, np.ndarray]:
+    """The centres of each length with more than CELL_ROWS classes."""
+    large = {r["size"]: r["count"] for r in classes.groupBy("size").count().where(F.col("count") > CELL_ROWS).collect()}
+    if not large:
+        return {}
+    part = {size: max(1, int(min(1.0, SAMPLE_ROWS / len(large) / n) * (1 << 30))) for size, n in large.items()}
+    limit = F.create_map(*(F.lit(x) for pair in part.items() for x in pair))[F.col("size")]
+    place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30))
+    held = classes.where(F.col("size").isin(list(large)))
+    picked = held.where(place < limit).select("size", "id", "unit").collect()
+    found = {}
+    for size, n in large.items():
+        rows = sorted((r for r in picked if r["size"] == size), key=lambda r: r["id"])
+        if rows:  # else one cell, cut into blocks
+            cells = max(1, min(MOST_CELLS, -(-n // CELL_ROWS)))
+            found[size] = spherical_means(np.array([np.frombuffer(r["unit"], np.float64) for r in rows]), cells)
+    return found
 
 
 def linked_pairs(x: np.ndarray, y: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,34 +173,26 @@ def vector_groups(vectors: DataFrame, key: str = "vec_id", column: str = "embedd
     """``key, n_links, component_id, kept`` of every row."""
     raw = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{column}`").alias("v"))
     rows = settled(raw.mapInArrow(_units, "vec_id long, print binary, size int, unit binary"), "vectors")
-    common = rows.where("size is not null").groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    if common is None:
+    valid = rows.where("size is not null")
+    if valid.isEmpty():
         return rows.select(F.col("vec_id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    valid = rows.where(F.col("size") == common["size"])
     one = valid.groupBy("print").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
-    classes = valid.select("print", F.col("vec_id").alias("id"), "unit").join(one, ["print", "id"]).dropDuplicates(["print"])
-    classes = settled(classes.select("print", "id", "n", "unit"), "vector-classes")
-
-    total = classes.count()
-    cells = max(1, min(MOST_CELLS, -(-total // CELL_ROWS)))
-    part = min(1.0, SAMPLE_ROWS / total)
-    picked = classes.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < max(1, int(part * (1 << 30)))).select("id", "unit").collect()
-    picked = sorted(picked, key=lambda r: r["id"]) or classes.select("id", "unit").limit(1).collect()
-    centres = spherical_means(np.array([np.frombuffer(r["unit"], np.float64) for r in picked]), cells)
-
-    inside = settled(placed(classes, centres), "vector-cells")
-    blocks = inside.groupBy("cell").count().select("cell", F.ceil(F.col("count") / BLOCK).alias("blocks"))
-    dealt = inside.join(F.broadcast(blocks), "cell")  # at most MOST_CELLS rows
+    classes = valid.select("size", "print", F.col("vec_id").alias("id"), "unit").join(one, ["print", "id"]).dropDuplicates(["print"])
+    classes = settled(classes.select("size", "print", "id", "n", "unit"), "vector-classes")
+
+    inside = settled(placed(classes, centres_of(classes)), "vector-cells")
+    blocks = inside.groupBy("size", "cell").count().select("size", "cell", F.ceil(F.col("count") / BLOCK).alias("blocks"))
+    dealt = inside.join(F.broadcast(blocks), ["size", "cell"])  # at most MOST_CELLS rows for each length
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("cell", "home", "id", "n", "unit", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-    found = settled(dealt.groupBy("cell", "a", "b").applyInArrow(compare, "id long, links long, root long"), "vector-links")
+    dealt = dealt.select("size", "cell", "home", "id", "n", "unit", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    found = settled(dealt.groupBy("size", "cell", "a", "b").applyInArrow(compare, "id long, links long, root long"), "vector-links")
 
     groups = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = classes.select("print", "id", "n").join(links, "id", "left")
     named = named.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
     named = named.select("print", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    out = rows.select("vec_id", F.when(F.col("size") == common["size"], F.col("print")).alias("print")).join(named, "print", "left")
+    out = rows.select("vec_id", "print").join(named, "print", "left")
     out = out.select(F.col("vec_id").alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))

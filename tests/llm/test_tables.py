@@ -50,6 +50,16 @@ def test_vector_groups(spark, vectors, monkeypatch, cell, block):
     assert got == sorted(plain.vector_groups(vectors))
 
 
+@pytest.mark.parametrize("cell", [4096, 24])
+def test_vectors_of_several_lengths(spark, vectors, monkeypatch, cell):
+    monkeypatch.setattr(vector_groups, "CELL_ROWS", cell)
+    short = [(10_000 + i, v[:7]) for i, v in vectors if v and len(v) == 12 and i % 3]
+    frame = spark.createDataFrame(vectors + short, "vec_id long, embedding array<double>").repartition(4)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_groups.vector_groups(frame).collect())
+    assert got == sorted(plain.vector_groups(vectors) + plain.vector_groups(short))
+    assert sum(n for i, n, _ in got if i >= 10_000) > 100
+
+
 def test_vectors_without_any_direction(spark):
     rows = spark.createDataFrame([(1, None), (2, [0.0]), (None, [1.0])], "vec_id long, embedding array<double>")
     assert sorted((str(r.vec_id), r.n_links, r.kept) for r in vector_groups.vector_groups(rows).collect()) == [("1", 0, True), ("2", 0, True), ("None", 0, True)]
