@@ -1,7 +1,7 @@
 """Language by Bayesian fusion: the text, a declared language, an address suffix and the host.
 
-* Text: log-likelihoods under byte-trigram models, one per language, trained on a documented, bounded
-  sample of labelled rows. All trigrams of the whole text count; the sum is scaled to the
+* Text: log-likelihoods under byte-trigram models, one per language, each trained on a documented, bounded
+  sample of its labelled rows. All trigrams of the whole text count; the sum is scaled to the
   weight of ``EVIDENCE`` of them, as neighbouring trigrams are not independent.
 * Declared language and suffix: how often each value goes with each language, counted over all rows by the
   language the text alone suggests, smoothed by one row of each language.
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tallyhouse.llm.words import LOWER, slices
 from tallyhouse.operators.staging import settled
 
-SAMPLE_ROWS = 4000  # labelled rows the text models are trained on, in expectation
+SAMPLE_ROWS = 4000  # labelled rows each language's text model is trained on at most, in expectation
 FEATURES = 1 << 14
 EVIDENCE = 40.0
 STRENGTH = 20.0
@@ -62,10 +62,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log-likelihood of each trigram in each, from about SAMPLE_ROWS rows ``id, label, text``."""
+    """Languages, and the log-likelihood of each trigram in each, from up to about SAMPLE_ROWS rows ``id, label, text`` of each."""
     labelled = labelled.where("label is not null and text is not null")
-    part = SAMPLE_ROWS / max(1, labelled.count())
-    sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, part) * (1 << 30)))
+    rows = F.broadcast(labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows")))  # one row a language
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    sample = labelled.join(rows, "label").where(place < F.lit(float(SAMPLE_ROWS << 30)) / F.col("rows"))
     rows = sample.select("label", "text").mapInArrow(_counts, "language string, feature int, n long")
     rows = rows.groupBy("language", "feature").agg(F.sum("n").alias("n")).collect()  # at most languages x FEATURES
     names = sorted({r.language for r in rows})

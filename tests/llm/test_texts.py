@@ -274,6 +274,13 @@ def test_languages(spark):
     assert all(r.row.lang == r.language for r in found)
 
 
+def test_every_language_has_its_own_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    rows = [(i, "en", "the thing with the ring") for i in range(3000)] + [(5000 + i, "de", "schön keine zeitung") for i in range(3)]
+    names, _ = language.train(spark.createDataFrame(rows, "id long, label string, text string"))
+    assert names == ["de", "en"]
+
+
 def test_language_of_pages_uses_declaration_suffix_and_host(spark):
     labelled = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate([("de", "der und die sch ung " * 9), ("en", "the and of ing tion " * 9)] * 20)], "id long, label string, text string")
     pages = [(i, f"http://www.a.de/{i}", "<html lang='de'><p>der und die sch ung keit</p>") for i in range(30)]
