@@ -210,7 +210,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", k: int = 4) -> Data
     wanted = met.select("class").distinct()
     one = every.where("class is not null").groupBy("class").agg(F.min("key").alias("key")).join(wanted, "class", "left_semi")
     texts = named.join(one.select("key").distinct(), "key", "left_semi")
-    sets = settled(texts.select("text").mapInArrow(_class_sets(k), "class long, n long, members binary"), "jaccard-members")
+    sets = texts.select("text").mapInArrow(_class_sets(k), "class long, n long, members binary")
+    # Texts without any id have no key to be fetched by; they are read again and picked by class.
+    unnamed = named.where("key is null").select("text").mapInArrow(_class_sets(k), "class long, n long, members binary")
+    unnamed = unnamed.join(one.where("key is null").select("class"), "class", "left_semi").dropDuplicates(["class"])
+    sets = settled(sets.union(unnamed), "jaccard-members")
 
     groups, _ = pivot_round(met, sets, None)
     near = _rare_cells(_open_cells(met, groups), sets)

@@ -181,6 +181,14 @@ def test_one_of_each(spark, docs, texts):
     assert sorted(str(r.doc_id) for r in jaccard.one_of_each(rows).collect()) == ["1", "3", "4", "None"]
 
 
+def test_jaccard_links_texts_without_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    chain = [" ".join(words[i : i + 50]) for i in (0, 3, 6)]  # the ends link only through the middle
+    rows = spark.createDataFrame([(2, chain[0]), (None, chain[1]), (None, chain[1]), (1, chain[2])], "doc_id long, text string")
+    got = [(r.doc_id, r.component_id) for r in jaccard.jaccard_components(rows).collect()]
+    assert sorted(got, key=str) == [(1, 1), (2, 1), (None, 1), (None, 1)]
+
+
 def shares(weights, caps, budget):
     """Budget dealt by weight; what a full child leaves goes to the others."""
     got, open_, left = dict.fromkeys(weights, 0), {c for c in weights if weights[c] > 0}, budget
