@@ -117,3 +117,20 @@ pairs AS (
 SELECT conv_id, call_id, name, turn, level, result_turn, n_calls, n_results, problems, status,
     json_object('arguments', arguments, 'id', call_id, 'name', name, 'result', content, 'status', status)::VARCHAR AS json
 FROM (SELECT *, CASE WHEN name IS NULL THEN 'no call' WHEN problems <> '' THEN 'invalid' WHEN n_results IS NULL THEN 'no result' ELSE 'linked' END AS status FROM pairs)"""
+
+
+#: The checksum byte by byte, from the table of its polynomial.
+ORACLES["op11_shards"] = """WITH RECURSIVE bits AS (
+    SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) AS t(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+steps AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+coded AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(h, '..'), lambda s: ('0x' || s)::BIGINT)),
+        lambda a, x: xor(a >> 8, t[1 + (xor(a, x) & 255)])), 4294967295) AS text_crc32 FROM coded, steps),
+summed AS (SELECT *, sum(size) OVER () AS total, row_number() OVER in_order AS place,
+        sum(size) OVER (in_order ROWS UNBOUNDED PRECEDING) AS until FROM sized
+    WINDOW in_order AS (ORDER BY doc_id NULLS FIRST, size, text_crc32)),
+cut AS (SELECT *, least(15, (2 * until - size) * 16 // (2 * total))::INT AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
+    NULL::INT AS grown_shard FROM cut"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    jaccard, language, mixing, oracles, quality, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
+    jaccard, language, mixing, oracles, quality, shards, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
 )
 from tallyhouse.llm.words import small_batches
 
@@ -117,3 +117,12 @@ def op9_wrappers(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
+@query
+def op11_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = shards.read_shards(spark, shards.write_shards(docs), docs)
+    return found.select(
+        "row.doc_id", "size", shards.text_crc32(F.col("row.text")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
