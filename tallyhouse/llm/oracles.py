@@ -134,3 +134,26 @@ summed AS (SELECT *, sum(size) OVER () AS total, row_number() OVER in_order AS p
 cut AS (SELECT *, least(15, (2 * until - size) * 16 // (2 * total))::INT AS shard FROM summed)
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
     NULL::INT AS grown_shard FROM cut"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op13_divergence"] = rf"""WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+words AS (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+every AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+cells AS (SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, total, v FROM every JOIN kept USING (lang)
+    JOIN langs USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 1)) // (total + v) AS q FROM cells),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+        FROM every AS a JOIN every AS b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN shares AS x ON x.lang = a.lang AND x.source = a.source
+        LEFT JOIN shares AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+    UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200"""

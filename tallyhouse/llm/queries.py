@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    jaccard, language, mixing, oracles, quality, shards, token_files, tool_links, trie_bpe, url_rules, vector_groups, wrappers,
+    divergence, jaccard, language, mixing, oracles, quality, shards, token_files, tool_links, trie_bpe, url_rules, vector_groups,
+    wrappers,
 )
 from tallyhouse.llm.words import small_batches
 
@@ -126,3 +127,8 @@ def op11_shards(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "row.doc_id", "size", shards.text_crc32(F.col("row.text")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
