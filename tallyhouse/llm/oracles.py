@@ -157,3 +157,18 @@ found AS (
     UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op12_max_sketch"] = f"""WITH words AS (SELECT r, doc_id, unnest(terms) AS term FROM (
+    SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents)),
+totals AS (SELECT count(DISTINCT r) AS documents, count(*) AS length FROM words),
+lengths AS (SELECT r, count(*) AS n FROM words GROUP BY r),
+postings AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, documents),
+items AS (SELECT DISTINCT item_id, text FROM benchmark),
+wanted AS (SELECT DISTINCT item_id, text, unnest({_TERMS}) AS term FROM items),
+scores AS (SELECT item_id, text, r, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 8 * (10 + 90 * n * documents // length))))::BIGINT AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (r), totals GROUP BY ALL HAVING score > 0),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id)::INT AS rank FROM scores)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""

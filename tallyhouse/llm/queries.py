@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
-    divergence, jaccard, language, mixing, oracles, quality, shards, token_files, tool_links, trie_bpe, url_rules, vector_groups,
+    divergence, jaccard, language, max_sketch, mixing, oracles, quality, shards, token_files, tool_links, trie_bpe, url_rules, vector_groups,
     wrappers,
 )
 from tallyhouse.llm.words import small_batches
@@ -129,6 +129,11 @@ def op11_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op12_max_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return max_sketch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
