@@ -29,7 +29,10 @@ from tallyhouse.llm.terms import LETTERS_AND_DIGITS, counted, terms
 from tallyhouse.llm.words import Texts, slices
 from tallyhouse.operators.staging import settled
 
-COORDINATES = 1024
+#: More coordinates make bounds closer; a sketch lives only while its documents are searched.
+COORDINATES = 8192
+#: Documents that are sketched together.
+DOCUMENTS = 512
 #: Pairs of item and term in a block of items, about.
 BLOCK_PAIRS = 1 << 18
 #: Items whose bounds are computed together.
@@ -117,8 +120,16 @@ class Items:
         return found
 
 
+def few(column: pa.Array) -> Iterator[tuple[int, Texts]]:
+    """As ``slices``, with at most DOCUMENTS texts each."""
+    for first, texts in slices(column):
+        for at in range(0, texts.n, DOCUMENTS):
+            own = texts.bounds[at : at + DOCUMENTS + 1]
+            yield first + at, Texts(texts.data[own[0] : own[-1]], own - own[0])
+
+
 class Postings:
-    """Impacts of the documents of a slice: folded into sketches, and exact for the items' terms."""
+    """Impacts of some documents: folded into sketches, and exact for the items' terms."""
 
     def __init__(self, texts: Texts, items: Items):
         words, number, owner = terms(texts, LETTERS_AND_DIGITS)
@@ -182,7 +193,7 @@ class Best:
 
 
 def rescore(found: Postings, ids: np.ndarray, best: Best) -> None:
-    """Let every item take the documents of a slice in descending order of its bounds, until the next is below its threshold."""
+    """Let every item take some documents in descending order of its bounds, until the next is below its threshold."""
     n = len(found.sketch)
     for first in range(0, len(found.items.sizes), ITEMS):
         last = min(first + ITEMS, len(found.items.sizes))
@@ -208,7 +219,7 @@ def _searcher(items: Items, k: int):
         best = Best(len(items.sizes), k)
         for batch in batches:
             ids = pc.fill_null(batch.column(0).cast(pa.int64()), np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-            for first, texts in slices(batch.column(1)):
+            for first, texts in few(batch.column(1)):
                 if items.length:
                     rescore(Postings(texts, items), ids[first : first + texts.n], best)
         item, place = np.nonzero(best.score)

@@ -106,3 +106,62 @@ def corpus(rng, n=120):
     texts += ["", None, " \n\t", "one", "one two", "One TWO", "one two three four", "one two three four five", "x" * 3000,
               " ".join(make(6000)), "same line here\nsame line here\nother\n\nsame line here", "a b c d e " * 9, "*** ### $$$ word"]
     return texts
+
+
+def _runs(text, pattern):
+    return re.findall(pattern, "".join(SMALL.get(c, c) for c in text or ""))
+
+
+def search_terms(text):
+    return _runs(text, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(rows, items, k):
+    """item_id, rank, doc_id, score of the best rows of (doc_id, text) for each different item"""
+    tf = [Counter(search_terms(t)) for _, t in rows]
+    n, length = sum(map(bool, tf)), sum(sum(c.values()) for c in tf)
+    df = Counter(t for c in tf for t in c)
+    found = []
+    for item, text in set(items):
+        scores = []
+        for (doc, _), c in zip(rows, tf):
+            score = 0
+            for t in set(search_terms(text)) & set(c):
+                m = 100 - 90 + (90 * sum(c.values()) * n) // length
+                score += math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0))
+        found += [(item, rank, None if gone else doc, -score) for rank, (score, gone, doc) in enumerate(sorted(scores)[:k], 1)]
+    return found
+
+
+def divergences(rows, ranks):
+    """lang, source, part, item, value, rank of rows of (doc_id, text, lang, source)"""
+    count, docs, every = defaultdict(Counter), Counter(), set()
+    for _, text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        own = Counter(_runs(text, r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"))
+        every.add((lang, source))
+        count[lang, source].update(own)
+        docs.update((lang, t) for t in own)
+    price = lambda p, q: (p - q) * (p - q) // q
+    found = []
+    for lang in {g[0] for g in every}:
+        kept = [t for (l, t), n in docs.items() if l == lang and n >= 3]
+        groups = [s for l, s in every if l == lang]
+
+        def shares(n):
+            total = sum(n[t] for t in kept)
+            return {t: 1 + 1000000000 * (n[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {s: shares(count[lang, s]) for s in groups}
+        q = shares(sum((count[lang, s] for s in groups), Counter()))
+        for s in groups:
+            parts = {
+                "pair": [(-sum(price(p[s][t], p[o][t]) for t in kept), o) for o in groups if o != s],
+                "term": [(-price(p[s][t], q[t]), t) for t in kept if count[lang, s][t] and p[s][t] > q[t]],
+            }
+            for part, values in parts.items():
+                values.sort(key=lambda x: (x[0], x[1].encode()))
+                found += [(lang, s, part, item, -value, rank) for rank, (value, item) in enumerate(values, 1) if part == "pair" or rank <= ranks]
+    return found
