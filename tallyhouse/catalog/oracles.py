@@ -465,7 +465,8 @@ SELECT DISTINCT user_token, created_at AS registration_date, status, tier AS sub
     email_verified_at IS NOT NULL AS email_verified, {_SINCE} AS days_since_last_activity, country_code, signup_source
 FROM shop_users WHERE created_at IS NOT NULL"""
 define("user_metrics_v2", _USER_METRICS, USERS)
-define("load_user_analytics", _USER_METRICS, USERS)
+for _name in ("load_user_analytics", "backfill_users_one_scan", "merged_user_analytics"):
+    define(_name, _USER_METRICS, USERS)
 
 # --- orders, payments, notifications -------------------------------------------------------
 
@@ -485,7 +486,8 @@ define("order_metrics_v1", _ORDER_NUMBERS, ORDERS, _ORDER_DAY, dates=("order_dat
 _ORDER_TEXT = """
 SELECT order_date, status, order_count, total_revenue::VARCHAR AS total_revenue,
     avg_order_value::DECIMAL(22,6)::VARCHAR AS avg_order_value FROM order_days"""
-for _name in ("order_metrics_v2", "order_metrics_of_repeats", "append_if_absent_rows", "load_order_analytics"):
+for _name in ("order_metrics_v2", "order_metrics_of_repeats", "append_if_absent_rows", "load_order_analytics",
+              "backfill_one_scan", "merged_order_analytics", "stream_merged_orders"):
     define(_name, _ORDER_TEXT, ORDERS, _ORDER_DAY, dates=("order_date",))
 define("backfill_load", _ORDER_TEXT + " WHERE order_date >= '1996-01-01' AND order_date < '1996-03-27'", ORDERS, _ORDER_DAY, dates=("order_date",))
 
@@ -507,7 +509,8 @@ SELECT payment_date, payment_method, transaction_count, total_amount::VARCHAR AS
     avg_processing_time AS avg_processing_time_ms FROM payment_days"""
 define("payment_metrics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 define("payment_metrics_of_repeats", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
-define("load_payment_analytics", _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
+for _name in ("load_payment_analytics", "merged_payment_analytics"):
+    define(_name, _PAYMENT_METRICS, PAYMENTS, _PAYMENT_DAY, dates=("payment_date",))
 
 _NOTE_DAY = """
 note_days AS (
@@ -526,7 +529,8 @@ SELECT notification_date, channel, notification_type, total_sent, delivered, ope
     {percent("clicked", "total_sent")} AS click_through_rate{{more}} FROM note_days"""
 for _name in ("notification_metrics", "notification_metrics_of_repeats"):
     define(_name, _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
-define("load_notification_analytics", _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
+for _name in ("load_notification_analytics", "merged_notification_analytics"):
+    define(_name, _NOTE_METRICS.format(more=", bounced, failed"), NOTES, _NOTE_DAY, dates=("notification_date",))
 define("notification_metrics_v1", _NOTE_METRICS.format(more=""), NOTES, _NOTE_DAY, dates=("notification_date",))
 
 _CHANNEL = f"""
@@ -537,6 +541,24 @@ define("channel_metrics", _CHANNEL.format(more=""), NOTES, _NOTE_DAY)
 define("load_channel_analytics", _CHANNEL.format(
     more=", TIMESTAMP '1990-01-01' AS window_start, TIMESTAMP '2030-01-01' AS window_end"), NOTES, _NOTE_DAY)
 
+define("backfill_channel_windows", f"""
+SELECT *, {_RATES} FROM (
+    SELECT channel, sum(total_sent)::BIGINT AS total_sent, sum(delivered)::BIGINT AS delivered, sum(opened)::BIGINT AS opened,
+        sum(clicked)::BIGINT AS clicked, TIMESTAMP '1990-01-01' + to_days((7 * week)::INT) AS window_start,
+        least(TIMESTAMP '1990-01-01' + to_days((7 * week + 7)::INT), TIMESTAMP '2030-01-01') AS window_end
+    FROM (SELECT *, date_diff('day', DATE '1990-01-01', notification_date) // 7 AS week FROM note_days) GROUP BY channel, week)""", NOTES, _NOTE_DAY)
+
+define("backfill_outcomes", """
+SELECT 'payment_analytics' AS job_name, CASE WHEN gone THEN 'failed' ELSE 'success' END AS status, n AS records_extracted,
+    n AS records_loaded, 0::BIGINT AS records_skipped, 0::BIGINT AS records_failed, window_start, window_end, gone::INT AS error_count
+FROM (
+    SELECT window_start, window_end, TIMESTAMP '1996-02-05' >= window_start AND TIMESTAMP '1996-02-05' < window_end AS gone,
+        CASE WHEN gone THEN 0 ELSE count(payment_date) END AS n
+    FROM (SELECT TIMESTAMP '1990-01-01' + to_days((28 * i)::INT) AS window_start,
+            least(TIMESTAMP '1990-01-01' + to_days((28 * i + 28)::INT), TIMESTAMP '2030-01-01') AS window_end
+        FROM range((date_diff('day', DATE '1990-01-01', DATE '2030-01-01') + 27) // 28) AS t(i))
+    LEFT JOIN payment_days ON payment_date >= window_start AND payment_date < window_end GROUP BY 1, 2)""", PAYMENTS, _PAYMENT_DAY)
+
 # --- privacy -------------------------------------------------------------------------------
 
 define("tokenize_column", f"SELECT id, n, {token('card_number', 'crd')} AS card_number FROM shop_contacts", CONTACTS)

@@ -23,6 +23,8 @@ from tallyhouse.operators import dedup as D
 from tallyhouse.operators import fingerprints as FP
 from tallyhouse.operators import privacy as PR
 from tallyhouse.operators.load import append_if_absent
+from tallyhouse.plans import backfill as B
+from tallyhouse.plans import increments as I
 from tallyhouse.plans import jobs as J
 from tallyhouse.plans import notifications as N
 from tallyhouse.plans import orders as O
@@ -790,6 +792,74 @@ def backfill_load(spark, folder):
     return spark.read.parquet(f"{warehouse}/order_analytics")
 
 
+@query
+def backfill_one_scan(spark, folder):
+    """All weeks of the orders in one pass."""
+    warehouse = shared_folder(spark, "warehouse")
+    B.backfill_at_once(lambda s: J.order_job(E.orders(spark, folder), s), EVER, warehouse)
+    return spark.read.parquet(f"{warehouse}/order_analytics")
+
+
+@query
+def backfill_users_one_scan(spark, folder):
+    warehouse = shared_folder(spark, "warehouse")
+    B.backfill_at_once(lambda s: J.user_job(E.users(spark, folder), s, AS_OF), EVER, warehouse, days=30)
+    return spark.read.parquet(f"{warehouse}/user_analytics")
+
+
+@query
+def backfill_channel_windows(spark, folder):
+    """The channel rollups of all weeks, each with its window."""
+    warehouse = shared_folder(spark, "warehouse")
+    B.backfill_at_once(lambda s: J.notification_job(E.notifications(spark, folder), s), EVER, warehouse)
+    return spark.read.parquet(f"{warehouse}/channel_analytics")
+
+
+@query
+def backfill_outcomes(spark, folder):
+    """The outcome of every four weeks of payments, one of which cannot be loaded."""
+
+    def make(span):
+        if span.covers(datetime(1996, 2, 5)):
+            raise ValueError("no source")
+        return J.payment_job(E.payments(spark, folder), span, salt=SALT)
+
+    done = B.backfill_at_once(make, EVER, shared_folder(spark, "warehouse"), days=28, name="payment_analytics")
+    return J.summary_frame(spark, done).select(
+        "job_name", "status", "records_extracted", "records_loaded", "records_skipped", "records_failed", "window_start", "window_end", "error_count")
+
+
+def _merged(spark, folder, increment, rows):
+    """All rows in two batches, of which the second comes late and is taken in twice."""
+    warehouse, late = shared_folder(spark, "warehouse"), F.xxhash64("id") < 0
+    for batch, part in ((0, rows.where(~late)), (1, rows.where(late)), (1, rows.where(late))):
+        I.merge_rows(increment, part, warehouse, batch)
+    return spark.read.parquet(f"{warehouse}/{increment.table}").drop(I.MONTH)
+
+
+@query
+def merged_order_analytics(spark, folder):
+    return _merged(spark, folder, I.ORDERS, E.orders(spark, folder))
+
+
+@query
+def merged_payment_analytics(spark, folder):
+    return _merged(spark, folder, I.PAYMENTS, E.payments(spark, folder))
+
+
+@query
+def merged_notification_analytics(spark, folder):
+    return _merged(spark, folder, I.NOTIFICATIONS, E.notifications(spark, folder))
+
+
+@query
+def merged_user_analytics(spark, folder):
+    warehouse, users, late = shared_folder(spark, "warehouse"), E.users(spark, folder), F.xxhash64("id") < 0
+    for part in (users.where(~late), users.where(late), users.where(late)):
+        I.merge_users(part, warehouse, AS_OF)
+    return spark.read.parquet(f"{warehouse}/user_analytics").drop(I.MONTH)
+
+
 def _props(spark, folder):
     """Events with their properties as a map, and in an array of structs, with names that are personal data."""
     words = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user_email"), F.concat(F.col("user_id").cast("string"), F.lit("@shop.test")))
@@ -881,3 +951,11 @@ def stream_payment_windows(spark, folder):
     stream = E.payment_columns(ST.parquet_stream(spark, folder, "lineitem"))
     windows = ST.payment_windows(stream, "1 day", "1 day")
     return _doubles(_all_windows(spark, windows, ["payment_method"]), "total_amount")
+
+
+@query
+def stream_merged_orders(spark, folder):
+    out = shared_folder(spark, "stream")
+    stream = E.order_columns(ST.parquet_stream(spark, folder, "orders"))
+    ST.run_available(I.sink_merged(stream, I.ORDERS, out, f"{out}/checkpoint"))
+    return spark.read.parquet(f"{out}/order_analytics").drop(I.MONTH)

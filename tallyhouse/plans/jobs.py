@@ -44,6 +44,9 @@ class Job:
     rollup: Callable[[DataFrame], DataFrame] | None = None
     rollup_target: Target | None = None
     span: Span | None = None
+    # Where the extract and the metrics hold the time of a row; and the rollup of many windows at once, grouped by these columns.
+    timed: tuple[str, str] | None = None
+    rollup_by: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
 
 
 @dataclass
@@ -87,6 +90,7 @@ def user_job(users: DataFrame, span: Span, as_of: datetime, version: int = 2) ->
         # No date in the key: a user may be anywhere in the table, and may come twice in the source.
         Target("user_analytics", (key,)),
         span=span,
+        timed=("created_at", "registration_date"),
     )
 
 
@@ -108,6 +112,7 @@ def order_job(orders: DataFrame, span: Span, statuses: Sequence[str] | None = No
         O.order_metrics_v1 if version == 1 else O.order_metrics,
         Target("order_analytics", ("order_date", "status"), _days(span, "order_date"), unique=True),
         span=span,
+        timed=("order_date", "order_date"),
     )
 
 
@@ -118,6 +123,7 @@ def payment_job(payments: DataFrame, span: Span, pii_mode: str = "token", salt:
         P.payment_metrics,
         Target("payment_analytics", ("payment_date", "payment_method"), _days(span, "payment_date"), unique=True),
         span=span,
+        timed=("payment_date", "payment_date"),
     )
 
 
@@ -140,6 +146,8 @@ def notification_job(
         Target("channel_analytics", ("window_start", "window_end", "channel"),
                F.col("window_start") == moment(span.start), unique=True),
         span,
+        ("notification_date", "notification_date"),
+        N.channel_metrics,
     )
 
 

@@ -58,15 +58,15 @@ def notification_metrics(daily: DataFrame, version: int = 2) -> DataFrame:
     return unique.select(*columns)
 
 
-def channel_metrics(metrics: DataFrame) -> DataFrame:
-    """Per channel the summed funnel and the three rates of the sums; rows without channel are left out."""
+def channel_metrics(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per channel, and per value of ``by``, the summed funnel and the three rates of the sums; rows without channel are left out."""
     sums = (
         metrics.filter(has_text(F.col("channel")))
-        .groupBy("channel")
+        .groupBy("channel", *by)
         .agg(*[F.sum(step).alias(step) for step in STEPS])
     )
     rates = _rates(*[F.col(step) for step in STEPS])
-    return sums.select("channel", *STEPS, *[rates[r].alias(r) for r in ("delivery_rate", "open_rate", "click_rate")])
+    return sums.select("channel", *STEPS, *[rates[r].alias(r) for r in ("delivery_rate", "open_rate", "click_rate")], *by)
 
 
 def notification_flags(notifications: DataFrame) -> DataFrame:
