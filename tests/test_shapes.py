@@ -7,7 +7,7 @@ import pytest
 from tallyhouse.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-STREAMED_OR_LOADED = {n for n in QUERIES if n.startswith(("stream_", "load_", "append_")) or n in ("run_summary", "backfill_load")}
+STREAMED_OR_LOADED = {n for n in QUERIES if n.startswith(("stream_", "load_", "append_", "merged_", "backfill_", "run_"))} - {"backfill_chunks"}
 LAZY = sorted(set(QUERIES) - STREAMED_OR_LOADED)
 
 
