@@ -21,12 +21,15 @@ import sys
 import types
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.words import KEPT
+
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same pattern for characters in PLAIN, where these classes agree with those of Unicode.
 PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
@@ -35,7 +38,10 @@ NOT_PLAIN = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
 NEVER = 1 << 60
 LONG_WORD = 200
 PIECE_CHARS = 1 << 20
-CACHE_WORDS = 250_000
+#: Words whose ids an encoder keeps: when there are more than the second number, those met first, which are mostly the frequent ones.
+KEPT_WORDS, MOST_WORDS = 60_000, 120_000
+#: Words in one trie.
+TRIE_WORDS = 8_192
 
 
 def byte_characters() -> list[str]:
@@ -120,7 +126,7 @@ class Vocabulary:
 
     def neighbours(self, a: int, b: int) -> bool:
         """Whether the text of a and b together is encoded as a, b."""
-        if len(self.pair_known) > 300_000:
+        if len(self.pair_known) > 150_000:
             self.pair_known.clear()
         known = self.pair_known[a << 32 | b] = self.joined(a, b) is None
         return known
@@ -187,7 +193,7 @@ def walk(v: Vocabulary, root: dict, depth: int, chain: bool = False) -> dict[str
 
 def encoder(path: str) -> Encoder:
     """The encoder of a vocabulary file, kept by a Python worker from task to task with the words it knows."""
-    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
+    kept = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
@@ -197,9 +203,7 @@ class Encoder:
     """Whole texts to ids and back, with the ids of recent words kept."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.v, self.library = Vocabulary.load(path), Tokenizer.from_file(path)
+        self.path, self.v, self.library = path, Vocabulary.load(path), None
         self.bytes = byte_characters()
         self.split = re.compile("(" + "|".join(map(re.escape, self.v.added)) + ")")
         self.marks = tuple(self.v.added)
@@ -214,6 +218,10 @@ class Encoder:
     def plain_words(self, part: str) -> list[str]:
         if not NOT_PLAIN.search(part):
             return PLAIN_WORD.findall(part.lower())
+        if self.library is None:  # few texts need it
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
         shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)) if part else []
         return [" " + w for w, _ in shown]
 
@@ -222,18 +230,22 @@ class Encoder:
         new = set(words).difference(self.known)
         if not new:
             return
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-            new = set(words)
+        if len(self.known) > MOST_WORDS:
+            self.known = dict(islice(self.known.items(), KEPT_WORDS))
+            new = set(words).difference(self.known)
         shown = {}
         for w in new:
             if w[0] == "\n":
                 self.known[w] = str(self.v.added[w[1:]])
             else:
                 shown[w] = w[1:] if w[0] == " " else "".join([self.bytes[b] for b in w.encode()])
-        ids = encode_words(self.v, set(shown.values()))
+        # Some words at a time, in order: a trie takes much more memory than its words, and neighbours share most of their prefixes.
+        wanted, ids = sorted(set(shown.values())), {}
+        for first in range(0, len(wanted), TRIE_WORDS):
+            for s, own in encode_words(self.v, wanted[first : first + TRIE_WORDS]).items():
+                ids[s] = " ".join(map(str, own))
         for w, s in shown.items():
-            self.known[w] = " ".join(map(str, ids[s]))
+            self.known[w] = ids[s]
 
     def pieces(self, text: str) -> Iterator[str]:
         """The text cut at white space."""

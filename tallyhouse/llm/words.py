@@ -7,6 +7,7 @@ fingerprints; two different words agree with a chance of about 2**-60 per pair.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
+#: Under this name a Python worker keeps encoders from task to task. A task of another kind lets go of them.
+KEPT = "_kept_encoders"
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 SHINGLE_FACTORS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
@@ -87,6 +90,7 @@ def slices(column: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Itera
 
     Null counts as the empty text.
     """
+    sys.modules.pop(KEPT, None)
     for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         chunk = chunk.cast(pa.large_string()).fill_null("")
         _, offsets, data = chunk.buffers()
