@@ -30,7 +30,7 @@ DOCUMENTS = 3
 #: Shares are whole numbers of this size, one at least.
 SCALE = 1_000_000_000
 #: Counts in a tile, about, and groups in a block.
-TILE_COUNTS = 1 << 18
+TILE_COUNTS = 1 << 16
 BLOCK = 1024
 #: Pairs of nodes followed at once.
 PAIRS = 1 << 18
