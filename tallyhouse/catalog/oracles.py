@@ -453,6 +453,16 @@ SELECT a.ts::DATE AS activity_date, count(DISTINCT a.user_id) AS dau,
     count(DISTINCT CASE WHEN u.tier = 'enterprise' THEN a.user_id END) AS enterprise_dau
 FROM events a JOIN shop_users u ON a.user_id = u.id GROUP BY 1 ORDER BY 1""", USERS, dates=("activity_date",))
 
+for _name, _period in (("daily", "day"), ("weekly", "week"), ("monthly", "month")):
+    define(f"{_name}_actives_of_bitmaps", f"""
+SELECT date_trunc('{_period}', a.ts)::DATE AS period_start, count(DISTINCT a.user_id) AS users,
+    count(DISTINCT CASE WHEN u.tier = 'premium' THEN a.user_id END) AS premium_users,
+    count(DISTINCT CASE WHEN u.tier = 'enterprise' THEN a.user_id END) AS enterprise_users
+FROM events a JOIN shop_users u ON a.user_id = u.id GROUP BY 1""", USERS, dates=("period_start",))
+
+ORACLES["user_segments_of_buckets"] = ORACLES["user_segments_detail"]
+ORACLES["cohort_retention_of_buckets"] = ORACLES["cohort_retention"]
+
 _SINCE = f"CAST(floor(epoch(TIMESTAMP '{AS_OF}' - last_activity_at) / 86400.0) AS BIGINT)"
 
 define("user_metrics_v1", f"""
@@ -647,6 +657,8 @@ define("dedup_batches", """
 SELECT min(doc_id) AS doc_id, fingerprint FROM prints
 WHERE fingerprint NOT IN (SELECT fingerprint FROM known) GROUP BY fingerprint""",
        _PRINTS, _KNOWN.format(where=""))
+ORACLES["dedup_known_store"] = ORACLES["dedup_batches"]
+ORACLES["known_store_lookup"] = ORACLES["known_duplicates"]
 define("dedup_repeated_batch", "SELECT DISTINCT * FROM events")
 
 # --- windows, loading, jobs ----------------------------------------------------------------

@@ -21,8 +21,10 @@ from tallyhouse.functions.time import Span, day_before, hour_before
 from tallyhouse.operators import conform as C
 from tallyhouse.operators import dedup as D
 from tallyhouse.operators import fingerprints as FP
+from tallyhouse.operators import known as K
 from tallyhouse.operators import privacy as PR
 from tallyhouse.operators.load import append_if_absent
+from tallyhouse.plans import actives as A
 from tallyhouse.plans import backfill as B
 from tallyhouse.plans import increments as I
 from tallyhouse.plans import jobs as J
@@ -33,6 +35,7 @@ from tallyhouse.plans import users as U
 from tallyhouse.session import shared_folder
 from tallyhouse.sources import entities as E
 from tallyhouse.sources import lookups as L
+from tallyhouse.sources.bucketed import bucketed
 from tallyhouse.sources.tables import parquet_table, run_sql, select_where
 from tallyhouse.streaming import jobs as ST
 
@@ -449,6 +452,45 @@ def daily_active_users(spark, folder):
     return U.daily_active_users(E.users(spark, folder), E.activity(spark, folder), EVER)
 
 
+def _actives(spark, folder, period):
+    """Activity in two parts, the second late and taken in twice."""
+    path, rows, late = shared_folder(spark, "actives"), E.activity(spark, folder), F.xxhash64("id") < 0
+    for part in (rows.where(~late), rows.where(late), rows.where(late)):
+        A.merge_actives(E.users(spark, folder), part, path)
+    return A.actives(spark.read.parquet(path), period)
+
+
+@query
+def daily_actives_of_bitmaps(spark, folder):
+    return _actives(spark, folder, "day")
+
+
+@query
+def weekly_actives_of_bitmaps(spark, folder):
+    return _actives(spark, folder, "week")
+
+
+@query
+def monthly_actives_of_bitmaps(spark, folder):
+    return _actives(spark, folder, "month")
+
+
+BUCKETS = 8
+
+
+@query
+def user_segments_of_buckets(spark, folder):
+    """Segments per person over tables that lie by user."""
+    users, orders = bucketed(E.users(spark, folder), "id", BUCKETS), bucketed(E.orders(spark, folder), "user_id", BUCKETS)
+    return _doubles(U.segment_members(users, orders, SINCE, SALT), "total_spend")
+
+
+@query
+def cohort_retention_of_buckets(spark, folder):
+    users, activity = bucketed(E.users(spark, folder), "id", BUCKETS), bucketed(E.order_activity(spark, folder), "user_id", BUCKETS)
+    return U.retention(users, activity, SINCE, by_user=True)
+
+
 @query
 def user_metrics_v1(spark, folder):
     return U.user_metrics_v1(U.user_records(E.users(spark, folder), EVER, 1), AS_OF)
@@ -685,6 +727,31 @@ def dedup_batches(spark, folder):
     return D.new_records(documents, _text_print(), "doc_id", D.recall(spark, path)).select("doc_id", D.FINGERPRINT)
 
 
+def _stored_prints(spark, folder):
+    """A store with the labelled documents, in two batches that share many of them."""
+    store = K.Store(shared_folder(spark, "known"))
+    K.remember(_labelled(spark, folder), store, 0)
+    K.remember(_labelled(spark, folder, quality=1), store, 1)
+    return store
+
+
+@query
+def dedup_known_store(spark, folder):
+    """As ``dedup_batches``, with the fingerprints in the store that is read in part."""
+    store = _stored_prints(spark, folder)
+    documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
+    seen = K.known(D.fingerprint_table(documents, _text_print()), store)
+    return D.new_records(documents, _text_print(), "doc_id", seen).select("doc_id", D.FINGERPRINT)
+
+
+@query
+def known_store_lookup(spark, folder):
+    """The documents whose fingerprints the store holds, as ``known_duplicates``."""
+    store = _stored_prints(spark, folder)
+    prints = D.pairs(parquet_table(spark, folder, "documents"), _text_print(), "doc_id")
+    return D.known_records(prints, F.col(D.FINGERPRINT), K.known(prints, store))
+
+
 @query
 def dedup_repeated_batch(spark, folder):
     events = parquet_table(spark, folder, "events")

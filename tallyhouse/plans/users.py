@@ -205,20 +205,22 @@ def _user_months(activity: DataFrame) -> DataFrame:
     return activity.select("user_id", month(F.col("created_at")).alias("activity_month")).distinct()
 
 
-def _cohorts(users: DataFrame, cohort_start: datetime) -> DataFrame:
-    """(user, registration month), shuffled by user."""
-    return _since(users, cohort_start).select(
+def _cohorts(users: DataFrame, cohort_start: datetime, by_user: bool = False) -> DataFrame:
+    """(user, registration month), shuffled by user, unless ``by_user`` says that the table is dealt by user already."""
+    found = _since(users, cohort_start).select(
         F.col("id").alias("user_id"), month(F.col("created_at")).alias("cohort_month")
-    ).repartition("user_id")
+    )
+    return found if by_user else found.repartition("user_id")
 
 
-def retention(users: DataFrame, activity: DataFrame, cohort_start: datetime) -> DataFrame:
+def retention(users: DataFrame, activity: DataFrame, cohort_start: datetime, by_user: bool = False) -> DataFrame:
     """Active users and their share of the cohort, per registration month and activity month.
 
-    As in a plain join on the user, activity before the cohort's own month counts too.
+    As in a plain join on the user, activity before the cohort's own month counts too. With ``by_user`` both tables are
+    bucketed by user, and users are not shuffled before they meet.
     """
     # Ids hardly repeat, so one shuffle by user serves the count, the join and the cohort sizes.
-    cohort = _cohorts(users, cohort_start).groupBy("user_id", "cohort_month").agg(F.count("*").alias("copies"))
+    cohort = _cohorts(users, cohort_start, by_user).groupBy("user_id", "cohort_month").agg(F.count("*").alias("copies"))
     size = cohort.groupBy("cohort_month").agg(F.sum("copies").alias("size"))
     # (user, cohort month) and (user, activity month) are unique, so counting rows counts users.
     active = (

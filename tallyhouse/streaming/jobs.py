@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyhouse.functions.numbers import MONEY_TOTAL, money
-from tallyhouse.operators.dedup import FINGERPRINT, new_records
-from tallyhouse.operators.load import append_if_absent, existing, range_of
+from tallyhouse.operators.dedup import FINGERPRINT, fingerprint_table, new_records
+from tallyhouse.operators.known import Store, known, remember
+from tallyhouse.operators.load import append_if_absent, range_of
 from tallyhouse.operators.staging import settled
 
 
@@ -94,17 +95,17 @@ def notification_windows(notifications: DataFrame, width: str = "1 hour", delay:
 def sink_new_records(stream: DataFrame, fingerprint: Column, row_id: str, path: str, checkpoint: str) -> DataStreamWriter:
     """Append the first record of each fingerprint, however late it comes.
 
-    What is known lies in a table beside the target, with the batch that brought it. A batch that is replayed sees
-    only earlier ones and writes its own part again, so nothing is lost or doubled.
+    What is known lies in a store beside the target, of which a batch reads little more than filters: see
+    ``operators.known``. A batch that is replayed sees only earlier ones and writes its own part again, so nothing is lost
+    or doubled.
     """
-    known = f"{path}_known"
+    store = Store(f"{path}_known")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        held = existing(batch.sparkSession, known)
-        before = None if held is None else held.filter(F.col("batch") < batch_id)
+        before = known(fingerprint_table(batch, fingerprint), store, batch_id)
         new = settled(new_records(batch, fingerprint, row_id, before), "stream-new")
         new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        new.select(FINGERPRINT).write.mode("overwrite").parquet(f"{known}/batch={batch_id}")
+        remember(new.select(FINGERPRINT), store, batch_id)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
 
