@@ -48,9 +48,14 @@ class Store:
         return F.explode(F.array(*places)).alias("place")
 
 
-def _read(spark: SparkSession, path: str, parts: list[int]) -> DataFrame | None:
+#: The two tables of a store.
+PRINTS = f"{FINGERPRINT} string, {PART} int, {BATCH} int"
+FILTERS = f"{BUCKET} long, {BITS} binary, {PART} int"
+
+
+def _read(spark: SparkSession, path: str, schema: str, parts: list[int]) -> DataFrame | None:
     """The given partitions of a table, or None where there is no table; others are not opened."""
-    found = existing(spark, path)
+    found = existing(spark, path, schema)
     return None if found is None else found.where(F.col(PART).isin(parts))
 
 
@@ -67,7 +72,7 @@ def remember(prints: DataFrame, store: Store, batch: int) -> None:
         return
     bits = new.select(PART, store.places()).groupBy(PART, F.bitmap_bucket_number("place").alias(BUCKET)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias(BITS))
-    before = _read(spark, f"{store.path}/filters", parts)
+    before = _read(spark, f"{store.path}/filters", FILTERS, parts)
     if before is not None:
         bits = before.select(*bits.columns).unionByName(bits).groupBy(PART, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
     # The filters go first: a bit without its fingerprint does no harm, a fingerprint without its bits would not be found.
@@ -78,7 +83,7 @@ def remember(prints: DataFrame, store: Store, batch: int) -> None:
 def maybe_known(prints: DataFrame, store: Store) -> DataFrame | None:
     """``fingerprint, part`` of those whose bits are all set, settled; None for an empty store."""
     asked = settled(prints.select(FINGERPRINT, store.part()).distinct(), "known-asked")
-    filters = _read(prints.sparkSession, f"{store.path}/filters", _parts(asked))
+    filters = _read(prints.sparkSession, f"{store.path}/filters", FILTERS, _parts(asked))
     if filters is None:
         return None
     places = asked.select(FINGERPRINT, PART, store.places()).withColumns({
@@ -95,7 +100,7 @@ def known(prints: DataFrame, store: Store, before: int | None = None) -> DataFra
     maybe = maybe_known(prints, store)
     if maybe is None:
         return nothing
-    stored = _read(prints.sparkSession, f"{store.path}/prints", _parts(maybe))
+    stored = _read(prints.sparkSession, f"{store.path}/prints", PRINTS, _parts(maybe))
     if stored is None:
         return nothing
     if before is not None:

@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.firsts import first_per_key
 
 
-def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None when nothing has been loaded yet."""
+def existing(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The table, or None when nothing has been loaded yet. With a given schema no file is opened to learn it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return None
     # Names with these marks belong to unfinished writes and to Spark itself.
     loaded = any(entry.getPath().getName()[0] not in "_." for entry in files.listStatus(folder))
-    return spark.read.parquet(path) if loaded else None
+    if not loaded:
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def absent_rows(
