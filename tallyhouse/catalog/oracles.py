@@ -675,6 +675,28 @@ FROM (SELECT CAST(floor(date_diff('day', DATE '1994-12-30', created_at::DATE) /
     WHERE created_at >= '1994-12-30' AND created_at < '2001-06-15 18:00:00')
 GROUP BY chunk ORDER BY chunk""", ORDERS)
 
+_STATE_DAY = """
+{name} AS (SELECT created_at::DATE AS order_date, status, count(*) AS n, sum(total_amount) AS total
+    FROM shop_orders WHERE status IN ('completed', 'pending', 'cancelled') AND NOT ({without}) GROUP BY 1, 2)"""
+define("load_differences", """
+SELECT coalesce(a.order_date, b.order_date) AS order_date, coalesce(a.status, b.status) AS status,
+    CASE WHEN b.n IS NULL THEN 'absent' WHEN a.n IS NULL THEN 'extra' ELSE 'changed' END AS state
+FROM wanted a FULL JOIN loaded b ON a.order_date = b.order_date AND a.status = b.status
+WHERE a.n IS DISTINCT FROM b.n OR a.total IS DISTINCT FROM b.total""", ORDERS,
+       _STATE_DAY.format(name="wanted", without="created_at >= '1997-07-01' AND created_at < '1997-08-01' AND status = 'cancelled'"),
+       _STATE_DAY.format(name="loaded", without="""created_at >= '1996-02-01' AND created_at < '1996-03-01' AND total_amount < 100000
+        OR created_at >= '1996-05-10' AND created_at < '1996-05-11'"""), dates=("order_date",))
+
+_LISTED = """'[[{"k":' || user_id || ',"phone":"' || PHONE || '"}],"' || event_type || '"]'"""
+define("sanitize_records", f"""
+SELECT event_id, '{{' || array_to_string(list_sort(['"kind":"' || event_type || '"', '"' || event_type || '_token":"[REDACTED]"',
+    '"props":{{"k":' || json_extract(props, '$.k') || '}}', '"at":{{' || array_to_string(list_sort(['"user_Email":"[REDACTED]"',
+        '"' || event_type || '":' || {_LISTED.replace("PHONE", "'[REDACTED]'")}]), ',') || '}}']), ',') || '}}' AS record FROM events""")
+define("flatten_records", f"""
+SELECT event_id, unnest(['kind', event_type || '_token', 'at_user_Email', 'at_' || event_type, 'props_k']) AS path,
+    unnest([event_type, user_id::VARCHAR, 'u' || user_id || '@shop.test', {_LISTED.replace("PHONE", "'1'")}, json_extract(props, '$.k')::VARCHAR]) AS value
+FROM events""")
+
 define("sanitize_maps", """
 SELECT event_id, event_type AS kind, '[REDACTED]' AS user_email, event_type AS step, '[REDACTED]' AS phone FROM events""")
 define("record_fingerprint_nested", "SELECT event_id, true AS same, 64::BIGINT AS digits FROM events")

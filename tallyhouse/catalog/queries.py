@@ -23,7 +23,10 @@ from tallyhouse.operators import dedup as D
 from tallyhouse.operators import fingerprints as FP
 from tallyhouse.operators import known as K
 from tallyhouse.operators import privacy as PR
+from tallyhouse.operators import proof as PF
+from tallyhouse.operators import records as R
 from tallyhouse.operators.load import append_if_absent
+from tallyhouse.operators.merge import replace_partitions
 from tallyhouse.plans import actives as A
 from tallyhouse.plans import backfill as B
 from tallyhouse.plans import increments as I
@@ -927,6 +930,45 @@ def merged_user_analytics(spark, folder):
     return spark.read.parquet(f"{warehouse}/user_analytics").drop(I.MONTH)
 
 
+@query
+def load_differences(spark, folder):
+    """A table without some late orders against all of them, but for cancelled ones of one month."""
+    orders, at = E.orders(spark, folder), F.col("created_at")
+    late = Span(datetime(1996, 2, 1), datetime(1996, 3, 1)).holds(at) & (F.col("total_amount") < 100_000)
+    late = late | Span(datetime(1996, 5, 10), datetime(1996, 5, 11)).holds(at)
+    taken_back = Span(datetime(1997, 7, 1), datetime(1997, 8, 1)).holds(at) & (F.col("status") == "cancelled")
+
+    def ranged(rows):
+        day = F.col("order_date")
+        return O.order_metrics(O.daily_orders(rows, EVER, ordered=False)).withColumns({"year": F.year(day), "month": F.trunc(day, "MM")})
+
+    path, ranges = f"{shared_folder(spark, 'warehouse')}/order_analytics", ("year", "month")
+    loaded = ranged(orders.where(~late))
+    replace_partitions(loaded, path, "month")
+    PF.store_digests(loaded, path, ranges, "month")
+    return PF.load_differences(
+        ranged(orders.where(~taken_back)), spark.read.parquet(path), spark.read.parquet(f"{path}_digests"), ("order_date", "status"), ranges, "month")
+
+
+def _records(spark, folder):
+    """Events as JSON records with keys that differ from row to row, lists in lists, and names that are personal data."""
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    record = F.concat(
+        F.lit('{"kind": "'), kind, F.lit('", "'), kind, F.lit('_token": "'), user, F.lit('", "at": {"user_Email": "u'), user,
+        F.lit('@shop.test", "'), kind, F.lit('": [[{"phone": "1", "k": '), user, F.lit('}], "'), kind, F.lit('"]}, "props": '), "props", F.lit("}"))
+    return parquet_table(spark, folder, "events").select("event_id", record.alias("record"))
+
+
+@query
+def sanitize_records(spark, folder):
+    return R.sanitize_json(_records(spark, folder), "record")
+
+
+@query
+def flatten_records(spark, folder):
+    return R.flatten_json(_records(spark, folder), "record")
+
+
 def _props(spark, folder):
     """Events with their properties as a map, and in an array of structs, with names that are personal data."""
     words = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user_email"), F.concat(F.col("user_id").cast("string"), F.lit("@shop.test")))
