@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.privacy import REDACTED, SENSITIVE_PARTS
 
-#: Containers deeper than this are redacted whole, and not flattened further.
-DEEPEST = 24
+#: Containers deeper than this are redacted whole, and not flattened further: the analyzer resolves a level in a few of its
+#: 100 rounds (spark.sql.analyzer.maxIterations).
+DEEPEST = 16
 STRINGS = r'"(?:[^"\\]|\\.)*"'
 ENTRY = "array<struct<key:string,value:variant>>"
 
@@ -34,7 +35,7 @@ def nesting(text: Column) -> Column:
 
 def depth_of(df: DataFrame, column: str) -> int:
     """The deepest nesting of a column, DEEPEST at most: one number from one pass."""
-    return min(DEEPEST, df.agg(F.max(nesting(F.col(column)))).first()[0] or 0)
+    return min(DEEPEST, df.agg(F.max(nesting(F.col(f"`{column}`")))).first()[0] or 0)
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
