@@ -188,6 +188,12 @@ define("user_activity_topk", """
 SELECT event_id AS id, user_id, event_type AS activity_type, props AS metadata, ts AS created_at FROM events
 WHERE user_id = 42 AND event_type = 'click' ORDER BY ts DESC, event_id DESC LIMIT 1000""")
 
+ORACLES["user_search_of_index"] = ORACLES["user_search"]
+define("user_search_of_short_term", """
+SELECT id, email, name, created_at FROM shop_users WHERE name LIKE '%99%' OR email LIKE '%99%' ORDER BY id LIMIT 100""", USERS)
+ORACLES["orders_of_user_clustered"] = ORACLES["orders_of_user"]
+ORACLES["user_activity_clustered"] = ORACLES["user_activity_topk"]
+
 define("merchant_payment_stats", f"""
 SELECT merchant_id, count(*) AS total_transactions, sum(amount)::DOUBLE AS total_amount,
     {mean6("amount")} AS avg_amount,

@@ -38,7 +38,9 @@ from tallyhouse.plans import users as U
 from tallyhouse.session import shared_folder
 from tallyhouse.sources import entities as E
 from tallyhouse.sources import lookups as L
+from tallyhouse.sources import search as X
 from tallyhouse.sources.bucketed import bucketed
+from tallyhouse.sources.clustered import write_clustered
 from tallyhouse.sources.tables import parquet_table, run_sql, select_where
 from tallyhouse.streaming import jobs as ST
 
@@ -99,6 +101,40 @@ def user_search(spark, folder):
     return L.search_users(E.users(spark, folder), "er.00000004")
 
 
+USER_TEXTS = "id long, email string, name string, created_at timestamp_ntz"
+
+
+def _searched(spark, folder, term):
+    index = X.TextIndex(shared_folder(spark, "search"), ("name", "email"))
+    X.build_index(E.users(spark, folder).select("id", "email", "name", "created_at"), index)
+    return X.search(spark, index, term, USER_TEXTS, L.SEARCH_LIMIT)
+
+
+@query
+def user_search_of_index(spark, folder):
+    return _searched(spark, folder, "er.00000004")
+
+
+@query
+def user_search_of_short_term(spark, folder):
+    return _searched(spark, folder, "99")
+
+
+@query
+def orders_of_user_clustered(spark, folder):
+    path = shared_folder(spark, "clustered")
+    write_clustered(E.orders(spark, folder), path, ("user_id", "created_at", "id"))
+    return _doubles(L.orders_of_user(spark.read.parquet(path), 42), "total_amount")
+
+
+@query
+def user_activity_clustered(spark, folder):
+    """Activity lies by time, as it comes; the user is found by Bloom filters."""
+    path = shared_folder(spark, "clustered")
+    write_clustered(E.activity(spark, folder), path, ("created_at", "id"), ("user_id",))
+    return L.latest_activity(spark.read.parquet(path), 42, "click")
+
+
 @query
 def user_activity_topk(spark, folder):
     return L.latest_activity(E.activity(spark, folder), 42, "click")
