@@ -70,7 +70,7 @@ def candidates(spark: SparkSession, index: TextIndex, term: str, schema: str) ->
         return rows.drop(BLOCK)
     found = settled(_bitmaps(spark, index, term), "candidates")
     # Bitmaps are few for a rare term; blocks are many times larger than a bitmap, and there are few of them in all.
-    low, high = (F.col("bucket") - 1) * 32_768, F.col("bucket") * 32_768
+    low, high = (F.col("bucket") - 1) * 32_768 + 1, F.col("bucket") * 32_768
     blocks = F.explode(F.sequence(F.floor(low / index.block), F.floor(high / index.block)))
     wanted = [r[0] for r in found.select(blocks.alias(BLOCK)).distinct().collect()]
     place = F.bitmap_bit_position(index.row_id)
