@@ -210,7 +210,11 @@ def test_mined_rules_like_all_item_sets(spark):
     rng = np.random.default_rng(9)
     rows = [(sorted({f"i{k}" for k in rng.integers(0, 6, size=4)}), bool(rng.random() < 0.5)) for _ in range(400)]
     rows = [(x, bad or {"i1", "i3"} <= set(x)) for x, bad in rows]
-    got = {tuple(r["items"]): r for r in url_rules.mined(spark.createDataFrame(rows, "items array<string>, bad boolean")).collect()}
+    frame = spark.createDataFrame([([*x, "like " + x[0]] if x else x, bad) for x, bad in rows], "items array<string>, bad boolean")
+    frame = frame.withColumn("items", F.array_sort(F.filter("items", lambda x: ~x.startswith("like") | (x == "like i0"))))
+    index, of = url_rules.mined(frame)  # "like i0" occurs with i0 alone: one class
+    assert {r.item: r["class"] for r in of.collect()} == {f"i{k}": f"i{k}" for k in range(6)} | {"like i0": "i0"}
+    got = {tuple(r["items"]): r for r in index.collect()}
     count, bads = Counter(), Counter()
     for x, bad in rows:
         for k in range(1, len(x) + 1):
@@ -218,12 +222,26 @@ def test_mined_rules_like_all_item_sets(spark):
                 count[part] += 1
                 bads[part] += bad
     sure = {p: bads[p] / count[p] for p in count if bads[p] >= 20 and bads[p] / count[p] >= url_rules.MIN_CONFIDENCE}
-    kept = {p for p in sure if not any(set(q) < set(p) and sure[q] >= sure[p] for q in sure)}
+    base = sum(bad for _, bad in rows) / len(rows)
+    kept = {p for p in sure if not any(set(q) < set(p) and sure[q] >= sure[p] for q in sure) and sure[p] >= url_rules.MIN_LIFT * base}
     assert set(got) == kept and kept
     assert all(got[p].confidence == pytest.approx(sure[p]) for p in kept)
     assert all(got[p].key == min(p, key=lambda i: (count[i,], i)) for p in kept)
 
 
+def test_mined_rules_decide_and_long_shared_paths_are_cheap(spark):
+    """The same bad word in a small and in a large table, 40 shared segments, and words within labels and slugs."""
+    long = "/".join(f"part{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40))
+    for n in (300, 12_000):
+        urls = [f"https://blog{i % 7}.net/{'best-casino-bonus' if i < 40 else 'calm-garden-news'}-{i}/" for i in range(n - 200)]
+        urls += [f"http://deep.net/{long}/{i}" for i in range(100)] + [f"https://casino-win{i}.net/x" for i in range(100)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+        labels = spark.createDataFrame([(i, "casino" in u or i % 29 == 0) for i, u in enumerate(urls) if i < n - 50], "page_id long, bad boolean")
+        verdicts = {r.page_id: r.verdict for r in url_rules.judged(pages, labels).collect()}
+        assert all((verdicts[i] == "block") == ("casino" in u) for i, u in enumerate(urls))
+        assert sum(v == "block" for v in verdicts.values()) == 140
+
+
 SCHEMAS = {"add": {"x": ("integer", True), "y": ("number", True), "note": ("string", False)}, "list": {"of": ("array", True), "deep": ("object", False), "on": ("boolean", False)}}
 CALL = "conv_id long, call_id string, turn long, name string, arguments string, needs array<string>"
 RESULT = "conv_id long, call_id string, turn long, content string"
