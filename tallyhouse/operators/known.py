@@ -11,9 +11,11 @@ Writing is by batch and can be repeated: a replayed batch replaces its own part,
 
 from __future__ import annotations
 
+from __future__ import annotations
+
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dedup import FINGERPRINT
@@ -32,12 +34,17 @@ PART, BATCH, BUCKET, BITS = "part", "batch", "bucket", "bits"
 class Store:
     """A folder, its partitions, and the bits of each one's filter; both are fixed for the life of the store.
 
-    With the given numbers filters are good for some 200 million fingerprints. More partitions let small batches read less.
+    With the given numbers filters are good for some 13 million fingerprints; see ``sized``.
     """
 
     path: str
-    parts: int = 32
-    filter_bits: int = 1 << 26
+    parts: int = 8
+    filter_bits: int = 1 << 24
+
+    @classmethod
+    def sized(cls, path: str, expected: int, parts: int = 256) -> Store:
+        """A store for about so many fingerprints, with ten bits for each. More partitions let small batches read less."""
+        return cls(path, parts, -(-10 * expected // parts))
 
     def part(self) -> Column:
         return F.pmod(F.xxhash64(FINGERPRINT), F.lit(self.parts)).cast("int").alias(PART)
@@ -53,39 +60,32 @@ PRINTS = f"{FINGERPRINT} string, {PART} int, {BATCH} int"
 FILTERS = f"{BUCKET} long, {BITS} binary, {PART} int"
 
 
-def _read(spark: SparkSession, path: str, schema: str, parts: list[int]) -> DataFrame | None:
-    """The given partitions of a table, or None where there is no table; others are not opened."""
-    found = existing(spark, path, schema)
-    return None if found is None else found.where(F.col(PART).isin(parts))
-
-
-def _parts(rows: DataFrame) -> list[int]:
-    """The partitions that rows lie in, as numbers: no more than a store has."""
-    return sorted(r[0] for r in rows.select(PART).distinct().collect())
+def _own(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The partitions of a table that rows lie in; others are not opened. Their numbers are no more than a store has."""
+    return table.where(F.col(PART).isin([r[0] for r in rows.select(PART).distinct().collect()]))
 
 
 def remember(prints: DataFrame, store: Store, batch: int) -> None:
     """Store the fingerprints of a batch and set their bits."""
     spark, new = prints.sparkSession, settled(prints.select(FINGERPRINT, store.part()).distinct(), "known-new")
-    parts = _parts(new)
-    if not parts:
-        return
     bits = new.select(PART, store.places()).groupBy(PART, F.bitmap_bucket_number("place").alias(BUCKET)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias(BITS))
-    before = _read(spark, f"{store.path}/filters", FILTERS, parts)
+    before = existing(spark, f"{store.path}/filters", FILTERS)
     if before is not None:
-        bits = before.select(*bits.columns).unionByName(bits).groupBy(PART, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
+        bits = _own(before, new).select(*bits.columns).unionByName(bits).groupBy(PART, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
+        bits = settled(bits, "known-filters")  # what is read is replaced
     # The filters go first: a bit without its fingerprint does no harm, a fingerprint without its bits would not be found.
-    replace_partitions(settled(bits, "known-filters"), f"{store.path}/filters", PART)
+    replace_partitions(bits, f"{store.path}/filters", PART)
     replace_partitions(new.withColumn(BATCH, F.lit(batch)), f"{store.path}/prints", PART, BATCH)
 
 
 def maybe_known(prints: DataFrame, store: Store) -> DataFrame | None:
     """``fingerprint, part`` of those whose bits are all set, settled; None for an empty store."""
-    asked = settled(prints.select(FINGERPRINT, store.part()).distinct(), "known-asked")
-    filters = _read(prints.sparkSession, f"{store.path}/filters", FILTERS, _parts(asked))
+    filters = existing(prints.sparkSession, f"{store.path}/filters", FILTERS)
     if filters is None:
         return None
+    asked = settled(prints.select(FINGERPRINT, store.part()).distinct(), "known-asked")
+    filters = _own(filters, asked)
     places = asked.select(FINGERPRINT, PART, store.places()).withColumns({
         BUCKET: F.bitmap_bucket_number("place"), "bit": F.bitmap_bit_position("place")})
     byte = F.conv(F.hex(F.substring(BITS, (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -100,9 +100,10 @@ def known(prints: DataFrame, store: Store, before: int | None = None) -> DataFra
     maybe = maybe_known(prints, store)
     if maybe is None:
         return nothing
-    stored = _read(prints.sparkSession, f"{store.path}/prints", PRINTS, _parts(maybe))
+    stored = existing(prints.sparkSession, f"{store.path}/prints", PRINTS)
     if stored is None:
         return nothing
+    stored = _own(stored, maybe)
     if before is not None:
         stored = stored.where(F.col(BATCH) < before)
     return maybe.join(stored.select(PART, FINGERPRINT), [PART, FINGERPRINT], "left_semi").select(FINGERPRINT)

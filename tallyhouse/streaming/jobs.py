@@ -92,14 +92,16 @@ def notification_windows(notifications: DataFrame, width: str = "1 hour", delay:
     ])
 
 
-def sink_new_records(stream: DataFrame, fingerprint: Column, row_id: str, path: str, checkpoint: str) -> DataStreamWriter:
+def sink_new_records(
+    stream: DataFrame, fingerprint: Column, row_id: str, path: str, checkpoint: str, store: Store | None = None
+) -> DataStreamWriter:
     """Append the first record of each fingerprint, however late it comes.
 
-    What is known lies in a store beside the target, of which a batch reads little more than filters: see
+    What is known lies in a store, beside the target if none is given, of which a batch reads little more than filters: see
     ``operators.known``. A batch that is replayed sees only earlier ones and writes its own part again, so nothing is lost
     or doubled.
     """
-    store = Store(f"{path}_known")
+    store = store or Store(f"{path}_known")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         before = known(fingerprint_table(batch, fingerprint), store, batch_id)
