@@ -15,7 +15,7 @@ with 0 gets nothing, and its tokens are no capacity of the nodes above it. ``unl
 count in the capacity above.
 
 Defined results: null levels are a child of their own (``""``); a null or empty text has no tokens
-and goes with its neighbours in the order; rows with equal ids are ordered by their tokens; other columns are
+and goes with its neighbours in the order; rows with equal ids have one digest and are taken together; other columns are
 kept; an empty table gives none.
 """
 
