@@ -26,7 +26,10 @@ def plans(spark):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_slow_operators(plans, name):
-    bad = ["EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin", "Window", "SortAggregate"]
+    bad = ["EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin", "Window"]
+    if not name.endswith("_of_bitmaps"):
+        # Spark merges bitmaps in sorted order, as their buffers are binary.
+        bad.append("SortAggregate")
     if name != "required_fields_check":
         # That one brings together one row of counts per task.
         bad.append("SinglePartition")
