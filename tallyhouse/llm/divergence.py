@@ -60,7 +60,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.add.reduceat(n[order], at)), pa.array(docs.astype(np.int64)),
             ], names=["lang", "source", "term", "n", "docs"]))
         if parts:
-            whole = pa.Table.from_batches(parts).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+            whole = pa.Table.from_batches(parts).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
             whole = whole.select(["lang", "source", "term", "n_sum", "docs_sum"]).rename_columns(["lang", "source", "term", "n", "docs"])
             yield from whole.combine_chunks().to_batches()
 
