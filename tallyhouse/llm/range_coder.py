@@ -1,11 +1,14 @@
 """Adaptive context-mixing range coder for token ids below 65,536.
 
-Each id is predicted from the two ids before it (order 2), from one (order 1), from all ids so far (order 0),
-or is new. An arithmetic decision picks the predictor, with probabilities that are mixed per confidence of the
-order-2 and order-1 predictions and adapt after every id; order 0 then picks the id by its frequency,
-a new id takes 16 even bits. Frequencies are those of the ids up to the last power of two.
+Every id is coded from one distribution, mixed from three: order 2 and order 1 each put their mass on the id that last followed the two
+ids, or the one id, before it; order 0 spreads its mass by the frequencies of earlier ids of the block. Masses add where predictions agree.
+A fourth share is for ids that none of the three holds; those follow a fixed prior that falls with the id, as vocabularies list
+merges by frequency. The four weights belong to a state (how often both guesses were right before, and whether they agree) and move after
+every id towards what each predictor contributed to it.
 
-All blocks of a call have one length and are coded in step, one lane of the arrays each: a lane's tables, coder
+Frequencies are those of the ids up to the last epoch; epochs begin at 16, 24, 32, 48, 64, ... ids.
+
+All blocks of a call have one length and are coded in step, one lane of the arrays each: a lane's tables, weights, coder
 state and output are its own, so any block can be decoded alone. Everything is integer arithmetic.
 """
 
@@ -13,104 +16,129 @@ from __future__ import annotations
 
 import numpy as np
 
-TABLE_BITS = 10
-STATES = 16
-PROB_BITS = np.uint64(16)
-RATE = 5  # probabilities move by a 32nd
-FIRST_EPOCH = 64
+TABLE_BITS = 12
+STATES = 32
+RATE = 5  # weights move by a 32nd
+FIRST_EPOCH = 16
+UNIT_BITS = 14  # weights sum to 2**16, masses to 2**30
+MASS_BITS = np.uint64(16 + UNIT_BITS)
+PRIOR_BITS = 20
 U64 = np.uint64
 HALF, LEAST = U64(32), U64(1) << U64(32)
 
 
+def prior() -> np.ndarray:
+    """Where each id's share of 2**PRIOR_BITS begins, and the end: one for every id, the rest in inverse proportion to the id."""
+    ids = np.arange(1 << 16)
+    share = (1 << 30) // (ids + 64)
+    ends = np.concatenate(([0], np.cumsum(share)))
+    free = (1 << PRIOR_BITS) - (1 << 16)
+    return ends * free // ends[-1] + np.arange((1 << 16) + 1)
+
+
 class Lanes:
-    """Predictions of all lanes for the next id."""
+    """The mixed distributions of all lanes for their next id."""
 
     def __init__(self, n: int):
-        self.base, self.state_base = np.arange(n, dtype=np.int32) << TABLE_BITS, np.arange(n, dtype=np.int32) * STATES
+        self.base, self.state_base = np.arange(n, dtype=np.int64) << TABLE_BITS, np.arange(n, dtype=np.int64) * STATES
         self.cells = [np.zeros(n << TABLE_BITS, np.int32) for _ in range(2)]  # guess + trust * 65536
-        self.share = [np.full(n * STATES, 1 << 14, np.int32) for _ in range(4)]
-        self.last = self.before = np.zeros(n, np.int32)
+        self.share = [np.full(n * STATES, 1 << 14, np.int64) for _ in range(4)]  # order 2, order 1, order 0, none
+        self.last = self.before = np.zeros(n, np.int64)
 
     def predict(self) -> None:
-        """Guesses, their trust, and the bounds of the four predictors' shares."""
+        """Guesses of orders 2 and 1, and the weights of the four predictors."""
         key = self.before * 15013 + self.last * 10007
         mask = (1 << TABLE_BITS) - 1
-        self.at = [self.base + ((key ^ key >> 10) & mask), self.base + ((self.last ^ self.last >> 7) & mask)]
+        self.at = [self.base + ((key ^ key >> 11) & mask), self.base + ((self.last ^ self.last >> 9) & mask)]
         cells = [c.take(a) for c, a in zip(self.cells, self.at)]
         self.say = [c & 0xFFFF for c in cells]
         self.sure = [c >> 16 for c in cells]
-        self.state = self.state_base + self.sure[0] * 4 + self.sure[1]
+        self.state = self.state_base + (self.sure[0] * 4 + self.sure[1]) + 16 * (self.say[0] == self.say[1])
         self.w = [s.take(self.state) for s in self.share]
-        b1 = self.w[0]
-        b2 = b1 + self.w[1]
-        self.bounds = [b1, b2, b2 + self.w[2]]
-
-    def update(self, ids: np.ndarray, chosen: list[np.ndarray]) -> None:
-        """Learn from the ids that came, and from the predictor that was used for each."""
-        for cells, at, say, sure in zip(self.cells, self.at, self.say, self.sure):
+        self.mass = [w << UNIT_BITS for w in self.w]
+
+    def interval(self, ids: np.ndarray, rank: np.ndarray, times: np.ndarray, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and size of the ids' share of all mass, and which ids have none but that of the prior.
+
+        Of the ``held`` ids counted, ``rank`` are smaller and ``times`` equal.
+        """
+        two, one, zero, none = self.mass
+        self.right = [say == ids for say in self.say]
+        first = zero * rank // held
+        counted = zero * (rank + times) // held - first
+        self.parts = [two * self.right[0], one * self.right[1]]
+        size = counted + self.parts[0] + self.parts[1]
+        self.total = size
+        new = size == 0
+        start = none + first + two * (self.say[0] < ids) + one * (self.say[1] < ids)
+        return np.where(new, 0, start).astype(U64), np.where(new, none, size).astype(U64), new
+
+    def update(self, ids: np.ndarray, new: np.ndarray) -> None:
+        """Learn from the ids that came, and from what each predictor gave to them."""
+        for cells, at, say, sure, right in zip(self.cells, self.at, self.say, self.sure, self.right):
             keep = np.where(sure > 1, say, ids) + 65536
-            cells[at] = np.where(say == ids, say + (np.minimum(sure + 1, 3) << 16), keep)
+            cells[at] = np.where(right, say + (np.minimum(sure + 1, 3) << 16), keep)
         cut = [w >> RATE for w in self.w]
         gain = cut[0] + cut[1] + cut[2] + cut[3]
-        for share, w, c, used in zip(self.share, self.w, cut, chosen):
-            share[self.state] = w - c + gain * used
+        whole = np.maximum(self.total, 1)
+        two, one = (gain * part // whole for part in self.parts)
+        fresh = gain * new
+        for share, w, c, more in zip(self.share, self.w, cut, (two, one, gain - two - one - fresh, fresh)):
+            share[self.state] = w - c + more
         self.before, self.last = self.last, ids
 
-    def interval(self, chosen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the chosen predictor's share."""
-        _, one, two, three = chosen
-        start = self.bounds[0] * one + self.bounds[1] * two + self.bounds[2] * three
-        size = self.w[0] * chosen[0] + self.w[1] * one + self.w[2] * two + self.w[3] * three
-        return start.astype(U64), size.astype(U64)
-
 
-def epochs(steps: int) -> list[tuple[int, int]]:
-    """``(first step, ids whose frequencies hold)``; none before FIRST_EPOCH."""
+def epochs(steps: int) -> list[int]:
+    """How many ids are counted, each from that step on; none before FIRST_EPOCH."""
     found, t = [], FIRST_EPOCH
     while t < steps:
-        found.append((t, t))
+        found += [t, t * 3 // 2]
         t *= 2
-    return found
+    return [t for t in found if t < steps]
 
 
-def encode_lanes(ids: np.ndarray) -> list[bytes]:
-    """``ids[step, lane]`` to the code of each lane."""
+def ranks_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ``ids[step, lane]``: how many of the counted ids of the lane are smaller, and how many equal."""
     steps, n = ids.shape
     rank, count = np.zeros((steps, n), np.uint16), np.zeros((steps, n), np.uint16)
-    first, often = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint16)
-    for start, held in epochs(steps):
-        stop = min(2 * start, steps)
+    begin, often = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint16)
+    starts = epochs(steps)
+    for held, stop in zip(starts, [*starts[1:], steps]):
         known, begins, widths = (x.reshape(n, held) for x in frequencies(ids[:held]))
-        coming = np.ascontiguousarray(ids[start:stop].T)
+        coming = np.ascontiguousarray(ids[held:stop].T)
         ranks, counts = np.empty_like(coming), np.empty_like(coming)
         for lane in range(n):
             seen, own = known[lane], coming[lane]
-            first[seen], often[seen] = begins[lane], widths[lane]
-            first.take(own, out=ranks[lane])
+            begin[seen], often[seen] = begins[lane], widths[lane]
+            begin.take(own, out=ranks[lane])
             often.take(own, out=counts[lane])
             often[seen] = 0
-        rank[start:stop], count[start:stop] = ranks.T, counts.T
-    lanes = Lanes(n)
+            unseen = np.flatnonzero(counts[lane] == 0)
+            ranks[lane, unseen] = seen.searchsorted(own[unseen])
+        rank[held:stop], count[held:stop] = ranks.T, counts.T
+    return rank, count
+
+
+def encode_lanes(ids: np.ndarray) -> list[bytes]:
+    """``ids[step, lane]`` to the code of each lane; up to 65,535 steps."""
+    steps, n = ids.shape
+    rank, count = ranks_of(ids)
+    lanes, ends, starts = Lanes(n), prior(), frozenset(epochs(steps))
     low, size = np.zeros(n, U64), np.full(n, 0xFFFFFFFFFFFFFFFF, U64)
     out, used = np.zeros((n, steps + 8), np.int64), np.ones(n, np.int64)  # word 0 takes no carry: there is none
-    bits = 0
+    held = 1
     for t in range(steps):
-        if t >= FIRST_EPOCH and t & (t - 1) == 0:
-            bits = t.bit_length() - 1
-        now, times = ids[t].astype(np.int32), count[t]
+        if t in starts:
+            held = t
+        now = ids[t].astype(np.int64)
         lanes.predict()
-        zero = lanes.say[0] == now
-        one = (lanes.say[1] == now) & ~zero
-        rest = ~(zero | one)
-        two = rest & (times > 0)
-        three = rest & ~two
-        chosen = [zero, one, two, three]
-        start, width = lanes.interval(chosen)
-        step = size >> PROB_BITS
+        start, width, new = lanes.interval(now, rank[t].astype(np.int64), count[t].astype(np.int64), held)
+        step = size >> MASS_BITS
         add, size = step * start, step * width
-        step = size >> (two * bits + three * 16).astype(U64)
-        add += step * (rank[t] * two + ids[t] * three).astype(U64)
-        size = step * np.where(two, times, 1).astype(U64)
+        if new.any():
+            step = size >> U64(PRIOR_BITS)
+            add += step * (ends.take(now) * new).astype(U64)
+            size = np.where(new, step * (ends.take(now + 1) - ends.take(now)).astype(U64), size)
         before, low = low, low + add
         carry = np.flatnonzero(low < before)
         if len(carry):
@@ -121,7 +149,7 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
         used[due] = at + 1
         low[due] = cut << HALF
         size[due] <<= HALF
-        lanes.update(now, chosen)
+        lanes.update(now, new)
     for _ in range(2):
         out[np.arange(n), used] = low >> HALF
         used += 1
@@ -133,6 +161,17 @@ def encode_lanes(ids: np.ndarray) -> list[bytes]:
     return [out[i, 1 : used[i]].astype("<u4").tobytes() for i in range(n)]
 
 
+def placed(known: np.ndarray, held: int, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """How many of the ``held`` sorted ids of its row each id is above, by halving."""
+    place, half = np.zeros(len(ids), np.int64), 1 << (held.bit_length() - 1)
+    while half:
+        further = place + half
+        below = (further <= held) & (known.take(rows + np.minimum(further, held) - 1) < ids)
+        place += half * below
+        half >>= 1
+    return place
+
+
 def decode_lanes(codes: list[bytes], steps: int) -> np.ndarray:
     """The ids ``[step, lane]`` of codes of ``steps`` ids each."""
     n = len(codes)
@@ -142,37 +181,58 @@ def decode_lanes(codes: list[bytes], steps: int) -> np.ndarray:
         words[i, : len(c) // 4] = np.frombuffer(c, "<u4")
     code = words[:, 0].astype(U64) << HALF | words[:, 1].astype(U64)  # from the lower end of the interval
     used = np.full(n, 2)
-    lanes, row = Lanes(n), np.arange(n)
+    lanes, ends, starts = Lanes(n), prior(), frozenset(epochs(steps))
     size = np.full(n, 0xFFFFFFFFFFFFFFFF, U64)
     ids = np.zeros((steps, n), np.uint16)
-    bits, held = 0, 1
-    known = begins = widths = np.zeros(n, np.uint16)
+    held, rows = 1, np.arange(n)
+    known, begins, widths = np.full(n, 65535, np.uint16), np.zeros(n, np.uint16), np.zeros(n, np.uint16)
     for t in range(steps):
-        if t >= FIRST_EPOCH and t & (t - 1) == 0:
-            bits, held = t.bit_length() - 1, t
+        if t in starts:
+            held, rows = t, np.arange(n) * t
             known, begins, widths = frequencies(ids[:t])
         lanes.predict()
-        step = size >> PROB_BITS
-        slot = np.minimum(code // step, U64(65535)).astype(np.int32)
-        over = [slot >= b for b in lanes.bounds]
-        zero, one, two, three = chosen = [~over[0], over[0] & ~over[1], over[1] & ~over[2], over[2]]
-        start, width = lanes.interval(chosen)
+        two, one, zero, none = lanes.mass
+        step = size >> MASS_BITS
+        slot = np.minimum(code // step, (U64(1) << MASS_BITS) - U64(1)).astype(np.int64) - none
+        # Both guesses in ascending order, with their masses and their places among the counted ids.
+        swap = lanes.say[0] > lanes.say[1]
+        a, b = np.where(swap, lanes.say[1], lanes.say[0]), np.where(swap, lanes.say[0], lanes.say[1])
+        mass_a = np.where(swap, one, two)
+        guess = np.concatenate((a, b))
+        place = placed(known, held, np.concatenate((rows, rows)), guess)
+        at = np.concatenate((rows, rows)) + np.minimum(place, held - 1)
+        times = widths.take(at) * ((place < held) & (known.take(at) == guess)).astype(np.int64)
+        both = np.concatenate((zero, zero))
+        first, last = both * place // held, both * (place + times) // held
+        is_a = (slot >= first[:n]) & (slot < last[:n] + mass_a)
+        is_b = ~is_a & (slot >= first[n:] + mass_a) & (slot < last[n:] + two + one)
+        # Elsewhere it is a counted id: its place follows once the guesses' masses below are taken away.
+        rest = slot - mass_a * (slot >= last[:n] + mass_a) - (two + one - mass_a) * (slot >= last[n:] + two + one)
+        own = rows + np.clip(((rest + 1) * held - 1) // zero, 0, held - 1)
+        now = np.where(is_a, a, np.where(is_b, b, known.take(own)))
+        rank = np.where(is_a, place[:n], np.where(is_b, place[n:], begins.take(own)))
+        count = np.where(is_a, times[:n], np.where(is_b, times[n:], widths.take(own)))
+        new = slot < 0
+        start, width, _ = lanes.interval(now, rank, count, held)
+        start, width = np.where(new, U64(0), start), np.where(new, none.astype(U64), width)
         code -= step * start
         size = step * width
-        shift = (two * bits + three * 16).astype(U64)
-        step = size >> shift
-        slot = np.minimum(code // step, (U64(1) << shift) - U64(1)).astype(np.int64)
-        place = row * held + slot * two
-        now = known.take(place) * two + slot * three + lanes.say[0] * zero + lanes.say[1] * one
-        code -= step * (begins.take(place) * two + slot * three).astype(U64)
-        size = step * np.where(two, widths.take(place), 1).astype(U64)
+        if new.any():
+            some = np.flatnonzero(new)
+            step = size[some] >> U64(PRIOR_BITS)
+            slot = np.minimum(code[some] // step, U64((1 << PRIOR_BITS) - 1)).astype(np.int64)
+            found = ends.searchsorted(slot, side="right") - 1
+            code[some] -= step * ends[found].astype(U64)
+            size[some] = step * (ends[found + 1] - ends[found]).astype(U64)
+            now[some] = found
+            lanes.interval(now, rank, np.where(new, 0, count), held)
         ids[t] = now
         due = np.flatnonzero(size < LEAST)
         at = used[due]
         size[due] <<= HALF
         code[due] = code[due] << HALF | words[due, np.minimum(at, longest)]
         used[due] = at + 1
-        lanes.update(now.astype(np.int32), chosen)
+        lanes.update(now, new)
     return ids
 
 

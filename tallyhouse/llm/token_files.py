@@ -3,7 +3,7 @@
 A file is a Parquet table of blocks in the shared folder: ``part, block, data``. Parts are ranges of document ids
 in ascending order; the blocks of a part hold its ids one after the other. Each block's ``data`` is complete in itself:
 
-    magic "TKB1", then as unsigned 32-bit numbers: crc32 of all that follows, steps, ids held, fragments,
+    magic "TKB2", then as unsigned 32-bit numbers: crc32 of all that follows, steps, ids held, fragments,
     bytes of fragments, bytes of code; then the fragments, then the code.
 
 A fragment is what a document has in the block: its number in the part (32 bits), its id (64), whether it has one (8), and how many
@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.range_coder import decode_lanes, encode_lanes
 from tallyhouse.operators.staging import settled
 
-MAGIC = b"TKB1"
+MAGIC = b"TKB2"
 HEAD = "<4s6I"
 HEAD_BYTES = struct.calcsize(HEAD)
 FRAGMENT = np.dtype([("number", "<u4"), ("id", "<i8"), ("has_id", "u1"), ("n", "<u4")])
-BLOCK_IDS = 2048
-LANES = 4096
+BLOCK_IDS = 4096
+LANES = 2048
 KNOWN_PIECES = 400_000
 
 

@@ -117,10 +117,10 @@ def test_token_pieces_like_the_library():
         assert np.frombuffer(own.encode(t), np.uint16).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
-@pytest.mark.parametrize("steps, lanes", [(1, 1), (63, 2), (64, 3), (65, 5), (700, 4), (2100, 1)])
+@pytest.mark.parametrize("steps, lanes", [(1, 1), (15, 2), (16, 2), (17, 3), (63, 2), (64, 3), (65, 5), (700, 4), (2100, 1)])
 def test_range_coder_round_trip(steps, lanes):
     rng = np.random.default_rng(steps)
-    for ids in (rng.zipf(1.2, size=(steps, lanes)).clip(0, 65535), rng.integers(0, 65536, size=(steps, lanes)), np.full((steps, lanes), 65535)):
+    for ids in (rng.zipf(1.2, size=(steps, lanes)).clip(0, 65535), rng.integers(0, 65536, size=(steps, lanes)), np.full((steps, lanes), 65535), rng.integers(0, 3, size=(steps, lanes))):
         ids = ids.astype(np.uint16)
         codes = range_coder.encode_lanes(ids)
         assert np.array_equal(range_coder.decode_lanes(codes, steps), ids)
@@ -132,6 +132,44 @@ def test_coder_learns():
     assert len(range_coder.encode_lanes(ids)[0]) < len(ids) // 2
 
 
+def test_mixed_shares_tile_the_interval():
+    """After any ids, the shares of all ids that a predictor holds lie side by side, and agreeing predictions add up."""
+    rng = np.random.default_rng(8)
+    seen = rng.integers(40, 60, size=(24, 1)).astype(np.uint16)
+    rank, count = range_coder.ranks_of(seen)
+    lanes, held = range_coder.Lanes(1), 1
+    for t in range(24):
+        held = t if t in range_coder.epochs(25) else held
+        now = seen[t].astype(np.int64)
+        lanes.predict()
+        new = lanes.interval(now, rank[t].astype(np.int64), count[t].astype(np.int64), held)[2]
+        lanes.update(now, new)
+    lanes.predict()
+    counted = np.sort(seen[:24, 0])
+    guesses, shares = {int(s[0]) for s in lanes.say}, []
+    for x in range(100):
+        below, equal = np.array([(counted < x).sum()]), np.array([(counted == x).sum()])
+        start, size, new = lanes.interval(np.array([x]), below, equal, 24)
+        assert bool(new[0]) == (x not in guesses and x not in counted)
+        if not new[0]:
+            shares.append((int(start[0]), int(size[0])))
+    at = int(lanes.mass[3][0])
+    for start, size in shares:
+        assert start == at and size > 0
+        at += size
+    assert at == 1 << 30
+    assert sum(int(w[0]) for w in lanes.w) == 1 << 16
+
+
+def test_coder_beats_a_general_one_on_the_given_texts(spark):
+    library = token_files.Encoder(queries.vocabulary("byte_bpe_50k.json"))
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").select("text").collect()
+    ids = np.frombuffer(b"".join(library.encode(r.text or "") for r in rows), np.uint16)
+    files = token_files.pack(ids, [(0, 0, 1, len(ids))])
+    assert sum(map(len, files)) < len(zlib.compress(ids.tobytes(), 9))  # whole, while blocks start anew
+    assert np.array_equal(np.concatenate([part for _, part in token_files.unpack(files)]), ids)
+
+
 def test_damaged_block():
     data = bytearray(token_files.pack(np.arange(300, dtype=np.uint16), [(0, 7, 1, 300)])[0])
     data[-1] ^= 1
