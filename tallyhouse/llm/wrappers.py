@@ -1,7 +1,8 @@
 """Main text of pages by wrapper induction: same-host trees are aligned, what stays the same is template.
 
 1. Every page is parsed to a tree of elements with hashes of their texts. Pages of a host with the same containers (CONTAINERS
-   that enclose text, with their paths) are of one layout. Equal trees of a layout count once: copies of a page show nothing.
+   that enclose text, with their paths of names and classes) are of one layout; ids, classes with digits and those of the body are mostly
+   a page's own and tell nothing. Equal trees of a layout count once: copies of a page show nothing.
 2. Every tree of a layout with at least MIN_PAGES of them is aligned to one of them, its reference, by simple tree matching:
    the largest mapping of nodes that keeps parents, order and labels. A text that at least SHARE of all these trees, and MIN_PAGES, hold in
    nodes matched to one node of the reference is a constant of the layout's template. Whole trees take part.
@@ -43,7 +44,9 @@ STORED = 1 << 20  # scores of a matching that are held at once; larger ones are
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+CLASS = re.compile(r"(?<![\w-])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+DIGIT = re.compile(r"\d")
 
 RAW = frozenset("script style template noscript iframe svg canvas object".split())
 ESCAPED = frozenset("textarea title xmp".split())
@@ -101,6 +104,18 @@ def is_aside(name: str, attributes: str) -> bool:
     return False
 
 
+def mark_of(name: str, attributes: str) -> str:
+    """What tells an element from others of its name: its classes, but for those with digits, which are mostly a page's own.
+
+    Ids tell nothing here, nor do classes of the whole page, which often name its article.
+    """
+    if "class" not in attributes.lower() or name == "body" or name == "html":
+        return ""
+    found = CLASS.search(attributes)
+    kept = sorted({c for c in "".join(g or "" for g in found.groups()).split() if not DIGIT.search(c)}) if found else []
+    return "." + " ".join(kept).replace("/", "_").replace("#", "_") if kept else ""
+
+
 def events(page: str) -> Iterator[tuple[str, str, str]]:
     """``("start" | "end" | "text", name, attributes or text)``; raw elements have no content."""
     at, size = 0, len(page)
@@ -169,8 +184,7 @@ def blocks(page: str, numbered: bool = False) -> Iterator[tuple[str, bool, bool,
                 if stack[i][0] not in INLINE:
                     break
             above = stack[-1]
-            kind_of = ATTRIBUTE.findall(rest) if "class" in rest else ()
-            mark = "." + "".join(kind_of[0][1:]).replace("/", "_").replace("#", "_") if kind_of else ""
+            mark = mark_of(name, rest)
             if numbered:
                 count += 1
                 mark += f"#{count}"

@@ -126,6 +126,29 @@ def test_template_of_every_layout_and_of_long_pages(spark):
     assert got[300] == "one\ntwo"  # a layout of one page takes the constants of the host's others
 
 
+@pytest.mark.parametrize("around", [
+    "<html class='no-js p{n}'><body class='single postid-{n} title-of-{word}'><div id='post-{n}' class='post post-{n} hentry'>{body}</div><div id=f{n}><p>All rights kept by the house</p></div>",
+    "<body><section CLASS=\"box x{n}y\" data-class='d-{word}'><article id=a-{n} class='css-{n}ab entry'>{body}</article></section><section id='{word}'><p>All rights kept by the house</p></section>",
+])
+def test_classes_and_ids_of_single_pages_leave_one_layout(spark, around):
+    body = "<p>Send this to your friends</p><div class='text t{n}'><p>Story {n} of {word}</p><p>end {n}</p></div><p>More of our news</p>"
+    words = "oak ash elm fir yew box bay fig may pea".split()
+    pages = [around.replace("{body}", body).replace("{n}", str(n + 10)).replace("{word}", w) for n, w in enumerate(words)]
+    frame = spark.createDataFrame([(n, f"http://a.org/{n}", h) for n, h in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    assert len({wrappers.layout_of(list(wrappers.blocks(h, numbered=True))) for h in pages}) == 1
+    got = {r.page_id: r.text for r in wrappers.main_texts(frame).collect()}
+    assert got == {n: f"Story {n + 10} of {w}\nend {n + 10}" for n, w in enumerate(words)}
+    alone = wrappers.main_text(pages[0])  # what a page shows by itself has the lines around the story
+    assert "Send this to your friends" in alone and "More of our news" in alone
+
+
+def test_marks():
+    assert wrappers.mark_of("div", " id='x' class='b a a p12'") == ".a b"
+    assert wrappers.mark_of("div", " class=one") == ".one"
+    assert wrappers.mark_of("div", " data-class='x'") == wrappers.mark_of("div", " class=''") == wrappers.mark_of("div", " class") == ""
+    assert wrappers.mark_of("body", " class='home'") == ""
+
+
 def test_halved_matching(monkeypatch):
     rng = np.random.default_rng(8)
     w = rng.integers(0, 5, size=(30, 40))
