@@ -50,6 +50,20 @@ def test_vector_groups(spark, vectors, monkeypatch, cell, block):
     assert got == sorted(plain.vector_groups(vectors))
 
 
+def test_pairs_at_the_threshold_do_not_depend_on_their_block(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.array([vector_groups.unit(v.tolist()) for v in rng.normal(size=(300, 64))])
+    side = np.array([vector_groups.unit((v - (v @ u) * u).tolist()) for u, v in zip(x, rng.normal(size=(300, 64)))])
+    y = 0.9 * x + np.sqrt(1 - 0.81) * side  # cosines of 0.9, up to the last bits
+    possible = np.eye(300, dtype=bool)
+    verdicts = []
+    for dense in (0.0, 1.0):
+        monkeypatch.setattr(vector_groups, "DENSE", dense)
+        i, j = vector_groups.linked_pairs(x, y, possible)
+        verdicts.append(sorted(a for a, b in zip(i.tolist(), j.tolist()) if a == b))
+    assert verdicts[0] == verdicts[1] and 0 < len(verdicts[0]) < 300
+
+
 @pytest.mark.parametrize("cell", [4096, 24])
 def test_vectors_of_several_lengths(spark, vectors, monkeypatch, cell):
     monkeypatch.setattr(vector_groups, "CELL_ROWS", cell)
