@@ -97,13 +97,17 @@ def measured(texts) -> list[np.ndarray]:
     ]
 
 
+def fail_bits() -> Column:
+    """The bits of all rules that the measurements of a row break."""
+    return sum((F.when(F.expr(rule), BIT[name]).otherwise(0) for name, rule in RULES.items()), F.lit(0)).cast("long")
+
+
 def ledger(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``key``, the measurements and ``fail_bits`` of each document."""
     fields = ", ".join(f"{m} long" for m in MEASURES)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), "text").mapInArrow(measure, f"key {kind}, {fields}")
-    bits = sum((F.when(F.expr(rule), BIT[name]).otherwise(0) for name, rule in RULES.items()), F.lit(0))
-    return rows.select(F.col("key").alias(key), *MEASURES, bits.cast("long").alias("fail_bits"))
+    return rows.select(F.col("key").alias(key), *MEASURES, fail_bits().alias("fail_bits"))
 
 
 def verdict(policy: str = CURRENT) -> Column:
@@ -112,12 +116,10 @@ def verdict(policy: str = CURRENT) -> Column:
 
 
 def apply_policy(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents the policy keeps, with their columns. Every row is judged in place, without a join."""
+    """The documents the policy keeps, with their columns. Every row is judged in place by its bits, without a join."""
     held = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"))
     rows = held.mapInArrow(measure, T.StructType([held.schema["row"]] + [T.StructField(m, T.LongType()) for m in MEASURES]))
-    for rule in POLICIES[policy]:
-        rows = rows.where(~F.expr(RULES[rule]))
-    return rows.select("row.*")
+    return rows.withColumn("fail_bits", fail_bits()).where(verdict(policy)).select("row.*")
 
 
 def patterns(rows: DataFrame) -> DataFrame:

@@ -377,3 +377,39 @@ def test_pipeline_runs_stage_by_stage(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in docs.collect())
     assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == sorted(map(tuple, last))
+
+
+ODD_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, scores int, digest string, label string, fail_bits long, n_words string"
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, null languages, a long text, columns with the operators' own names."""
+    import corpus_pipeline
+
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(150).collect()
+    more = ("r", 1, "d", None, 3, "w")
+    rows = [(r.doc_id, r.text, r.lang, r.source, len(r.text or "")) + more for r in given]
+    first = next(r for r in rows if r[1] and len(r[1].split()) > 60)
+    rows += [first, (None, first[1], None, None, 1) + more, (None, None, None, None, None) + more, (10**9, "", "en", "", 0) + more]
+    rows += [(10**9 + 1, " ".join(f"{w}{i % 977}" for i in range(300) for w in first[1].split()[:40]), first[2], "hot", 5) + more]
+    spark.createDataFrame(rows, ODD_SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    judged = Counter()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        before, after = Counter(map(tuple, docs.collect())), Counter(map(tuple, out.cache().collect()))
+        assert not after - before, name  # rows of the predecessor only, none more often
+        judged[name] = sum(before.values()) - sum(after.values())
+        docs = out
+    assert judged["quality_rules"] >= 2 and judged["jaccard_join"] >= 1
+    assert not [r for r in docs.collect() if not r.text]
+    last = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in last) == Counter(r.doc_id for r in docs.collect())
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], ODD_SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
