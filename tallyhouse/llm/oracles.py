@@ -103,17 +103,25 @@ pairs AS MATERIALIZED (
 SELECT split.id AS doc_id, coalesce(n, 0) AS n_shingles, root AS component_id
 FROM split JOIN reach ON node = split.id LEFT JOIN sizes ON sizes.id = split.id"""
 
-ORACLES["op6_tool_links"] = """WITH
+ORACLES["op6_tool_links"] = """WITH RECURSIVE
 asked AS (SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('system', 'user')),
 calls AS (SELECT conv_id, turn, min(struct_pack(text := text, role := role)) AS c, count(*) AS n_calls FROM asked GROUP BY conv_id, turn),
 answers AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
+edges AS (
+    SELECT DISTINCT u.conv_id, u.turn, n.turn AS needs FROM asked u JOIN calls n ON n.conv_id = u.conv_id AND n.turn < u.turn
+    WHERE u.role = 'user' AND n.turn IN (u.turn - 1, u.turn - 2, 0)),
+chains AS (
+    SELECT conv_id, turn, 0::BIGINT AS level FROM calls
+    UNION SELECT e.conv_id, e.turn, c.level + 1 FROM chains c JOIN edges e ON e.conv_id = c.conv_id AND e.needs = c.turn),
+placed AS (SELECT conv_id, turn, max(level) AS level FROM chains GROUP BY conv_id, turn),
 pairs AS (
     SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, 'turn-' || coalesce(c.turn, a.turn)::VARCHAR AS call_id,
         CASE c.c.role WHEN 'system' THEN 'setup' WHEN 'user' THEN 'answer' END AS name, c.turn,
-        CASE WHEN n_calls > 0 THEN 0::BIGINT END AS level, a.turn + 1 AS result_turn, n_calls, n_results,
+        CASE WHEN n_calls > 0 THEN coalesce(p.level, 0) END AS level, a.turn + 1 AS result_turn, n_calls, n_results,
         CASE WHEN c.turn IS NULL THEN NULL WHEN c.c.text IS NULL THEN 'missing field ' || CASE c.c.role WHEN 'system' THEN 'instructions' ELSE 'prompt' END ELSE '' END AS problems,
         CASE c.c.role WHEN 'system' THEN json_object('instructions', c.c.text) WHEN 'user' THEN json_object('prompt', c.c.text, 'turn', c.turn) END AS arguments, content
-    FROM calls c FULL JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.turn)
+    FROM calls c FULL JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.turn
+    LEFT JOIN placed p ON p.conv_id = c.conv_id AND p.turn = c.turn)
 SELECT conv_id, call_id, name, turn, level, result_turn, n_calls, n_results, problems, status,
     json_object('arguments', arguments, 'id', call_id, 'name', name, 'result', content, 'status', status)::VARCHAR AS json
 FROM (SELECT *, CASE WHEN name IS NULL THEN 'no call' WHEN problems <> '' THEN 'invalid' WHEN n_results IS NULL THEN 'no result' ELSE 'linked' END AS status FROM pairs)"""

@@ -1,9 +1,10 @@
 """Chat formatting with tools: calls meet results, are ordered, checked and written as canonical JSON.
 
 1. Calls and results are reduced to one for each identifier and hash-joined on it.
-2. Order. A call may depend on others by identifier. Where all dependencies point back, the order of turns is already
-   topological. Only conversations with a forward one are put in levels, round by round: a call is placed once all it depends on
-   are. What never gets a level lies on or behind a cycle.
+2. Order. The level of a call is the longest chain of calls it depends on. Each call follows one of the calls it needs, at first the latest by
+   turn; the lengths of these paths are found by doubling, in rounds that grow with the logarithm of a conversation's calls. A call one
+   of whose needs has a longer path follows that one instead, until none does. No more than one row for each call is kept. What
+   lies on or behind a cycle has no end of its path and no level.
 3. Arguments are checked against the schema of the called function: JSON, required and known fields, types.
 4. Each pair becomes one line of JSON with sorted keys and no white space, at every depth.
 
@@ -17,6 +18,8 @@ empty inputs give no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from tallyhouse.operators.staging import settled
 
 #: Function -> field -> (JSON type, required)
 Schemas = dict[str, dict[str, tuple[str, bool]]]
+#: Longer than any path.
+ENDLESS = 1 << 40
 JSON_TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"], "object": ["OBJECT"], "array": ["ARRAY"], "null": ["VOID"]}
 
 
@@ -45,18 +50,43 @@ def problems(name: Column, arguments: Column, schemas: Schemas) -> Column:
     return F.when(value.isNull() | keys.isNull(), F.array(F.lit("arguments are not a JSON object"))).otherwise(found)
 
 
-def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """``conv_id, call_id, level`` of the calls that can be placed. ``edges``: ``conv_id, call_id, needs``."""
-    calls, edges = settled(calls.select("conv_id", "call_id"), "tool-nodes"), settled(edges, "tool-edges")
-    done = settled(calls.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "tool-levels")
+def _followed(chosen: DataFrame, longest: int) -> DataFrame:
+    """``conv_id, call_id, to, level``: the length of the path of ``to`` from each call; ENDLESS if it runs into a cycle."""
+    known = F.col("level") == ENDLESS
+    paths = chosen.select("conv_id", "call_id", F.when(known, F.lit(None)).otherwise(F.col("to")).alias("next"), F.when(known, F.lit(ENDLESS)).otherwise(F.lit(1)).cast("long").alias("steps"))
+    for _ in range(longest.bit_length() + 1):
+        ahead = paths.select("conv_id", F.col("call_id").alias("next"), F.col("next").alias("after"), F.col("steps").alias("more"))
+        ahead = paths.where("next is not null").join(ahead, ["conv_id", "next"], "left")
+        ahead = ahead.select("conv_id", "call_id", F.col("after").alias("next"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))
+        paths = settled(paths.where("next is null").unionByName(ahead), "tool-paths")
+        if paths.where("next is not null").isEmpty():
+            break
+    level = F.when(F.col("next").isNotNull() | (F.col("steps") >= ENDLESS), F.lit(ENDLESS)).otherwise(F.col("steps"))
+    return chosen.drop("level").join(paths.select("conv_id", "call_id", level.alias("level")), ["conv_id", "call_id"])
+
+
+def levels(edges: DataFrame) -> DataFrame:
+    """``conv_id, call_id, level`` of the calls that need others: the longest chain below them, or -1 on and behind cycles.
+
+    ``edges``: ``conv_id, call_id, needs, needs_turn``, one for each need. Conversations leave once no call of theirs has a longer
+    chain than the one it follows; each time round, the calls with right levels reach at least one level higher.
+    """
+    key = ["conv_id", "call_id"]
+    edges = settled(edges.select(*key, "needs", "needs_turn"), "tool-edges")
+    chosen = edges.groupBy(*key).agg(F.max(F.struct("needs_turn", "needs"))["needs"].alias("to")).withColumn("level", F.lit(0).cast("long"))
+    chosen, placed = settled(chosen, "tool-chosen"), []
     while True:
-        open_edges = edges.join(done.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
-        at = open_edges.join(done.select("conv_id", F.col("call_id").alias("needs"), "level"), ["conv_id", "needs"], "left")
-        ready = at.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("all"), F.count("level").alias("placed"), F.max("level").alias("most"))
-        ready = settled(ready.where("all = placed").select("conv_id", "call_id", (F.col("most") + 1).alias("level")), "tool-ready")
-        if ready.isEmpty():
-            return done
-        done = settled(done.union(ready), "tool-levels")
+        longest = chosen.groupBy("conv_id").count().agg(F.max("count")).first()[0]
+        found = settled(_followed(chosen, longest or 0), "tool-followed")
+        below = found.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("below"))
+        best = edges.join(below, ["conv_id", "needs"], "left").groupBy(*key).agg(F.max(F.struct(F.coalesce("below", F.lit(0)).alias("below"), "needs")).alias("best"))
+        better = (F.col("level") < ENDLESS) & (F.col("best.below") >= F.col("level"))
+        found = settled(found.join(best, key).select(*key, F.when(better, F.col("best.needs")).otherwise(F.col("to")).alias("to"), "level", better.alias("better")), "tool-checked")
+        changed = found.where("better").select("conv_id").distinct()
+        placed.append(found.join(changed, "conv_id", "left_anti").select(*key, F.when(F.col("level") < ENDLESS, F.col("level")).otherwise(-1).alias("level")))
+        if changed.isEmpty():
+            return reduce(DataFrame.union, placed)
+        chosen = settled(found.join(changed, "conv_id", "left_semi").drop("better"), "tool-chosen")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -75,14 +105,11 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     answer = answer.select(*key, F.col("r.turn").alias("result_turn"), "r.content", "n_results")
 
     # Dependencies that exist; those on nothing known are a problem of the call, not an edge.
-    edges = one.select(*key, "turn", F.explode(F.array_distinct("needs")).alias("needs"))
+    edges = one.select(*key, F.explode(F.array_distinct("needs")).alias("needs"))
     target = one.select("conv_id", F.col("call_id").alias("needs"), F.col("turn").alias("needs_turn"))
     edges = settled(edges.join(target, ["conv_id", "needs"], "left"), "tool-needs")
     lost = edges.where("needs_turn is null").groupBy(*key).agg(F.count(F.lit(1)).alias("n_lost"))
-    forward = edges.where("needs_turn >= turn").select("conv_id").distinct()
-    crossed = one.join(forward, "conv_id", "left_semi")
-    place = levels(crossed, edges.where("needs_turn is not null").join(forward, "conv_id", "left_semi").select(*key, "needs"))
-    place = crossed.select(*key).join(place, key, "left").select(*key, F.coalesce("level", F.lit(-1)).alias("level"))
+    place = levels(edges.where("needs_turn is not null"))
 
     pairs = one.join(answer.hint("shuffle_hash"), key, "full_outer").join(place, key, "left").join(lost, key, "left")
     loose = calls.where(~named).select(*key, "turn", "name", "arguments", F.lit(1).cast("long").alias("n_calls"))

@@ -165,3 +165,17 @@ def divergences(rows, ranks):
                 values.sort(key=lambda x: (x[0], x[1].encode()))
                 found += [(lang, s, part, item, -value, rank) for rank, (value, item) in enumerate(values, 1) if part == "pair" or rank <= ranks]
     return found
+
+
+def levels(needs):
+    """``(conversation, call) -> needed calls`` to the longest chain below each call; None on and behind cycles."""
+    found = dict.fromkeys(needs)
+    for _ in needs:
+        new = {}
+        for (conv, call), others in needs.items():
+            below = [found[conv, x] for x in others]
+            new[conv, call] = None if None in below else 1 + max(below, default=-1)
+        if new == found:
+            break
+        found = new
+    return found

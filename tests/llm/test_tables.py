@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import random
 from collections import Counter
 
 import numpy as np
@@ -316,6 +317,27 @@ def test_topological_order(linked):
     assert got[3, "u"].level is None and got[3, "s"].level is None and got[3, "v"].level == 0
 
 
+def test_levels_are_longest_chains(spark, monkeypatch):
+    """Random needs, forward and backward, some in cycles, one chain of 700 calls written backwards, one call that 300 others need."""
+    rng = random.Random(5)
+    needs = {}
+    for conv in range(40):
+        n = rng.randrange(1, 12)
+        for i in range(n):
+            needs[conv, f"c{i}"] = sorted({f"c{rng.randrange(n)}" for _ in range(rng.randrange(3)) if conv % 3 or rng.random() < 0.4})
+    needs |= {(50, f"c{i}"): [f"c{i + 1}"] if i < 699 else [] for i in range(700)}
+    needs |= {(51, f"c{i}"): ["c0"] if i else [] for i in range(300)}
+    turn = {k: rng.randrange(1000) for k in needs}
+    calls = [(conv, call, turn[conv, call], "add", "{}", n) for (conv, call), n in needs.items()]
+    rounds, real = [], tool_links.settled
+    monkeypatch.setattr(tool_links, "settled", lambda df, name: rounds.append(name) or real(df, name))
+    results = spark.createDataFrame([], RESULT)
+    got = {(r.conv_id, r.call_id): r.level for r in tool_links.linked(spark.createDataFrame(calls, CALL), results, SCHEMAS).collect()}
+    assert got == plain.levels(needs)
+    assert {None, 0, 1, 2, 699} <= set(got.values())
+    assert rounds.count("tool-paths") < 60 and rounds.count("tool-followed") < 10
+
+
 def test_canonical_json(linked):
     for r in linked:
         value = json.loads(r.json)
