@@ -12,7 +12,7 @@ The unknown language is a class too: all trigrams equally likely. It wins where
 
 Defined results: a null or empty text has no evidence of its own, so that declaration, suffix and host decide; a row
 without any evidence gets the corpus prior. Null declarations, suffixes and hosts say nothing.
-Equal scores go to the language first in the alphabet. Other columns are kept under ``row``.
+Of labels with equally many rows the first in the alphabet are languages. Equal scores go to the language first in the alphabet. Other columns are kept under ``row``.
 Without labelled rows there are no languages, and every row is unknown.
 """
 
@@ -30,6 +30,8 @@ from tallyhouse.llm.words import LOWER, slices
 from tallyhouse.operators.staging import settled
 
 SAMPLE_ROWS = 4000  # labelled rows each language's text model is trained on at most, in expectation
+LANGUAGES = 256  # the labels with most rows, at most so many, are languages: bounds the models, which go to every task
+LABELS = 127  # a host has no more labels than that; of longer ones the last so many count
 FEATURES = 1 << 14
 EVIDENCE = 40.0
 STRENGTH = 20.0
@@ -62,9 +64,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log-likelihood of each trigram in each, from up to about SAMPLE_ROWS rows ``id, label, text`` of each."""
+    """Languages, and the log-likelihood of each trigram in each, from up to about SAMPLE_ROWS rows ``id, label, text`` of each.
+
+    Rows whose label is not among the LANGUAGES most frequent ones train nothing, but are judged like all others.
+    """
     labelled = labelled.where("label is not null and text is not null")
-    rows = F.broadcast(labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows")))  # one row a language
+    rows = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    rows = F.broadcast(rows.orderBy(F.desc("rows"), "label").limit(LANGUAGES))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     sample = labelled.join(rows, "label").where(place < F.lit(float(SAMPLE_ROWS << 30)) / F.col("rows"))
     rows = sample.select("label", "text").mapInArrow(_counts, "language string, feature int, n long")
@@ -122,8 +128,15 @@ def parents(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
 
 
+def _smoothed(above: Column, level: Column) -> Column:
+    """Shares of a domain: its counts and STRENGTH rows that are dealt as those above it."""
+    rows = F.aggregate(level["counts"], F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.zip_with(level["counts"], above, lambda n, share: (n + STRENGTH * share) / (rows + STRENGTH))
+
+
 def fused(held: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
     """``held`` (``row, text, declared, suffix, host``) -> ``row, language, posterior, text_language, kept``."""
+    held = held.withColumn("host", F.substring_index("host", ".", -LABELS))
     every = [*names, UNKNOWN]
     guess = _best(every, F.col("scores"))
     counted = text_scores(held.select("text", "declared", "suffix", "host"), names, model)
@@ -141,31 +154,20 @@ def fused(held: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
         share = [F.log((c + 1) / F.lit(float(total.get(x, 0) + len(every)))) for c, x in zip(n, every)]
         return counted.where(F.col(column).isNotNull()).groupBy(column).agg(F.array(*share).alias(f"{column}_scores"))
 
-    # Counts of every domain: of its hosts, added up; then one level after the other, from the top.
+    # Counts of every domain: of its hosts, added up. Its prior goes down from the corpus through the counts of its parents and its own.
     domain = counted.where("host is not null").select(F.explode(parents(F.col("host"))).alias("domain"), "guess", "n")
-    n = [F.coalesce(F.sum(F.when(F.col("guess") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(every)]
-    domain = settled(domain.groupBy("domain").agg(*n).withColumn("depth", F.size(F.split("domain", "\\."))), "language-domains")
-    deepest = domain.agg(F.max("depth")).first()[0] or 0
-    all_n = sum((F.col(f"n{i}") for i in range(len(every))), F.lit(0))
-    prior = None
-    for depth in range(1, deepest + 1):
-        level = domain.where(F.col("depth") == depth)
-        if depth == 1:
-            level = level.withColumn("above", F.array(*map(F.lit, base)))
-        else:
-            above = prior.where(F.col("depth") == depth - 1).select(F.col("domain").alias("parent"), F.col("shares").alias("above"))
-            level = level.withColumn("parent", F.expr("substring(domain, instr(domain, '.') + 1)")).join(above, "parent").drop("parent")
-        shares = F.array(*((F.col(f"n{i}") + STRENGTH * F.col("above")[i]) / (all_n + STRENGTH) for i in range(len(every))))
-        level = level.select("domain", "depth", shares.alias("shares"))
-        prior = settled(level if prior is None else prior.union(level), "language-priors")
+    n = [F.coalesce(F.sum(F.when(F.col("guess") == x, F.col("n"))), F.lit(0)) for x in every]
+    domain = settled(domain.groupBy("domain").agg(F.array(*n).alias("counts")), "language-domains")
+    above = domain.select("domain", F.explode(parents(F.col("domain"))).alias("parent"))
+    above = above.join(domain.withColumnRenamed("domain", "parent"), "parent")
+    above = above.select("domain", F.struct(F.length("parent").alias("length"), "counts").alias("level"))  # a parent is shorter than its children
+    smoothed = F.aggregate(F.sort_array(F.collect_list("level")), F.array(*map(F.lit, base)), _smoothed)
+    prior = settled(above.groupBy("domain").agg(smoothed.alias("shares")), "language-priors")
 
     scored_rows = text_scores(held, names, model)
     for column in ("declared", "suffix"):
         scored_rows = scored_rows.join(settled(by_value(column), f"language-{column}"), column, "left")
-    if prior is not None:
-        scored_rows = scored_rows.join(prior.select(F.col("domain").alias("host"), "shares"), "host", "left")
-    else:
-        scored_rows = scored_rows.withColumn("shares", F.lit(None).cast("array<double>"))
+    scored_rows = scored_rows.join(prior.withColumnRenamed("domain", "host"), "host", "left")
     zero, flat = F.array(*(F.lit(0.0) for _ in every)), F.array(*map(F.lit, base))
     parts = [F.col("scores"), F.coalesce("declared_scores", zero), F.coalesce("suffix_scores", zero)]
     shares = F.coalesce("shares", flat)

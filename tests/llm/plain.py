@@ -179,3 +179,55 @@ def levels(needs):
             break
         found = new
     return found
+
+
+def trigram_features(text, bits=14):
+    x = [b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in (text or "").encode()]
+    mix = lambda a, b, c: (a * 0x9E3779B1 ^ b * 0x85EBCA6B ^ c * 0xC2B2AE35) & 0xFFFFFFFF
+    return [((mix(*x[i : i + 3]) * 0x27D4EB2F) & 0xFFFFFFFF) >> (32 - bits) for i in range(len(x) - 2)]
+
+
+def languages(labelled, held, unknown="und", features=1 << 14, evidence=40, strength=20, unknown_prior=1e-3, keep_from=0.5):
+    """``labelled``: (label, text); ``held``: row -> (text, declared, suffix, host). Gives row -> (language, posterior, text_language, kept)."""
+    counts = defaultdict(Counter)
+    for label, text in labelled:
+        if label is not None and len(trigram_features(text)):
+            counts[label].update(trigram_features(text))
+    every = [*sorted(counts), unknown]
+
+    def score(text, language):
+        found = trigram_features(text)
+        total = sum(counts[language].values()) + features / 2
+        p = [math.log((counts[language][t] + 0.5) / total) if language != unknown else -math.log(features) for t in found]
+        return sum(p) * min(1, evidence / max(1, len(p)))
+
+    best = lambda values: every[values.index(max(values))]
+    scores = {row: [score(x[0], language) for language in every] for row, x in held.items()}
+    guesses = {row: best(s) for row, s in scores.items() if max(s) < 0}
+    total = Counter(guesses.values())
+    base = [(total[x] + 1) / (len(guesses) + len(every)) for x in every]
+    base[-1] = min(base[-1], unknown_prior)
+
+    def by_value(which, value):
+        if value is None or not any(held[r][which] == value for r in guesses):
+            return [0] * len(every)
+        n = Counter(g for r, g in guesses.items() if held[r][which] == value)
+        return [math.log((n[x] + 1) / (total[x] + len(every))) for x in every]
+
+    def prior(host):
+        under = lambda domain: [g for r, g in guesses.items() if held[r][3] is not None and ("." + held[r][3]).endswith("." + domain)]
+        if host is None or not under(host):
+            return base
+        shares = base
+        labels = host.split(".")
+        for depth in range(1, len(labels) + 1):
+            rows = under(".".join(labels[-depth:]))
+            shares = [(rows.count(x) + strength * share) / (len(rows) + strength) for x, share in zip(every, shares)]
+        return shares
+
+    result = {}
+    for row, (_, declared, suffix, host) in held.items():
+        logs = [sum(x) + math.log(p) for *x, p in zip(scores[row], by_value(1, declared), by_value(2, suffix), prior(host))]
+        posterior = 1 / sum(math.exp(x - max(logs)) for x in logs)
+        result[row] = best(logs), posterior, best(scores[row]), best(logs) != unknown and posterior >= keep_from
+    return result

@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, with odd rows, empty tables and clashing columns."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -339,6 +340,46 @@ def test_language_of_pages_uses_declaration_suffix_and_host(spark):
     assert got[901].language == "de"
 
 
+def test_fusion_like_plain(spark):
+    """Texts, declarations, suffixes and nested hosts that agree, disagree or are missing, against the definition row by row."""
+    rng = random.Random(3)
+    words = {"de": "der die das und nicht wir sind heute auf dem weg nach hause".split(), "en": "the and not we are today on our way home with them".split(),
+             "fr": "les des nous sommes aujourd hui avec une maison pas très".split()}
+    hosts = ["a.b.de", "x.a.b.de", "b.de", "de", "news.com", "blog.news.com", "deep.blog.news.com", "com", None, "", "..", "." * 9]
+    held, labelled = {}, []
+    for i in range(240):
+        lang = rng.choice(list(words))
+        mixed = words[lang] + (words[rng.choice(list(words))] if i % 4 == 0 else [])
+        text = " ".join(rng.choice(mixed) for _ in range(rng.randrange(0, 12)))
+        text = rng.choice([None, "", "x", "\u4e2d\u6587 \u4e2d", "zq xj kv " * 9]) if i % 11 == 0 else text
+        declared = rng.choice([lang, lang, "de", "xx", None])
+        labelled.append((declared if rng.random() < 0.9 and declared != "xx" else None, text))
+        host = rng.choice(hosts)
+        held[i] = text, declared, host.rpartition(".")[2] if host else None, host
+    labelled += [("en", None), (None, "the")]
+    names, model = language.train(spark.createDataFrame([(i, *x) for i, x in enumerate(labelled)], "id long, label string, text string"))
+    frame = spark.createDataFrame([(i, *x) for i, x in held.items()], "row long, text string, declared string, suffix string, host string")
+    got = {r.row: r for r in language.fused(frame, names, model).collect()}
+    for i, (found, posterior, by_text, kept) in plain.languages(labelled, held).items():
+        assert (got[i].language, got[i].text_language, got[i].kept) == (found, by_text, kept), held[i]
+        assert abs(got[i].posterior - posterior) < 1e-4
+    assert {r.kept for r in got.values()} == {True, False} and any(r.language != r.text_language for r in got.values())
+
+
+def test_hosts_of_very_many_labels(spark):
+    names, model = ["de", "en"], np.log(np.full((2, language.FEATURES), 1 / language.FEATURES))
+    far = "x." * 5000 + "de"
+    held = spark.createDataFrame([(0, "some text", None, None, far), (1, "more text", None, None, far), (2, None, None, None, "de")], "row long, text string, declared string, suffix string, host string")
+    assert held.count() == language.fused(held, names, model).count()
+
+
+def test_languages_are_the_most_frequent_labels(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    rows = [(i, x, "some text of it") for i, x in enumerate(["d", "d", "d", "b", "b", "a", "c", None])]
+    names, _ = language.train(spark.createDataFrame(rows, "id long, label string, text string"))
+    assert names == ["a", "b", "d"]
+
+
 def test_host_priors_are_smoothed_towards_parents(spark):
     held = spark.createDataFrame([(f"x{i}", None, None, None, "new.de") for i in range(2)], "row string, text string, declared string, suffix string, host string")
     names, model = ["de", "en"], np.log(np.full((2, language.FEATURES), 1 / language.FEATURES))
