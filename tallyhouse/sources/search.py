@@ -1,8 +1,11 @@
 """Substring search by an index of trigrams, in place of a scan of all texts.
 
-For every three letters that follow each other in an indexed column, bitmaps hold the rows that have them, for 32,768 ids
-each. The bitmaps of all trigrams of a term are intersected, which leaves the rows that may hold it; these are read from
+For every three letters that follow each other in an indexed column, words of 64 bits hold the rows that have them, one bit
+an id. The words of all trigrams of a term are intersected, which leaves the rows that may hold it; these are read from
 their blocks of ids, and compared with the term itself. A term of fewer letters has no trigram and is scanned for.
+
+Rows have some dozen trigrams each and may come in a few partitions, so they are dealt out by words of ids before their
+trigrams are listed: a task indexes about TASK_CHARS characters, however large the table.
 """
 
 from __future__ import annotations
@@ -16,12 +19,14 @@ from tallyhouse.operators.merge import replace_partitions
 from tallyhouse.operators.staging import settled
 
 GRAM = 3
-PART, BLOCK = "part", "block"
+PART, BLOCK, WORD = "part", "block", "word"
+WORD_BITS = 6
+TASK_CHARS = 1 << 22
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """A folder, the columns it was built for, ids in a block of rows, and partitions of trigrams. Ids are 1 or more."""
+    """A folder, the columns it was built for, ids in a block of rows, and partitions of trigrams."""
 
     path: str
     columns: tuple[str, ...]
@@ -41,26 +46,43 @@ def _part(gram: Column, index: TextIndex) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(index.parts)).cast("int")
 
 
+def _word(row_id: Column) -> Column:
+    return F.shiftright(row_id, WORD_BITS)
+
+
+def _bit(row_id: Column) -> Column:
+    """The bit of an id in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), row_id.bitwiseAND((1 << WORD_BITS) - 1).cast("int"))
+
+
+def postings(rows: DataFrame, index: TextIndex) -> DataFrame:
+    """``gram, word, bits``: the rows that have a trigram, a row for each word of ids in which there are any."""
+    texts = [F.col(c) for c in index.columns]
+    chars = rows.select(F.sum(sum((F.coalesce(F.length(t), F.lit(0)).cast("long") for t in texts), F.lit(0)))).first()[0] or 0
+    row_id = F.col(index.row_id).cast("long")
+    dealt = rows.select(_word(row_id).alias(WORD), _bit(row_id).alias("bit"), *texts).repartition(1 + chars // TASK_CHARS, WORD)
+    none = F.array().cast("array<string>")
+    listed = F.array_distinct(F.concat(*(F.coalesce(grams(t), none) for t in texts)))
+    return dealt.select(WORD, "bit", F.explode(listed).alias("gram")).groupBy("gram", WORD).agg(F.bit_or("bit").alias("bits"))
+
+
 def build_index(rows: DataFrame, index: TextIndex) -> None:
-    """Write rows by blocks of ids, and the bitmaps of their trigrams. A frequent trigram is one bitmap for each range of ids."""
+    """Write rows by blocks of ids, and the words of their trigrams."""
     blocked = rows.withColumn(BLOCK, F.floor(F.col(index.row_id) / index.block))
     replace_partitions(blocked, f"{index.path}/rows", BLOCK)
-    none = F.array().cast("array<string>")
-    listed = F.array_distinct(F.concat(*(F.coalesce(grams(F.col(c)), none) for c in index.columns)))
-    every = rows.select(F.col(index.row_id).alias("row"), F.explode(listed).alias("gram"))
-    bits = every.groupBy("gram", F.bitmap_bucket_number("row").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
-    replace_partitions(bits.withColumn(PART, _part(F.col("gram"), index)), f"{index.path}/grams", PART)
+    # From the rows as written: what they are derived from isn't computed again.
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{index.path}/rows")
+    replace_partitions(postings(stored, index).withColumn(PART, _part(F.col("gram"), index)), f"{index.path}/grams", PART)
 
 
-def _bitmaps(spark: SparkSession, index: TextIndex, term: str) -> DataFrame:
-    """``bucket, bits``: the rows that have all trigrams of a term."""
+def _found(spark: SparkSession, index: TextIndex, term: str) -> DataFrame:
+    """``word, bits``: the rows that have all trigrams of a term."""
     wanted = sorted({term[i : i + GRAM] for i in range(len(term) - GRAM + 1)})
     parts = [r[0] for r in spark.createDataFrame([(g,) for g in wanted], "gram string").select(_part(F.col("gram"), index)).distinct().collect()]
-    stored = spark.read.schema(f"gram string, bucket long, bits binary, {PART} int").parquet(f"{index.path}/grams")
-    found = stored.where(F.col(PART).isin(parts) & F.col("gram").isin(wanted)).groupBy("bucket").agg(
-        F.count("*").alias("n"), F.bitmap_and_agg("bits").alias("bits"))
-    return found.where((F.col("n") == len(wanted)) & (F.bitmap_count("bits") > 0)).select("bucket", "bits")
+    stored = spark.read.schema(f"gram string, {WORD} long, bits long, {PART} int").parquet(f"{index.path}/grams")
+    found = stored.where(F.col(PART).isin(parts) & F.col("gram").isin(wanted)).groupBy(WORD).agg(
+        F.count("*").alias("n"), F.bit_and("bits").alias("bits"))
+    return found.where((F.col("n") == len(wanted)) & (F.col("bits") != 0)).select(WORD, "bits")
 
 
 def candidates(spark: SparkSession, index: TextIndex, term: str, schema: str) -> DataFrame:
@@ -68,16 +90,14 @@ def candidates(spark: SparkSession, index: TextIndex, term: str, schema: str) ->
     rows = spark.read.schema(f"{schema}, {BLOCK} long").parquet(f"{index.path}/rows")
     if len(term) < GRAM:
         return rows.drop(BLOCK)
-    found = settled(_bitmaps(spark, index, term), "candidates")
-    # Bitmaps are few for a rare term; blocks are many times larger than a bitmap, and there are few of them in all.
-    low, high = (F.col("bucket") - 1) * 32_768 + 1, F.col("bucket") * 32_768
-    blocks = F.explode(F.sequence(F.floor(low / index.block), F.floor(high / index.block)))
+    found = settled(_found(spark, index, term), "candidates")
+    # Words are few for a rare term; there are few blocks in all.
+    low = F.col(WORD) * (1 << WORD_BITS)
+    blocks = F.explode(F.sequence(F.floor(low / index.block), F.floor((low + (1 << WORD_BITS) - 1) / index.block)))
     wanted = [r[0] for r in found.select(blocks.alias(BLOCK)).distinct().collect()]
-    place = F.bitmap_bit_position(index.row_id)
-    byte = F.conv(F.hex(F.substring("bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = rows.where(F.col(BLOCK).isin(wanted)).withColumns({"bucket": F.bitmap_bucket_number(index.row_id), "place": place})
-    near = near.join(found, "bucket").withColumn("byte", byte).where("shiftright(byte, cast(place % 8 as int)) & 1 = 1")
-    return near.drop("bucket", "place", "bits", "byte", BLOCK)
+    row_id = F.col(index.row_id).cast("long")
+    near = rows.where(F.col(BLOCK).isin(wanted)).withColumn(WORD, _word(row_id)).join(found, WORD)
+    return near.where(F.col("bits").bitwiseAND(_bit(row_id)) != 0).drop(WORD, "bits", BLOCK)
 
 
 def search(spark: SparkSession, index: TextIndex, term: str, schema: str, limit: int) -> DataFrame:

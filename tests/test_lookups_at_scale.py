@@ -57,6 +57,24 @@ def test_only_blocks_with_candidates_are_opened(spark, tmp_path):
         X.search(spark, index, "ne", SCHEMA, 100).collect()
 
 
+def test_tasks_of_an_index_do_not_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(X, "TASK_CHARS", 2000)
+    index = X.TextIndex("", ("name", "email"))
+    for n in (1000, 4000):
+        rows = spark.createDataFrame([(i - 500, f"name{i:05}", f"u{i:05}@x.test") for i in range(n)], SCHEMA).coalesce(1)
+        found = X.postings(rows, index)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # trigrams aren't moved
+        assert found.rdd.getNumPartitions() == 1 + n * 22 // 2000
+        held = {(r.gram, r.word): r.bits & (1 << 64) - 1 for r in found.collect()}
+        assert len(held) == found.count()
+        wanted = {}
+        for row_id, *texts in rows.collect():
+            for gram in {t[k : k + 3] for t in texts for k in range(len(t) - 2)}:
+                wanted[gram, row_id >> 6] = wanted.get((gram, row_id >> 6), 0) | 1 << (row_id & 63)
+        assert held == wanted
+
+
 def rows_scanned(df):
     """Rows that the scans of a collected frame handed on, after row groups and pages were left out."""
     def scans(plan):
