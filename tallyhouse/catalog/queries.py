@@ -992,7 +992,8 @@ def _records(spark, folder):
     record = F.concat(
         F.lit('{"kind": "'), kind, F.lit('", "'), kind, F.lit('_token": "'), user, F.lit('", "at": {"user_Email": "u'), user,
         F.lit('@shop.test", "'), kind, F.lit('": [[{"phone": "1", "k": '), user, F.lit('}], "'), kind, F.lit('"]}, "props": '), "props", F.lit("}"))
-    return parquet_table(spark, folder, "events").select("event_id", record.alias("record"))
+    return R.spread(parquet_table(spark, folder, "events").select("event_id", "event_type", "user_id", "props"), "event_id").select(
+        "event_id", record.alias("record"))
 
 
 @query

@@ -1,8 +1,10 @@
 """JSON records without a schema: redaction and flattening at any depth, row by row, without a shuffle.
 
 A record is a VARIANT. Each level is taken apart into its entries, and one expression stands for all entries of a level, so
-the plan grows with the depth and not with the keys, which may differ in every row. The depth comes from a pass over the
-texts that counts brackets. Text that is no JSON, or repeats a key, gives NULL: nothing unread is passed on.
+the plan has DEEPEST levels, whatever the keys, which may differ in every row; a row is walked only as deep as it goes.
+Text that is no JSON, or repeats a key, gives NULL: nothing unread is passed on.
+
+Walking a record takes far longer than reading it, so a task for each split of a file can be few: ``spread`` deals rows out.
 """
 
 from __future__ import annotations
@@ -17,25 +19,12 @@ from tallyhouse.operators.privacy import REDACTED, SENSITIVE_PARTS
 #: Containers deeper than this are redacted whole, and not flattened further: the analyzer resolves a level in a few of its
 #: 100 rounds (spark.sql.analyzer.maxIterations).
 DEEPEST = 16
-STRINGS = r'"(?:[^"\\]|\\.)*"'
 ENTRY = "array<struct<key:string,value:variant>>"
 
 
-def nesting(text: Column) -> Column:
-    """How deep the containers of a JSON text lie in each other."""
-    marks = F.regexp_extract_all(F.regexp_replace(text, STRINGS, ""), F.lit(r"[\[\]{}]"), 0)
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(at: Column, mark: Column) -> Column:
-        now = at["now"] + F.when(mark.isin("[", "{"), 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
-
-    return F.coalesce(F.aggregate(marks, start, step, lambda at: at["most"]), F.lit(0))
-
-
-def depth_of(df: DataFrame, column: str) -> int:
-    """The deepest nesting of a column, DEEPEST at most: one number from one pass."""
-    return min(DEEPEST, df.agg(F.max(nesting(F.col(f"`{column}`")))).first()[0] or 0)
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key over the shuffle's partitions, in place of those of the files."""
+    return df.repartition(F.col(f"`{key}`"))
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -43,22 +32,26 @@ def _once(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _kind(value: Column) -> Column:
-    return F.substring(F.schema_of_variant(value), 1, 5)
+def _fields(value: Column) -> Column:
+    """The entries of an object; NULL for anything else."""
+    return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")).cast(ENTRY)
+
+
+def _items(value: Column) -> Column:
+    """The values of an array; NULL for anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def _entries(value: Column) -> Column:
     """Key and value of each entry of an object, or of an array, whose keys are NULL; NULL for anything else."""
-    listed = F.transform(value.cast("array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
-    return F.when(_kind(value) == "OBJEC", F.map_entries(value.cast("map<string,variant>")).cast(ENTRY)).when(
-        _kind(value) == "ARRAY", listed.cast(ENTRY))
+    listed = F.transform(_items(value), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
+    return F.coalesce(_fields(value), listed.cast(ENTRY))
 
 
 def _sensitive(key: Column, parts: Collection[str]) -> Column:
-    found = F.lit(False)
-    for part in parts:
-        found = found | F.lower(key).contains(part)
-    return F.coalesce(found, F.lit(False))
+    if not parts:
+        return F.lit(False)
+    return F.coalesce(F.lower(key).rlike("|".join(rf"\Q{part}\E" for part in parts)), F.lit(False))
 
 
 def sanitize_json(df: DataFrame, column: str, parts: Collection[str] = SENSITIVE_PARTS) -> DataFrame:
@@ -67,14 +60,14 @@ def sanitize_json(df: DataFrame, column: str, parts: Collection[str] = SENSITIVE
 
     def walk(value: Column, levels: int) -> Column:
         if not levels:
-            return F.when(_kind(value).isin("OBJEC", "ARRAY"), mark).otherwise(value)
+            return F.when(_entries(value).isNotNull(), mark).otherwise(value)
         cleaned = F.transform(_entries(value), lambda e: F.struct(
             e["key"].alias("key"), F.when(_sensitive(e["key"], parts), mark).otherwise(walk(e["value"], levels - 1)).alias("value")))
-        return _once(cleaned, lambda c: F.when(_kind(value) == "OBJEC", F.to_variant_object(F.map_from_entries(c))).when(
-            _kind(value) == "ARRAY", F.transform(c, lambda e: e["value"]).cast("variant")).otherwise(value))
+        # What has no entries stays as it is: values, and empty containers.
+        return _once(cleaned, lambda c: F.when(F.coalesce(F.size(c), F.lit(0)) <= 0, value).when(
+            c[0]["key"].isNotNull(), F.to_variant_object(F.map_from_entries(c))).otherwise(F.transform(c, lambda e: e["value"]).cast("variant")))
 
-    levels = depth_of(df, column)
-    return df.withColumn(column, F.to_json(_once(F.try_parse_json(F.col(f"`{column}`")), lambda record: walk(record, levels))))
+    return df.withColumn(column, F.to_json(_once(F.try_parse_json(F.col(f"`{column}`")), lambda record: walk(record, DEEPEST))))
 
 
 def flatten_json(df: DataFrame, column: str, separator: str = "_") -> DataFrame:
@@ -87,13 +80,12 @@ def flatten_json(df: DataFrame, column: str, separator: str = "_") -> DataFrame:
         leaf = F.array(F.struct(path.alias("path"), value.alias("value")))
         if not levels:
             return leaf
-        below = F.flatten(F.transform(F.map_entries(value.cast("map<string,variant>")).cast(ENTRY), lambda e: walk(
-            e["value"], F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit(separator), e["key"])), levels - 1)))
-        return F.when(_kind(value) == "OBJEC", below).otherwise(leaf)
+        below = F.flatten(F.transform(_fields(value), lambda e: _once(
+            F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit(separator), e["key"])), lambda longer: walk(e["value"], longer, levels - 1))))
+        return F.coalesce(below, leaf)
 
-    levels = depth_of(df, column)
-    leaves = _once(F.try_parse_json(F.col(f"`{column}`")), lambda record: walk(record, F.lit(""), levels))
+    leaves = _once(F.try_parse_json(F.col(f"`{column}`")), lambda record: walk(record, F.lit(""), DEEPEST))
     rest = [F.col(f"`{c}`") for c in df.columns if c != column]
     rows = df.select(*rest, F.explode(leaves).alias("_leaf"))
-    text = F.when(_kind(F.col("_leaf.value")).isin("OBJEC", "ARRAY"), F.to_json("_leaf.value")).otherwise(F.col("_leaf.value").cast("string"))
+    text = F.when(_entries(F.col("_leaf.value")).isNotNull(), F.to_json("_leaf.value")).otherwise(F.col("_leaf.value").cast("string"))
     return rows.where(F.col("_leaf.value").isNotNull()).select(*rest, F.col("_leaf.path").alias("path"), text.alias("value"))

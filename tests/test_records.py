@@ -81,6 +81,31 @@ def test_flatten_json(spark):
                 assert shown[i, path] == x
 
 
+def test_records_are_not_read_before_they_are_walked(spark):
+    torn = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("r"))
+    assert R.sanitize_json(torn, "r").columns == ["r"] and R.flatten_json(torn, "r").columns == ["path", "value"]
+
+
+def test_records_of_one_split_are_dealt_out(spark):
+    df = R.spread(spark.range(1000).select("id", F.lit('{"email": 1}').alias("r")).coalesce(1), "id")
+    plan = R.sanitize_json(df, "r")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("variant") < plan.index("Exchange hashpartitioning(id")  # moved first, walked after
+    got = R.sanitize_json(df, "r").collect()
+    assert sorted(got) == [(i, '{"email":"[REDACTED]"}') for i in range(1000)]
+
+
+def test_flatten_deep_records(spark):
+    deep = '{"a":' * R.DEEPEST + "1" + "}" * R.DEEPEST
+    got = R.flatten_json(spark.createDataFrame([(deep,), ('{"":{"b":{"":2}}}',), ('{"a":{},"b":[]}',)], "r string"), "r").collect()
+    assert sorted(map(tuple, got)) == [("_".join("a" * R.DEEPEST), "1"), ("b", "[]"), ("b_", "2")]
+
+
+def test_names_are_taken_literally(spark):
+    df = spark.createDataFrame([('{"a.b":1,"axb":{},"c|":[],"d":null}',)], "r string")
+    assert R.sanitize_json(df, "r", ("a.b", "|")).first().r == '{"a.b":"[REDACTED]","axb":{},"c|":"[REDACTED]","d":null}'
+    assert R.sanitize_json(df, "r", ()).first().r == '{"a.b":1,"axb":{},"c|":[],"d":null}'
+
+
 SCHEMA = "year int, month date, day date, kind string, n long, note string"
 
 
