@@ -3,7 +3,7 @@
 A file is a Parquet table of blocks in the shared folder: ``part, block, data``. Parts are ranges of document ids
 in ascending order; the blocks of a part hold its ids one after the other. Each block's ``data`` is complete in itself:
 
-    magic "TKB2", then as unsigned 32-bit numbers: crc32 of all that follows, steps, ids held, fragments,
+    magic "TKB3", then as unsigned 32-bit numbers: crc32 of all that follows, steps, ids held, fragments,
     bytes of fragments, bytes of code; then the fragments, then the code.
 
 A fragment is what a document has in the block: its number in the part (32 bits), its id (64), whether it has one (8), and how many
@@ -26,26 +26,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.range_coder import decode_lanes, encode_lanes
 from tallyhouse.operators.staging import settled
 
-MAGIC = b"TKB2"
+MAGIC = b"TKB3"
 HEAD = "<4s6I"
 HEAD_BYTES = struct.calcsize(HEAD)
 FRAGMENT = np.dtype([("number", "<u4"), ("id", "<i8"), ("has_id", "u1"), ("n", "<u4")])
 BLOCK_IDS = 4096
 LANES = 2048
 KNOWN_PIECES = 400_000
+JOINED = 100
 
 
 class Encoder:
-    """Whole texts to ids (as bytes of 16-bit numbers) with the tokenizers library.
+    """Whole texts to ids (16-bit numbers) with the tokenizers library.
 
-    A piece between single spaces is encoded alike in any text, so pieces met before are not encoded again.
-    Where a space stands beside other white space, the library gets the whole text.
+    A piece after a single space and before another is encoded alike in any text, so that of many texts every different piece is
+    encoded once; pieces met twice are kept for the texts that follow. Where a space stands beside other white space, the library
+    gets the whole text.
     """
 
     def __init__(self, path: str):
@@ -55,38 +58,76 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         if self.library.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit in 16 bits")
-        self.spaced: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
         # Which ids stand for a text that starts with a space (the byte-level sign for it).
         self.starts = np.zeros(1 << 16, bool)
         self.starts[[i for token, i in self.library.get_vocab().items() if token.startswith("\u0120")]] = True
 
-    def ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
-
     def encode(self, text: str) -> bytes:
-        pieces = text.split(" ")
-        try:
-            body = b"".join(map(self.spaced.__getitem__, pieces[1:]))
-        except KeyError:
-            self.learn(pieces[1:])
-            return self.encode(text) if all(map(self.spaced.__getitem__, pieces[1:])) else self.ids(text)
-        except TypeError:
-            return self.ids(text)
-        return self.ids(pieces[0]) + body if not pieces[0] or not pieces[0][-1].isspace() else self.ids(text)
-
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.spaced) > KNOWN_PIECES:
-            self.spaced.clear()
-        new = list(set(pieces).difference(self.spaced))
-        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        self.spaced.update(dict.fromkeys(new))
-        # All in one text: the ids of a piece start where an id starts with a space, and only there.
-        data = self.ids("".join([" " + p for p in plain]))
-        at = (2 * np.flatnonzero(self.starts[np.frombuffer(data, np.uint16)])).tolist()
-        if len(at) == len(plain):
-            self.spaced.update((p, data[a:b]) for p, a, b in zip(plain, at, [*at[1:], len(data)]))
-        else:
-            self.spaced.update((p, self.ids(" " + p)) for p in plain)
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array, end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with those of ``end`` after it, and how many each has. Null is empty."""
+        if not len(texts):
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        texts, after = texts.fill_null(""), np.array(end, np.uint16)
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy()
+        heads = bounds[:-1] - bounds[0]
+        coded = split.flatten().dictionary_encode()
+        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        first = index[heads]
+        spaced = self.spaced(pieces, np.bincount(index, minlength=len(pieces)) - np.bincount(first, minlength=len(pieces)))
+        odd = np.array([ids is None for ids in spaced])[index]
+        alone = [pieces[i] for i in first.tolist()]
+        odd[heads] = [piece[-1:].isspace() for piece in alone]
+        odd = np.logical_or.reduceat(odd, heads)
+        for i, text in zip(np.flatnonzero(odd).tolist(), texts.filter(pa.array(odd)).to_pylist()):
+            alone[i] = text
+        # In place of its first piece, a text has the end of the one before, and the ids of that piece or of the whole odd text.
+        begins = [after.tobytes() * (i > 0) + ids for i, ids in enumerate(self.ids(alone))]
+        index[heads] = np.arange(len(pieces), len(pieces) + len(heads))
+        parts = [ids or b"" for ids in spaced] + begins
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+        n = sizes[index]
+        n[np.repeat(odd, np.diff(bounds)) & (index < len(pieces))] = 0
+        ids = np.frombuffer(b"".join(parts), np.uint16).take(places((np.cumsum(sizes) - sizes)[index], n))
+        total = np.add.reduceat(n, heads)
+        total[0] += len(after)  # the others have as many of the text before
+        return np.concatenate((ids, after)), total
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint16).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def spaced(self, pieces: list[str], times: np.ndarray) -> list[bytes | None]:
+        """The ids of pieces after a space, or none where they depend on what is beside them; empty where that occurs zero times."""
+        found = [ids if n else b"" for ids, n in zip(map(self.known.get, pieces), times.tolist())]
+        new = [i for i, ids in enumerate(found) if ids is None and (p := pieces[i]) and not p[0].isspace() and not p[-1].isspace()]
+        for at in range(0, len(new), JOINED * JOINED):
+            some = [new[i : i + JOINED] for i in range(at, min(at + JOINED * JOINED, len(new)), JOINED)]
+            for own, data in zip(some, self.ids(["".join([" " + pieces[i] for i in own]) for own in some])):
+                # Of joined pieces the ids of each start where an id starts with a space, and only there.
+                starts = (2 * np.flatnonzero(self.starts[np.frombuffer(data, np.uint16)])).tolist()
+                if len(starts) == len(own):
+                    cut = [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+                else:
+                    cut = self.ids([" " + pieces[i] for i in own])
+                for i, ids in zip(own, cut):
+                    found[i] = ids
+        if len(self.known) > KNOWN_PIECES:
+            self.known.clear()
+        again = (times > 1).tolist()
+        self.known.update((pieces[i], found[i]) for i in new if again[i])
+        return found
+
+
+def places(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``at[i], at[i] + 1, ...`` for ``sizes[i]`` places, one after the other."""
+    ends = np.cumsum(sizes)
+    kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+    found = np.repeat((at - (ends - sizes)).astype(kind), sizes)
+    found += np.arange(ends[-1], dtype=kind)
+    return found
 
 
 def encoder(path: str) -> Encoder:
@@ -101,9 +142,12 @@ def pack(ids: np.ndarray, fragments: list[tuple[int, int, int, int]]) -> list[by
     """Blocks of equal length for consecutive ids. ``fragments``: number, id, has id, ids of each document."""
     blocks = max(1, -(-len(ids) // BLOCK_IDS))
     steps = -(-len(ids) // blocks)
-    padded = np.zeros(blocks * steps, np.uint16)
-    padded[: len(ids)] = ids
-    codes = encode_lanes(np.ascontiguousarray(padded.reshape(blocks, steps).T))
+    by_step = np.zeros((steps, blocks), np.uint16)
+    whole, last = divmod(len(ids), max(1, steps))
+    by_step[:, :whole] = ids[: whole * steps].reshape(whole, steps).T
+    if last:
+        by_step[:last, whole] = ids[whole * steps :]
+    codes = encode_lanes(by_step)
     found, at, left = [], 0, list(fragments[:1])
     for i, code in enumerate(codes):
         room = held = max(0, min(steps, len(ids) - i * steps))
@@ -135,7 +179,7 @@ def unpack(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         end = at
         while end < len(blocks) and heads[end][0] == steps and end - at < LANES:
             end += 1
-        ids = decode_lanes([b[HEAD_BYTES + h[2] :] for b, h in zip(blocks[at:end], heads[at:end])], steps).T
+        ids = np.ascontiguousarray(decode_lanes([b[HEAD_BYTES + h[2] :] for b, h in zip(blocks[at:end], heads[at:end])], steps).T)
         for i in range(at, end):
             _, held, index = heads[i]
             yield np.frombuffer(blocks[i], FRAGMENT, index // FRAGMENT.itemsize, HEAD_BYTES), ids[i - at, :held]
@@ -149,14 +193,13 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id") ->
         from pyspark import TaskContext
 
         part, own = TaskContext.get().partitionId(), encoder(vocabulary)
-        end = np.array([end_id], np.uint16).tobytes()
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         fragments: list[tuple[int, int, int, int]] = []
         number = block = at = size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal block, at, size
-            ids = np.frombuffer(b"".join(held), np.uint16)
+            ids = np.concatenate(held)
             data = pack(ids, fragments)
             steps = -(-len(ids) // len(data))
             n = [min(steps, len(ids) - i * steps) for i in range(len(data))]
@@ -170,12 +213,13 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id") ->
             return rows
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held.append(own.encode(text.as_py() or "") + end)
-                fragments.append((number, doc_id or 0, doc_id is not None, len(held[-1]) // 2))
-                number, size = number + 1, size + len(held[-1]) // 2
-                if size >= LANES * BLOCK_IDS:
-                    yield flush()
+            keys = batch.column(0)
+            ids, n = own.encode_all(batch.column(1), (end_id,))
+            held.append(ids)
+            fragments += zip(range(number, number + len(n)), keys.fill_null(0).to_pylist(), keys.is_valid().to_pylist(), n.tolist())
+            number, size = number + len(n), size + len(ids)
+            if size >= LANES * BLOCK_IDS:
+                yield flush()
         if held:
             yield flush()
 

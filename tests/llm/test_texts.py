@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -118,6 +119,48 @@ def test_token_pieces_like_the_library():
         assert np.frombuffer(own.encode(t), np.uint16).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_every_piece_of_a_batch_is_encoded_once():
+    own, library = token_files.Encoder(queries.vocabulary("byte_bpe_50k.json")), Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    given = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    own.library = Counting()
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["alpha", "b\u00eata,", "gamma.\nDelta", "x<|endoftext|>"], size=90)) for _ in range(60)]
+    texts += [None, "", " ", "odd  spaces here", "ends ", "a\n b", "alpha"]
+    for texts in (texts, texts[::-1], texts[62:63], texts[:0]):
+        ids, n = own.encode_all(pa.array(texts, pa.string()), (2, 7))
+        want = [library.encode(t or "", add_special_tokens=False).ids + [2, 7] for t in texts]
+        assert ids.tolist() == [x for one in want for x in one] and n.tolist() == [len(one) for one in want]
+    assert sum(map(len, given)) < 5_000  # of 67,000 characters
+
+
+def test_ids_not_counted_have_no_rank():
+    """Neither side has to search for the place of an id that it does not count."""
+    ids = np.random.default_rng(6).integers(0, 300, size=(200, 70)).astype(np.uint16)
+    rank, times = range_coder.ranks_of(ids)
+    starts = range_coder.epochs(200)
+    for t in (0, 15, 16, 23, 24, 100, 199):
+        held = max([s for s in starts if s <= t], default=0)
+        equal = (ids[:held] == ids[t]).sum(0)
+        assert np.array_equal(times[t], equal)
+        assert np.array_equal(rank[t], np.where(equal, (ids[:held] < ids[t]).sum(0), 0))
+
+
+@pytest.mark.parametrize("low, high", [(0, 1), (0, 2), (0, 40), (65535, 65536), (65500, 65536), (0, 65536)])
+def test_coder_of_few_ids_met_again_before_they_count(low, high):
+    rng = np.random.default_rng(high)
+    ids = rng.integers(low, high, size=(900, 70)).astype(np.uint16)
+    ids[rng.random(ids.shape) < 0.1] = 0  # a cell without a guess must not pass for id 0
+    codes = range_coder.encode_lanes(ids)
+    assert np.array_equal(range_coder.decode_lanes(codes, 900), ids)
+    assert np.array_equal(range_coder.decode_lanes(codes[9:10], 900)[:, 0], ids[:, 9])
+
+
 @pytest.mark.parametrize("steps, lanes", [(1, 1), (15, 2), (16, 2), (17, 3), (63, 2), (64, 3), (65, 5), (700, 4), (2100, 1)])
 def test_range_coder_round_trip(steps, lanes):
     rng = np.random.default_rng(steps)
