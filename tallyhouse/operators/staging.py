@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.session import shared_folder
@@ -29,3 +32,18 @@ def released(spark: SparkSession) -> int:
         folder = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return n
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it a job's shuffle files go when the job ends; else they stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

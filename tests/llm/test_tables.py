@@ -3,13 +3,16 @@
 import itertools
 import json
 import random
+import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import components, queries, tool_links, url_rules, vector_groups, wrappers
+from tallyhouse.operators import staging
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.01"
@@ -90,6 +93,28 @@ def test_recall_over_the_given_table(spark):
     assert {r.vec_id: r.n_links for r in vector_groups.vector_groups(table).collect()} == want
 
 
+def test_disk_of_vectors_does_not_grow_with_the_cells_they_reach(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(4000, 64)).astype(np.float32)
+    x[::50] = x[1::50] + rng.normal(size=(80, 64)).astype(np.float32) * 0.02
+    schema = "vec_id long, embedding array<float>"
+    spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], schema).write.parquet(str(tmp_path / "in"))
+    given = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    left = lambda: sum(f.length() for f in (files.getAllFiles().apply(i) for i in range(files.getAllFiles().size())))
+    rows, disk = {}, {}
+    for cell in (4096, 100):
+        monkeypatch.setattr(vector_groups, "CELL_ROWS", cell)
+        monkeypatch.setattr(vector_groups, "BLOCK", 500)
+        first, before = len(staging._WRITTEN), left()
+        found = vector_groups.vector_groups(spark.read.parquet(str(tmp_path / "in")))
+        folders = [Path(re.sub("^file:/*", "/", p)) for p in staging._WRITTEN[first:]]
+        disk[cell] = sum(f.stat().st_size for p in folders for f in p.glob("*.parquet")) + max(0, left() - before)
+        rows[cell] = sorted((r.vec_id, r.n_links, r.component_id) for r in found.collect())
+    assert rows[4096] == rows[100] and sum(n for _, n, _ in rows[100]) == 160
+    assert max(disk.values()) < 4 * given and disk[100] < 1.2 * disk[4096]
+
+
 def test_articles_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
