@@ -6,15 +6,17 @@ Vectors of different lengths never link; each length is joined within itself.
 2. Spherical k-means on a bounded sample (SAMPLE_ROWS over all lengths) gives the centres of each length; a length of up to CELL_ROWS
    classes is one cell. Every vector belongs to the cell of
    its nearest centre. It reaches another cell ``j`` if a link could go over the border: for a partner there,
-   ``x . (c_i - c_j) <= |x - y| |c_i - c_j|``, and ``|x - y|`` is at most the chord of the threshold. Only vectors that reach
-   each other's cells are compared, and no link is lost.
+   ``x . (c_i - c_j) <= |x - y| |c_i - c_j|``, and ``|x - y|`` is at most the chord of the threshold. Only blocks that reach
+   each other's cells are compared, and of two cells only vectors whose places along the line between the centres differ by that chord
+   at most. No link is lost.
 3. Every class is written once, in its cell's blocks of about BLOCK rows; no copy goes to the cells it reaches. Pairs of blocks are read from
    that table without a shuffle and compared by matrix products in tasks
    of bounded memory: an upper bound from some directions first, in single precision, then the cosines in double. A task returns the number of links of each vector and a spanning forest of the links, never the pairs.
 4. Connected components of the forests give the groups; the smallest id of each is kept.
 
-Disk: the classes twice (as read, in four bytes a component where the column has them, and in blocks), shuffled once for each, and some 60 bytes a row for ids and
-prints. It grows with the rows, whatever the cells reach; the time for vectors without any structure still grows with their square.
+Disk: the classes twice (as read, in four bytes a component where the column has them, and in blocks), shuffled once for each, and
+ids and prints. It grows with the rows, whatever the cells reach. A task's forest has a row for each linked class of its blocks. The time for
+vectors without any structure still grows with about their square.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without an id link with
 nothing and are kept. Rows with equal ids are vectors of their own. Other columns are not read.
@@ -37,7 +39,7 @@ from tallyhouse.operators.staging import settled, shuffles_dropped
 
 THRESHOLD = 0.9
 SAMPLE_ROWS = 20_000  # vectors the centres are fitted on, in expectation
-CELL_ROWS = 16384
+CELL_ROWS = 8192
 MOST_CELLS = 2048
 ROUNDS = 8
 BLOCK = 8192
@@ -179,26 +181,24 @@ def placed(classes: DataFrame, centres: dict[int, np.ndarray], kind: str) -> Dat
 
 
 def packing(centres: dict[int, np.ndarray], kind: str) -> Callable[[pa.Table], pa.Table]:
-    """Makes one row of a block's rows: ``reach``, the cells that any of them reaches, and ``partly``, those that few reach."""
+    """Makes one row of a block's rows; ``reach``: the cells that any of them reaches."""
 
     def run(rows: pa.Table) -> pa.Table:
         size, cell, block = (rows.column(c)[0].as_py() for c in ("size", "cell", "block"))
-        raw, reach, partly = b"".join(rows.column("raw").to_pylist()), np.array([cell]), np.array([], np.int64)
+        raw, reach = b"".join(rows.column("raw").to_pylist()), np.array([cell])
         if size in centres:
-            x = np.frombuffer(raw, kind).reshape(rows.num_rows, -1)
-            cells = np.arange(len(centres[size]))
-            share = sum(reached(units(x[k : k + TILE])[0], cell, cells, centres[size]).sum(axis=0) for k in range(0, len(x), TILE)) / len(x)
-            share[cell] = 1
-            reach, partly = np.flatnonzero(share > 0), np.flatnonzero((share > 0) & (share < 0.7))
+            x, cells = np.frombuffer(raw, kind).reshape(rows.num_rows, -1), np.arange(len(centres[size]))
+            parts = (reached(units(x[k : k + TILE])[0], cell, cells, centres[size]) for k in range(0, len(x), TILE))
+            reach = np.flatnonzero(sum(part.sum(axis=0) for part in parts) + (cells == cell))
         ids, n = (rows.column(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "n"))
         return pa.table({
-            "size": pa.array([size], pa.int32()), "cell": pa.array([cell], pa.int32()), "block": pa.array([block], pa.int64()), "reach": pa.array([reach.tolist()], pa.list_(pa.int32())),
-            "partly": pa.array([partly.tolist()], pa.list_(pa.int32())), "ids": pa.array([ids], pa.binary()), "n": pa.array([n], pa.binary()), "raw": pa.array([raw], pa.binary())})
+            "size": pa.array([size], pa.int32()), "cell": pa.array([cell], pa.int32()), "block": pa.array([block], pa.int64()),
+            "reach": pa.array([reach.tolist()], pa.list_(pa.int32())), "ids": pa.array([ids], pa.binary()), "n": pa.array([n], pa.binary()), "raw": pa.array([raw], pa.binary())})
 
     return run
 
 
-PACKED = "size int, cell int, block long, reach array<int>, partly array<int>, ids binary, n binary, raw binary"
+PACKED = "size int, cell int, block long, reach array<int>, ids binary, n binary, raw binary"
 
 
 def packs_of(classes: DataFrame, centres: dict[int, np.ndarray], kind: str) -> DataFrame:
@@ -260,8 +260,8 @@ class Block:
 
     def __init__(self, batch: pa.RecordBatch, k: int, side: str, kind: str) -> None:
         self.key = self.size, self.cell, _ = key_of(batch, k, side)
-        partly, ids, n, raw = (batch.column(side + c)[k].as_py() for c in ("partly", "ids", "n", "raw"))
-        self.partly, self.ids, self.n = set(partly), np.frombuffer(ids, np.int64), np.frombuffer(n, np.int64)
+        ids, n, raw = (batch.column(side + c)[k].as_py() for c in ("ids", "n", "raw"))
+        self.ids, self.n = np.frombuffer(ids, np.int64), np.frombuffer(n, np.int64)
         self.raw = np.frombuffer(raw, kind).reshape(len(self.n), -1)
         self.whole: np.ndarray | None = None
 
@@ -320,17 +320,39 @@ class Links:
             yield pa.RecordBatch.from_arrays([pa.array(own[at]), pa.array(count[at]), pa.array(ids[self.root[first + at]])], names=["id", "links", "root"])
 
 
+def scales(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest component of each row, and its length in units of that."""
+    most = np.abs(raw).max(axis=1)
+    x = raw.astype(np.float64) / most[:, None]
+    return most, np.sqrt(np.einsum("nd,nd->n", x, x))
+
+
+def along(block: Block, scale: tuple[np.ndarray, np.ndarray], e: np.ndarray) -> np.ndarray:
+    """The components of a block's directions along ``e``, in the precision in which it was read."""
+    return (block.raw / scale[0][:, None]) @ e.astype(block.raw.dtype) / scale[1]
+
+
 def padded(short: np.ndarray) -> np.ndarray:
     """With rows of zeros up to whole tiles: they link with nothing."""
     return np.vstack([short, np.zeros((-len(short) % TILE, short.shape[1]), np.float32)])
 
 
-def compare(a: Block, b: Block, short_a: np.ndarray, short_b: np.ndarray, centres: np.ndarray | None, links: Links) -> None:
-    """Add the links of two blocks; ``short``: of the first bound, padded."""
-    same, rows_a, rows_b = np.bool_(a.key == b.key), np.arange(len(a.n)), np.arange(len(b.n))
-    if b.cell in a.partly or a.cell in b.partly:  # the others would not save what it costs to look
-        rows_a = np.flatnonzero(reached(a.keep(), a.cell, np.array([b.cell]), centres))
-        rows_b = np.flatnonzero(reached(b.keep(), b.cell, np.array([a.cell]), centres))
+def compare(a: Block, b: Block, bound_a: tuple, bound_b: tuple, centres: np.ndarray | None, links: Links) -> None:
+    """Add the links of two blocks; ``bound``: the first bounds, padded, and scales.
+
+    Linked directions differ by the chord of the threshold at most, so along the line between two centres too. In the order of that line each
+    strip of one cell has its partners at the start of the other.
+    """
+    same, rows_a, rows_b, ends = np.bool_(a.key == b.key), np.arange(len(a.n)), np.arange(len(b.n)), None
+    (short_a, *scale_a), (short_b, *scale_b) = bound_a, bound_b
+    if a.cell != b.cell and (centres[a.cell] != centres[b.cell]).any():
+        e = centres[a.cell] - centres[b.cell]
+        e = e / np.sqrt(e @ e)
+        at, to = along(a, scale_a, e), along(b, scale_b, e)
+        chord = np.sqrt(2 - 2 * THRESHOLD) + SLACK
+        rows_a, rows_b = np.flatnonzero(at <= to.max() + chord), np.flatnonzero(to >= at.min() - chord)
+        rows_a, rows_b = rows_a[np.argsort(at[rows_a])], rows_b[np.argsort(-to[rows_b])]
+        ends = np.searchsorted(-to[rows_b], chord - at[rows_a[::STRIP]], side="right")
         short_a, short_b = padded(short_a[rows_a]), padded(short_b[rows_b])
     (first_a, count_a), (first_b, count_b) = links.place(a), links.place(b)
 
@@ -351,20 +373,24 @@ def compare(a: Block, b: Block, short_a: np.ndarray, short_b: np.ndarray, centre
         x, y = np.nonzero(hits & (links.root[first_a + i][:, None] != links.root[first_b + j]))
         links.add(first_a + i[x], first_b + j[y])
 
-    near, possible = np.empty((STRIP, TILE), np.float32), np.empty((STRIP, TILE), bool)
+    products, flags = np.empty(STRIP * TILE, np.float32), np.empty(STRIP * TILE, bool)
     least, maybe, waiting = np.float32(THRESHOLD - SLACK), [], 0
-    for first in range(0, len(short_a), STRIP):
+    for first in range(0, len(rows_a), STRIP):
         strip = short_a[first : first + STRIP]
-        for start in range(first // TILE * TILE if same else 0, len(short_b), TILE):
-            np.dot(strip, short_b[start : start + TILE].T, out=near[: len(strip)])
-            np.greater_equal(near[: len(strip)], least, out=possible[: len(strip)])
-            count = np.count_nonzero(possible[: len(strip)])
-            if count > DENSE * len(strip) * TILE:
-                check_all(rows_a[first : first + len(strip)], rows_b[start : start + TILE])
+        end = len(rows_b) if ends is None else ends[first // STRIP]
+        for start in range(first // TILE * TILE if same else 0, end, TILE):
+            tile = short_b[start : start + min(TILE, end - start + -(end - start) % 64)]
+            shape = len(strip), len(tile)
+            near, possible = (x[: shape[0] * shape[1]].reshape(shape) for x in (products, flags))
+            np.dot(strip, tile.T, out=near)
+            np.greater_equal(near, least, out=possible)
+            count = np.count_nonzero(possible)
+            if count > DENSE * possible.size:
+                check_all(rows_a[first : first + len(strip)], rows_b[start : start + len(tile)])
             elif count:
-                some = np.flatnonzero(possible[: len(strip)].view(np.uint64) != 0)  # eight at a time: most are without any
+                some = np.flatnonzero(possible.view(np.uint64) != 0)  # eight at a time: most are without any
                 at, within = np.nonzero(possible.reshape(-1, 8)[some])
-                i, j = np.divmod(some[at] * 8 + within, TILE)
+                i, j = np.divmod(some[at] * 8 + within, len(tile))
                 maybe.append((i + first, j + start))
                 waiting += count
             if waiting >= CHECKED:
@@ -378,25 +404,25 @@ def comparing(centres: dict[int, np.ndarray], bases: dict[int, np.ndarray | None
     """Compares the pairs of blocks of a task; what it found about a block comes once, at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links, a, short_a, kept, free = Links(), None, None, {}, KEPT_BYTES
+        links, a, bound_a, kept, free = Links(), None, None, {}, KEPT_BYTES
 
-        def short(block: Block) -> np.ndarray:
+        def bound(block: Block) -> tuple:
             nonlocal free
             if block.key in kept:
                 return kept[block.key]
             parts = (head(block.units(slice(k, k + TILE)), bases.get(block.size)).astype(np.float32) for k in range(0, len(block.n), TILE))
-            made = padded(np.vstack(list(parts)))
-            if made.nbytes <= free:
-                kept[block.key], free = made, free - made.nbytes
+            made = padded(np.vstack(list(parts))), *scales(block.raw)
+            if (size := sum(x.nbytes for x in made)) <= free:
+                kept[block.key], free = made, free - size
             return made
 
         for batch in batches:
             for k in range(batch.num_rows):
                 if a is None or key_of(batch, k, "a_") != a.key:
                     a = Block(batch, k, "a_", kind)
-                    short_a = short(a)
+                    bound_a = bound(a)
                 b = Block(batch, k, "b_", kind)
-                compare(a, b, short_a, short(b), centres.get(a.size), links)
+                compare(a, b, bound_a, bound(b), centres.get(a.size), links)
         yield from links.tables()
 
     return run
