@@ -115,6 +115,21 @@ def test_disk_of_vectors_does_not_grow_with_the_cells_they_reach(spark, monkeypa
     assert max(disk.values()) < 4 * given and disk[100] < 1.2 * disk[4096]
 
 
+def test_vectors_of_single_precision_and_odd_scales(spark, monkeypatch):
+    monkeypatch.setattr(vector_groups, "CELL_ROWS", 50)
+    monkeypatch.setattr(vector_groups, "BLOCK", 40)
+    rng = np.random.default_rng(12)
+    ends = rng.normal(size=(6, 2, 10))
+    x = np.array([ends[i % 6, 0] * t + ends[i % 6, 1] * (1 - t) for i, t in enumerate(rng.uniform(size=600))])  # chains across cells
+    x = (x * rng.choice([1e-30, 1e-3, 1, 1e36], size=(600, 1))).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(7, x[8].tolist()), (7, (x[9] * 0.5).tolist())]  # equal ids
+    rows += [(1000, [1.0] * 9 + [None]), (1001, None), (1002, [float("nan")] * 10), (1003, []), (1004, [0.0] * 10), (1005, [float("-inf")] + [1.0] * 9)]
+    got = vector_groups.vector_groups(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)).collect()
+    want = {i: n for i, n, _ in plain.vector_groups(rows)}
+    assert {r.vec_id: r.n_links for r in got if r.vec_id not in (7, 8, 9)} == {i: n for i, n in want.items() if i not in (7, 8, 9)}
+    assert len(got) == len(rows) and max(want.values()) > 50
+
+
 def test_articles_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
