@@ -16,7 +16,7 @@ Vectors of different lengths never link; each length is joined within itself.
 
 Disk: the classes twice (as read, in four bytes a component where the column has them, and in blocks), shuffled once for each, and
 ids and prints. It grows with the rows, whatever the cells reach. A task's forest has a row for each linked class of its blocks. The time for
-vectors without any structure still grows with about their square.
+vectors without any structure still grows faster than the rows.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without an id link with
 nothing and are kept. Rows with equal ids are vectors of their own. Other columns are not read.
